@@ -111,3 +111,15 @@ def between(df: DataFrame, table: Table, column: str, low: Any, high: Any) -> Da
 
 def read_partitioned(spark, table: Table, location: str) -> DataFrame:
     return spark.read.schema(stored_schema(table)).parquet(location)
+
+
+def write_bucketed(df: DataFrame, name: str, spec: Partition, location: str) -> None:
+    """An external table bucketed and sorted on one key; tables with equal bucket counts join in place.
+
+    Rebalancing on the key keeps the files per bucket few and still splits an oversized bucket over
+    several tasks when writing. A bucketed join reads a bucket in one task, though: for a key with a
+    value owning much of the table use `functions.skew.skew_join` on unbucketed tables.
+    """
+    clustered = df.hint("rebalance", spec.num_buckets, spec.column)
+    writer = clustered.write.mode("errorifexists").format("parquet").option("path", location)
+    writer.bucketBy(spec.num_buckets, spec.column).sortBy(spec.column).saveAsTable(name)

@@ -30,8 +30,7 @@ def run_suite_stream(
     def check(batch: DataFrame, batch_id: int) -> None:
         marked = mark_broken(batch, table).withColumn("rejected", F.size(BROKEN) > 0)
         put(marked, batch_id, "rows", "rejected")
-        stored = batch.sparkSession.read.schema(marked.schema.add("batch_id", "int")).parquet(f"{location}/rows")
-        stored = stored.where(F.col("batch_id") == batch_id).select(batch.columns)
+        stored = batch.sparkSession.read.schema(marked.schema).parquet(f"{location}/rows/batch_id={batch_id}")
         put(run_suite(stored, table, product, as_of), batch_id, "results")
 
     return start(stream.writeStream.foreachBatch(check), checkpoint, once)
