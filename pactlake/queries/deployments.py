@@ -67,10 +67,10 @@ def deployments_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.latest(stored).select("product", "version", "deployed_at", "sequence")
 
 
-@query(LOG_SQL + "SELECT product, version, deployed_at, status, errors FROM latest WHERE product = 'customer_77'")
+@query(LOG_SQL + "SELECT product, version, deployed_at, status, errors FROM latest WHERE product = 'customer_5'")
 def deployments_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2"""
-    return d.listing(d.get(_log(spark, sf_dir), "customer_77")).drop("tables")
+    return d.listing(d.get(_log(spark, sf_dir), "customer_5")).drop("tables")
 
 
 @query(LOG_SQL + "SELECT product, version, deployed_at, CAST(tables AS BIGINT) AS tables, status, errors FROM latest")

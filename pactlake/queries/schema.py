@@ -93,12 +93,12 @@ a AS (SELECT product, tname, CASE WHEN j = m AND n % 4 = 0 THEN 'c9' ELSE 'c' ||
       FROM c WHERE n NOT IN (13, 17, 19)),
 b AS (SELECT coalesce(e.product, a.product) AS product, coalesce(e.tname, a.tname) AS "table",
              coalesce(e.col, a.col) AS "column", e.product IS NULL AS added, a.product IS NULL AS removed,
-             e.ctype AS et, a.ctype AS at, CASE WHEN e.nullable THEN 'nullable' ELSE 'required' END AS en,
+             e.ctype AS et, a.ctype AS actual_type, CASE WHEN e.nullable THEN 'nullable' ELSE 'required' END AS en,
              CASE WHEN a.nullable THEN 'nullable' ELSE 'required' END AS an
       FROM e FULL JOIN a ON e.product = a.product AND e.tname = a.tname AND e.col = a.col)
-SELECT product, "table", "column", 'added' AS change, CAST(NULL AS VARCHAR) AS expected, at AS actual FROM b WHERE added
+SELECT product, "table", "column", 'added' AS change, CAST(NULL AS VARCHAR) AS expected, actual_type AS actual FROM b WHERE added
 UNION ALL SELECT product, "table", "column", 'removed', et, NULL FROM b WHERE removed
-UNION ALL SELECT product, "table", "column", 'type', et, at FROM b WHERE NOT added AND NOT removed AND et <> at
+UNION ALL SELECT product, "table", "column", 'type', et, actual_type FROM b WHERE NOT added AND NOT removed AND et <> actual_type
 UNION ALL SELECT product, "table", "column", 'nullability', en, an FROM b WHERE NOT added AND NOT removed AND en <> an
 """)
 def schema_drift_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,9 @@ def create_table(spark: SparkSession, product: Product, table: Table, root: str)
         "product_owner": product.team, "pii_columns": ",".join(table.pii_columns), "tags": ",".join(table.tags),
     }
     fields = ", ".join(f"`{f}`" for f in partition_fields(table))
+    if fields:  # appending nothing makes the folder that partition recovery wants, and harms none
+        none = spark.createDataFrame([], stored_schema(table)).write.mode("append")
+        none.partitionBy(*partition_fields(table)).parquet(product.location(root, table.name))
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {product.fqn(table.name)} ({columns}) USING parquet"
         + (f" PARTITIONED BY ({fields})" if fields else "")
