@@ -16,7 +16,7 @@ from pactlake.contract import (
 )
 from pactlake.functions.expressions import display_name, is_email
 from pactlake.functions.skew import skew_join
-from pactlake.session import materialize
+from pactlake.session import materialize, materialize_counted
 
 COLUMN_STRUCT = (
     "struct<name: string, type: string, nullable: boolean, pii: boolean, description: string,"
@@ -178,16 +178,17 @@ def lint(contracts: DataFrame) -> DataFrame:
             (F.size("tables") == 0, "product", "no tables"),
         ],
     )
-    tables = F.col("tables")
     duplicate_tables = F.transform(
-        _repeated(_names(tables)), lambda n: _violation(n, n, "duplicate table name")
+        _repeated(_names(F.col("tables"))), lambda n: _violation(n, n, "duplicate table name")
     )
-    per_table = F.flatten(F.transform(tables, _table_violations))
+    # The column names of a table are looked up for every rule, so they are put beside it once.
+    named = F.transform("tables", lambda t: F.struct(t.alias("t"), _names(t["columns"]).alias("names")))
+    per_table = F.flatten(F.transform(named, lambda x: _table_violations(x["t"], x["names"])))
     return contracts.select("product", F.inline(F.concat(product_level, duplicate_tables, per_table)))
 
 
-def _table_violations(t: Column) -> Column:
-    names, columns = _names(t["columns"]), t["columns"]
+def _table_violations(t: Column, names: Column) -> Column:
+    columns = t["columns"]
     unknown = lambda c: ~F.array_contains(names, c)
     flag = lambda items, broken, name, text: F.transform(
         F.filter(items, broken), lambda i: _violation(t["name"], name(i), text)
@@ -317,7 +318,7 @@ def all_upstream(edges: DataFrame) -> DataFrame:
             "table", F.col("next").alias("upstream"), (F.col("distance") + 1).alias("distance")
         )
         fresh = step.distinct().join(found.select("table", "upstream"), ["table", "upstream"], "left_anti")
-        frontier = materialize(fresh, "lineage")
-        if frontier.isEmpty():
+        frontier, pairs = materialize_counted(fresh, "lineage")
+        if pairs == 0:
             return found
         found = found.unionByName(frontier)

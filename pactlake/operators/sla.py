@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pactlake.contract import Product
 from pactlake.functions.expressions import minutes_between, timestamp_literal
 
+PERIOD_PATTERNS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
+DROP_BATCH = 500
+MICROS_PER_HOUR = 3_600_000_000
 
 def freshness_lag(tables: dict[str, tuple[DataFrame, str]], as_of: str, freshness_hours: int) -> DataFrame:
     """minutes since the newest row of each table, and whether that exceeds the promise.
@@ -37,30 +40,38 @@ def unexpired(df: DataFrame, at: str, as_of: str, days: int) -> DataFrame:
     return df.where(F.col(at) >= timestamp_literal(as_of) - F.make_dt_interval(days=F.lit(days)))
 
 
-def expire_partitions(spark: SparkSession, product: Product, table: str, as_of: str) -> int:
+def expire_partitions(
+    spark: SparkSession, product: Product, table: str, as_of: str, delete_files: bool = False
+) -> int:
     """drop the day, hour, month or year partitions that lie wholly before the retention bound.
 
-    Works on partition names alone, no data file is read. Returns the number dropped. A partition with
-    rows on both sides of the bound stays until all of them are too old.
+    Works on partition names alone, no data file is read; returns the number dropped. A partition with
+    rows on both sides of the bound stays until all of them are too old. The tables are external, so the
+    files remain for the store's own expiry unless `delete_files` is set.
     """
-    declared = product.table(table)
-    spec = next(p for p in declared.partitions if p.transform in ("year", "month", "day", "hour"))
-    pattern = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}[spec.transform]
-    fqn = product.fqn(table)
+    spec = next(p for p in product.table(table).partitions if p.transform in PERIOD_PATTERNS)
     bound = timestamp_literal(as_of) - F.make_dt_interval(days=F.lit(product.bronze_retention_days))
     value = F.regexp_extract("partition", f"{spec.field_name}=([^/]*)", 1)
     expired = (
-        spark.sql(f"SHOW PARTITIONS {fqn}")
+        spark.sql(f"SHOW PARTITIONS {product.fqn(table)}")
         .where(value != "__HIVE_DEFAULT_PARTITION__")
-        .where(value < F.date_format(bound, pattern))
+        .where(value < F.date_format(bound, PERIOD_PATTERNS[spec.transform]))
         .select(value.alias("value"))
         .distinct()
     )
-    dropped = 0
-    for row in expired.toLocalIterator():
-        spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION (`{spec.field_name}` = '{row.value}')")
-        dropped += 1
-    return dropped
+    # Catalog metadata, not data: one short string per period.
+    values = sorted(row.value for row in expired.toLocalIterator())
+    for start in range(0, len(values), DROP_BATCH):
+        parts = ", ".join(f"PARTITION (`{spec.field_name}` = '{v}')" for v in values[start : start + DROP_BATCH])
+        spark.sql(f"ALTER TABLE {product.fqn(table)} DROP IF EXISTS {parts}")
+    if delete_files:
+        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {product.fqn(table)}").where("col_name = 'Location'")
+        location = detail.first().data_type
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = hadoop(location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for value in values:
+            files.delete(hadoop(f"{location}/{spec.field_name}={value}"), True)
+    return len(values)
 
 
 def row_count_bounds(tables: dict[str, DataFrame], low: int | None, high: int | None) -> DataFrame:
@@ -79,33 +90,28 @@ def availability(
 ) -> DataFrame:
     """share of the hours from `start` at whose end the newest row was within the freshness bound.
 
-    Rows are first reduced to the newest one per group and hour, so everything after the first shuffle
-    is at most `hours` rows per group, whatever the data size; the as-of lookup runs over those.
+    Rows are first reduced to the newest one per group and hour. Between one such arrival and the next
+    the data only ages, so the hours it keeps fresh can be counted without laying out every hour: an
+    arrival at t in the hour from h is fresh at the ends of the first floor((t + bound - h) / 1 h) hours,
+    and is looked at until the hour of the next arrival. The window sees at most `hours` rows per group.
     """
     first = timestamp_literal(start)
-    last = first + F.make_dt_interval(hours=F.lit(hours - 1))
+    end = first + F.make_dt_interval(hours=F.lit(hours))
     hour = F.date_trunc("HOUR", at).cast("timestamp_ntz")
     arrivals = (
-        df.where((F.col(at) >= first) & (F.col(at) < last + F.make_dt_interval(hours=F.lit(1))))
+        df.where((F.col(at) >= first) & (F.col(at) < end))
         .groupBy(group, hour.alias("hour"))
         .agg(F.max(at).alias("newest"))
     )
-    spine = (
-        arrivals.select(group)
-        .distinct()
-        .select(group, F.explode(F.sequence(first, last, F.make_dt_interval(hours=F.lit(1)))).alias("hour"))
-    )
-    so_far = Window.partitionBy(group).orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seconds = F.timestamp_diff(
-        "SECOND", F.last("newest", ignorenulls=True).over(so_far), F.col("hour") + F.make_dt_interval(hours=F.lit(1))
-    )
-    judged = spine.join(arrivals, [group, "hour"], "left").select(
-        group, F.coalesce(seconds <= freshness_hours * 3600, F.lit(False)).alias("fresh")
-    )
+    following = F.lead("hour").over(Window.partitionBy(group).orderBy("hour"))
+    age = F.timestamp_diff("MICROSECOND", F.col("hour"), F.col("newest"))
+    reach = F.floor((age + F.lit(freshness_hours * MICROS_PER_HOUR)) / F.lit(MICROS_PER_HOUR))
+    until = F.timestamp_diff("HOUR", F.col("hour"), F.coalesce(following, end))
     share = F.round(F.lit(100.0) * F.col("fresh_hours") / F.col("hours"), 4)
     return (
-        judged.groupBy(group)
-        .agg(F.count(F.lit(1)).alias("hours"), F.count_if("fresh").alias("fresh_hours"))
+        arrivals.select(group, F.least(reach, until).alias("fresh"))
+        .groupBy(group)
+        .agg(F.lit(hours).cast("long").alias("hours"), F.sum("fresh").alias("fresh_hours"))
         .select(group, "hours", "fresh_hours", share.alias("availability_pct"), (share >= target_pct).alias("met"))
     )
 

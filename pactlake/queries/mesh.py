@@ -6,11 +6,11 @@ column), s = partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactlake.contract import COLUMN_TYPES, TIERS
-from pactlake.operators.governance import COLUMN_STRUCT, PARTITION_STRUCT, RULE_STRUCT, TABLE_STRUCT
+from pactlake.operators.governance import TABLE_STRUCT
 
 _TYPES_SQL = "[" + ", ".join(f"'{t}'" for t in COLUMN_TYPES) + "]"
 
@@ -55,101 +55,71 @@ s AS (
 
 def contract_corpus(customer: DataFrame, *keep: str) -> DataFrame:
     """One contract per customer: three tables of two to five columns, built within the row."""
-    nation, segment, balance = F.col("c_nationkey"), F.lower("c_mktsegment"), F.col("c_acctbal")
-    tables = F.array(*[_table(i) for i in range(len(TIERS))]).cast(f"array<{TABLE_STRUCT}>")
-    return customer.select(
+    tables = ", ".join(_table(i) for i in range(len(TIERS)))
+    return customer.withColumn("s", F.lower("c_mktsegment")).selectExpr(
         *keep,
-        F.when(balance < 0, F.col("c_name")).otherwise(F.replace(F.lower("c_name"), F.lit("#"), F.lit("_"))).alias(
-            "product"
-        ),
-        F.when(balance > 9500, "1.0").otherwise(F.concat(F.lit("1."), nation, F.lit(".0"))).alias("version"),
-        segment.alias("team"),
-        F.concat(segment, F.when(nation == 7, " at example.com").otherwise("@example.com")).alias("email"),
-        (nation * 400).alias("freshness_hours"),
-        F.when(nation == 11, 100.5).otherwise(99.9).alias("availability_pct"),
-        F.array(F.concat(F.lit("segment:"), segment), F.concat(F.lit("nation:"), nation)).alias("tags"),
-        tables.alias("tables"),
+        "if(c_acctbal < 0, c_name, replace(lower(c_name), '#', '_')) AS product",
+        "if(c_acctbal > 9500, '1.0', concat('1.', c_nationkey, '.0')) AS version",
+        "s AS team",
+        "concat(s, if(c_nationkey = 7, ' at example.com', '@example.com')) AS email",
+        "c_nationkey * 400 AS freshness_hours",
+        "if(c_nationkey = 11, 100.5D, 99.9D) AS availability_pct",
+        "array(concat('segment:', s), concat('nation:', c_nationkey)) AS tags",
+        f"CAST(array({tables}) AS array<{TABLE_STRUCT}>) AS tables",
     )
 
 
-def _table(i: int) -> Column:
-    nation, segment, key = F.col("c_nationkey"), F.lower("c_mktsegment"), F.col("c_custkey")
-    raw = F.concat(F.lit("raw_"), segment)
-    name = [raw, F.when(nation == 13, raw).otherwise(segment), F.concat(segment, F.lit("_summary"))][i]
-    inputs = [F.concat(F.lit("nation_"), nation, F.lit(".feed")), raw, segment][i]
-
-    def column(j: Column) -> Column:
-        kind = F.element_at(F.array(*[F.lit(t) for t in COLUMN_TYPES]), F.pmod(key + i + j, F.lit(13)).cast("int") + 1)
-        sized = nation != 3
-        return F.struct(
-            F.when((nation == 17) & (j == 2), "c-2").when((nation == 19) & (j == 2), "c1")
-            .otherwise(F.concat(F.lit("c"), j)).alias("name"),
-            kind.alias("type"),
-            (F.pmod(key + i + j, F.lit(3)) != 0).alias("nullable"),
-            (F.pmod(key + j, F.lit(7)) == 0).alias("pii"),
-            F.when(j == 1, "key").alias("description"),
-            F.array(F.concat(F.lit("pos:"), j)).alias("tags"),
-            F.when(sized, 18).alias("precision"),
-            F.when(sized, 2).alias("scale"),
-        )
-
-    def rule(kind: Column | str, columns: list[str], params: Column | None = None) -> Column:
-        return F.struct(
-            (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
-            F.array(*[F.lit(c) for c in columns]).alias("columns"),
-            (F.array().cast("array<string>") if params is None else params).alias("params"),
-        )
-
-    complete = F.when(nation != 2, F.array(F.lit("values"))).otherwise(F.array().cast("array<string>"))
+def _table(i: int) -> str:
+    """SQL of the i-th table of a customer's contract."""
+    name = ["concat('raw_', s)", "if(c_nationkey = 13, concat('raw_', s), s)", "concat(s, '_summary')"][i]
+    source = ["concat('nation_', c_nationkey, '.feed')", "concat('raw_', s)", "s"][i]
+    description = "concat('Raw records of ', s)" if i == 0 else "CAST(NULL AS string)"
+    types = ", ".join(f"'{t}'" for t in COLUMN_TYPES)
+    columns = f"""transform(sequence(1, 2 + (c_nationkey + {i}) % 4), j -> named_struct(
+        'name', CASE WHEN c_nationkey = 17 AND j = 2 THEN 'c-2' WHEN c_nationkey = 19 AND j = 2 THEN 'c1'
+                     ELSE concat('c', j) END,
+        'type', element_at(array({types}), CAST((c_custkey + {i} + j) % 13 + 1 AS int)),
+        'nullable', (c_custkey + {i} + j) % 3 <> 0,
+        'pii', (c_custkey + j) % 7 = 0,
+        'description', if(j = 1, 'key', NULL),
+        'tags', array(concat('pos:', j)),
+        'precision', if(c_nationkey <> 3, 18, NULL),
+        'scale', if(c_nationkey <> 3, 2, NULL)))"""
     last = [
-        rule("accepted_values", ["c4"], complete),
-        rule("email_format", ["c3"]),
-        rule(F.when(nation == 23, "no_such_rule").otherwise("regex"), ["c2"], F.array(F.lit("pattern"))),
+        "named_struct('kind', 'accepted_values', 'columns', array('c4'),"
+        " 'params', if(c_nationkey = 2, CAST(array() AS array<string>), array('values')))",
+        "named_struct('kind', 'email_format', 'columns', array('c3'), 'params', CAST(array() AS array<string>))",
+        "named_struct('kind', if(c_nationkey = 23, 'no_such_rule', 'regex'), 'columns', array('c2'),"
+        " 'params', array('pattern'))",
     ][i]
-    transform = [
-        F.when(nation == 10, "truncate").otherwise("day"),
-        F.lit("bucket"),
-        F.when(nation == 9, "week").otherwise("month"),
+    plain = "'params', CAST(array() AS array<string>)"
+    partition = [
+        "'column', 'c1', 'transform', if(c_nationkey = 10, 'truncate', 'day'), 'num_buckets', CAST(NULL AS int)",
+        "'column', 'c1', 'transform', 'bucket', 'num_buckets', if(c_nationkey = 5, 0, 16)",
+        "'column', if(c_nationkey = 8, 'c9', 'c1'), 'transform', if(c_nationkey = 9, 'week', 'month'),"
+        " 'num_buckets', CAST(NULL AS int)",
     ][i]
-    partition = F.struct(
-        (F.when(nation == 8, "c9").otherwise("c1") if i == 2 else F.lit("c1")).alias("column"),
-        transform.alias("transform"),
-        (F.when(nation == 5, 0).otherwise(16) if i == 1 else F.lit(None).cast("int")).alias("num_buckets"),
-        F.lit(None).cast("int").alias("width"),
-    )
-    return F.struct(
-        name.alias("name"),
-        F.lit(TIERS[i]).alias("tier"),
-        (F.concat(F.lit("Raw records of "), segment) if i == 0 else F.lit(None).cast("string")).alias("description"),
-        F.array(F.lit(f"tier:{TIERS[i]}")).alias("tags"),
-        F.array(inputs).alias("inputs"),
-        F.array(partition).cast(f"array<{PARTITION_STRUCT}>").alias("partitions"),
-        F.transform(F.sequence(F.lit(1), 2 + (nation + i) % 4), column).cast(f"array<{COLUMN_STRUCT}>").alias("columns"),
-        F.array(rule("not_null", ["c1", "c2"]), rule("unique", ["c1"]), last).cast(f"array<{RULE_STRUCT}>").alias("rules"),
-    )
+    return f"""named_struct(
+        'name', {name}, 'tier', '{TIERS[i]}', 'description', {description}, 'tags', array('tier:{TIERS[i]}'),
+        'inputs', array({source}),
+        'partitions', array(named_struct({partition}, 'width', CAST(NULL AS int))),
+        'columns', {columns},
+        'rules', array(named_struct('kind', 'not_null', 'columns', array('c1', 'c2'), {plain}),
+                       named_struct('kind', 'unique', 'columns', array('c1'), {plain}), {last}))"""
 
 
 def nation_contracts(nation: DataFrame) -> DataFrame:
     """The products the customers' bronze tables read from; only the first twenty declare the feed."""
-    key = F.col("n_nationkey")
-    empty = lambda kind: F.array().cast(f"array<{kind}>")
-    table = F.struct(
-        F.when(key < 20, "feed").otherwise("other").alias("name"),
-        F.lit("bronze").alias("tier"),
-        F.lit(None).cast("string").alias("description"),
-        empty("string").alias("tags"),
-        empty("string").alias("inputs"),
-        empty(PARTITION_STRUCT).alias("partitions"),
-        empty(COLUMN_STRUCT).alias("columns"),
-        empty(RULE_STRUCT).alias("rules"),
-    )
-    return nation.select(
-        F.concat(F.lit("nation_"), key).alias("product"),
-        F.lit("1.0.0").alias("version"),
-        F.lower("n_name").alias("team"),
-        F.lit("feeds@example.com").alias("email"),
-        F.lit(24).alias("freshness_hours"),
-        F.lit(99.9).alias("availability_pct"),
-        empty("string").alias("tags"),
-        F.array(table).cast(f"array<{TABLE_STRUCT}>").alias("tables"),
+    return nation.selectExpr(
+        "concat('nation_', n_nationkey) AS product",
+        "'1.0.0' AS version",
+        "lower(n_name) AS team",
+        "'feeds@example.com' AS email",
+        "24 AS freshness_hours",
+        "99.9D AS availability_pct",
+        "CAST(array() AS array<string>) AS tags",
+        f"""CAST(array(named_struct(
+            'name', if(n_nationkey < 20, 'feed', 'other'), 'tier', 'bronze', 'description', CAST(NULL AS string),
+            'tags', array(), 'inputs', array(), 'partitions', array(), 'columns', array(), 'rules', array()
+        )) AS array<{TABLE_STRUCT}>) AS tables""",
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_folder: str | None = None
 
@@ -20,6 +21,7 @@ def build_session(master: str | None = None, app: str = "pactlake", **conf: str)
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -54,6 +56,12 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Cut the lineage of `df` through a Parquet table in the shared folder."""
+    return materialize_counted(df, purpose)[0]
+
+
+def materialize_counted(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """`materialize`, and the number of rows, observed while writing."""
     folder = fresh_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    observed = Observation()
+    df.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), observed.get["rows"]

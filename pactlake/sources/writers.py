@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.contract import Product, Table
@@ -67,26 +67,11 @@ def write_table(df: DataFrame, product: Product, table: str, root: str, mode: st
     fields = partition_fields(declared)
     if fields:
         rows = rows.hint("rebalance", *fields)
-    written = Counter(f"rows_{declared.name}")
+    written = Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     with _dynamic_overwrite(spark):
-        written.on(rows).write.mode(mode).option("compression", "snappy").insertInto(product.fqn(table))
-    return written.rows
-
-
-class Counter:
-    """Counts the rows of a frame while something else consumes it."""
-
-    def __init__(self, name: str):
-        from pyspark.sql import Observation
-
-        self._observation = Observation(name)
-
-    def on(self, df: DataFrame) -> DataFrame:
-        return df.observe(self._observation, F.count(F.lit(1)).alias("rows"))
-
-    @property
-    def rows(self) -> int:
-        return self._observation.get["rows"]
+        counted.write.mode(mode).option("compression", "snappy").insertInto(product.fqn(table))
+    return written.get["rows"]
 
 
 @contextmanager

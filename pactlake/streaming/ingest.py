@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from pactlake.contract import Table
+from pactlake.functions.skew import spread
 from pactlake.operators.layout import add_partition_columns, partition_fields
 from pactlake.operators.schema import conform
 from pactlake.streaming.runs import start, with_event_time, without_zone
@@ -17,17 +18,27 @@ def ingest_stream(
     """Append a raw stream to a bronze table in its declared columns, types and partitions.
 
     The file sink's commit log and the checkpoint make each source row appear exactly once, also after
-    a restart from the same checkpoint. Nothing is shuffled.
+    a restart from the same checkpoint. Partitioned output is rebalanced, so that a batch writes about
+    one file per partition and not one per task, and an oversized partition is split over several tasks.
     """
-    writer = add_partition_columns(conform(stream, table), table).writeStream.outputMode("append")
-    writer = writer.format("parquet").option("path", location).option("compression", "snappy")
+    rows = add_partition_columns(conform(stream, table), table)
     fields = partition_fields(table)
+    if fields:
+        rows = rows.hint("rebalance", *fields)
+    writer = rows.writeStream.outputMode("append").format("parquet").option("path", location)
+    writer = writer.option("compression", "snappy")
     return start(writer.partitionBy(*fields) if fields else writer, checkpoint, once)
 
 
-def deduplicate_stream(stream: DataFrame, keys: list[str], at: str, delay: str) -> DataFrame:
+def deduplicate_stream(stream: DataFrame, keys: list[str], at: str, delay: str, salts: int = 16) -> DataFrame:
     """The first row of each key; state is kept only as long as a repeat may arrive (`delay`).
 
-    Repeats further apart than the watermark delay both pass, which is the price of bounded state.
+    Repeats further apart than the watermark delay both pass, which is the price of bounded state. A key
+    repeated very often is first thinned out in `salts` groups, so that the task that owns it sees at
+    most one row per group; `salts=1` saves that shuffle where repeats are rare.
     """
-    return without_zone(with_event_time(stream, at, delay).dropDuplicatesWithinWatermark(keys), at)
+    rows = with_event_time(stream, at, delay)
+    if salts > 1:
+        thinned = rows.withColumn("__salt", spread(rows, salts)).dropDuplicatesWithinWatermark([*keys, "__salt"])
+        rows = thinned.drop("__salt")
+    return without_zone(rows.dropDuplicatesWithinWatermark(keys), at)
