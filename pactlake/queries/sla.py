@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactlake.contract import Column, Rule, Table
+from pactlake.contract import Column, Partition, Rule, Table
 from pactlake.operators.quality import breaks
 from pactlake.operators.sla import (
     availability, expire_partitions, freshness_lag, quality_trend, row_count_bounds, unexpired,
@@ -45,18 +47,18 @@ def retention_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, count(DISTINCT date_trunc('hour', ts)) AS partitions FROM events
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events
 WHERE ts >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 7 DAY GROUP BY 1
 """)
 def retention_partitions_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """expired hour partitions dropped from the stored table by name."""
+    """expired partitions dropped by name from a table kept by day."""
     product = private_copy(contract("site_events"))
-    events = load(spark, sf_dir, "events")
-    write_table(events, product, "raw_events", fresh_folder(spark, "retention"))
+    by_day = replace(product.table("raw_events"), partitions=(Partition("ts", "day"),))
+    product = replace(product, tables=(by_day,))
+    write_table(load(spark, sf_dir, "events"), product, "raw_events", fresh_folder(spark, "retention"))
     expire_partitions(spark, product, "raw_events", EVENTS_AS_OF)
-    return read_table(spark, product, "raw_events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("__p_ts_hour").alias("partitions")
-    )
+    stored = read_table(spark, product, "raw_events")
+    return stored.groupBy(F.col("__p_ts_day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def availability_sql(source: str, group: str, at: str, start: str, hours: int, bound: int, target: float) -> str:
