@@ -33,9 +33,29 @@ def timestamp_literal(value: str | date | datetime) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
-def literal_as(value: Any, data_type: str) -> Column:
-    """A contract parameter as a literal of the column's type, NULL if it does not fit."""
-    return F.lit(value if isinstance(value, (int, float, str, bool)) else str(value)).try_cast(data_type)
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def is_one_of(column: str, values: list[Any], data_type: str | None) -> Column:
+    """Whether a column holds one of the listed values, read as the column's type; never NULL.
+
+    One expression whatever the length of the list; Catalyst turns a long list into a hash set. A value
+    that does not fit the type matches nothing.
+    """
+    if not values:
+        return F.lit(False)
+    typed = [_as_type(v, data_type) for v in values]
+    return F.coalesce(F.expr(f"`{column}` IN ({', '.join(typed)})"), F.lit(False))
+
+
+def _as_type(value: Any, data_type: str | None) -> str:
+    """SQL of a listed value: text is read as the column's type, numbers compare as numbers."""
+    if data_type != "string" and isinstance(value, (int, float)):
+        return str(value).lower()
+    text = sql_text(str(value).lower() if isinstance(value, bool) else str(value))
+    return text if data_type in (None, "string") else f"try_cast({text} AS {data_type})"
 
 
 def minutes_between(later: Column, earlier: Column) -> Column:

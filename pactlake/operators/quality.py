@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlake.contract import TABLE_LEVEL_RULES, Rule, Table
-from pactlake.functions.expressions import is_email, literal_as, timestamp_literal
+from pactlake.functions.expressions import is_email, is_one_of, timestamp_literal
 from pactlake.functions.skew import heaviest, spread
 from pactlake.operators.schema import column_type
+from pactlake.session import materialize
 
 RESULT_COLUMNS = ["product", "table", "tier", "rule_type", "column", "evaluated", "failed", "passed"]
 BROKEN = "broken_rules"
@@ -30,8 +31,7 @@ BROKEN = "broken_rules"
 def breaks(rule: Rule, column: str, table: Table) -> Column:
     """True for a row that breaks a row-level rule, NULL or false otherwise."""
     value = F.col(column)
-    declared = {c.name: column_type(c).simpleString() for c in table.columns}
-    literal = lambda v: literal_as(v, declared[column]) if column in declared else F.lit(v)
+    declared = {c.name: column_type(c).simpleString() for c in table.columns}.get(column)
     match rule.kind:
         case "not_null":
             return value.isNull()
@@ -40,14 +40,19 @@ def breaks(rule: Rule, column: str, table: Table) -> Column:
         case "regex":
             return ~value.rlike(rule.params["pattern"])
         case "accepted_values":
-            return ~value.isin([literal(v) for v in rule.params["values"]])
+            return value.isNotNull() & ~is_one_of(column, rule.params["values"], declared)
         case "min_value":
-            return value < F.lit(rule.params["min"])
+            return _ordered(value, rule.params["min"], declared) < F.lit(rule.params["min"])
         case "max_value":
-            return value > F.lit(rule.params["max"])
+            return _ordered(value, rule.params["max"], declared) > F.lit(rule.params["max"])
     raise ValueError(f"{rule.kind} is not a row-level rule")
 
 
+def _ordered(value: Column, bound: object, declared: str | None) -> Column:
+    """Text against a number is compared as a number; what is none passes, as a NULL does."""
+    return value.try_cast("double") if declared == "string" and not isinstance(bound, str) else value
+
+
 def checks(table: Table) -> list[tuple[Rule, str]]:
     """Every (rule, column) pair of a table; row counts have no column."""
     return [(r, c) for r in table.rules for c in (r.columns or ("",))]
@@ -122,9 +127,10 @@ def run_suite(df: DataFrame, table: Table, product: str = "", as_of: str | None
 def mark_broken(df: DataFrame, table: Table) -> DataFrame:
     """Every row with the array of the row-level rules it breaks, as ``kind:column``.
 
-    Unique columns are marked by joining the repeated values: the most frequent ones by a broadcast of
-    at most a thousand keys, all others by a shuffle from which those hot rows, and the rows with a
-    NULL, are kept out.
+    The repeated values of a unique column are counted first, from that column alone, and stored. Their
+    size being known then, the planner broadcasts them when they are few, as they are in sound data, and
+    the rows are marked without a shuffle. Where they are many, the most frequent thousand are broadcast
+    all the same, and the shuffle that finds the others leaves out those hot rows and the NULLs.
     """
     row_level = [(r, c) for r, c in checks(table) if r.kind not in ("unique", *TABLE_LEVEL_RULES)]
     marks = [F.when(breaks(r, c, table), F.lit(f"{r.kind}:{c}")) for r, c in row_level]
@@ -137,7 +143,7 @@ def mark_broken(df: DataFrame, table: Table) -> DataFrame:
 
 
 def _flag_repeated(rows: DataFrame, source: DataFrame, column: str, flag: str) -> DataFrame:
-    repeated = unique_counts(source, column).where("__rows > 1")
+    repeated = materialize(unique_counts(source, column).where("__rows > 1"), "repeated")
     heavy = heaviest(repeated, "__rows").select(column, F.lit(True).alias("__heavy"))
     rest = repeated.select(column, F.lit(0).alias("__salt"), F.lit(True).alias("__found"))
     aside = F.col("__heavy") | F.col(column).isNull()

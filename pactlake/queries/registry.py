@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@cache
 def contract(name: str) -> Product:
     return load_product(CONTRACTS / f"{name}.yml")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.contract import Product, Table
+from pactlake.functions.expressions import sql_text
 from pactlake.operators.layout import add_partition_columns, partition_fields, stored_schema
 from pactlake.operators.quality import BROKEN, mark_broken
 from pactlake.operators.schema import conform
@@ -15,14 +16,10 @@ from pactlake.operators.schema import conform
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def ensure_namespace(spark: SparkSession, product: Product) -> None:
     """The product's namespace, left as it is when present. `owner` is a reserved property."""
     properties = {"product_owner": product.team, "owner_email": product.email, "version": product.version}
-    pairs = ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in properties.items())
+    pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {product.namespace} WITH DBPROPERTIES ({pairs})")
 
 
@@ -35,7 +32,7 @@ def create_table(spark: SparkSession, product: Product, table: Table, root: str)
     if spark.catalog.tableExists(product.fqn(table.name)):
         return
     columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {_quote(c)}" if (c := f.metadata.get("comment")) else "")
+        f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {sql_text(c)}" if (c := f.metadata.get("comment")) else "")
         for f in stored_schema(table)
     )
     properties = {
@@ -49,8 +46,8 @@ def create_table(spark: SparkSession, product: Product, table: Table, root: str)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {product.fqn(table.name)} ({columns}) USING parquet"
         + (f" PARTITIONED BY ({fields})" if fields else "")
-        + f" LOCATION {_quote(product.location(root, table.name))} COMMENT {_quote(table.description or '')}"
-        + f" TBLPROPERTIES ({', '.join(f'{_quote(k)} = {_quote(v)}' for k, v in properties.items())})"
+        + f" LOCATION {sql_text(product.location(root, table.name))} COMMENT {sql_text(table.description or '')}"
+        + f" TBLPROPERTIES ({', '.join(f'{sql_text(k)} = {sql_text(v)}' for k, v in properties.items())})"
     )
     if fields:
         spark.sql(f"ALTER TABLE {product.fqn(table.name)} RECOVER PARTITIONS")

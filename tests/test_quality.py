@@ -79,6 +79,23 @@ def test_accepted_values_take_the_column_type(spark):
     assert results(df, Rule("accepted_values", ("id",), {"values": ["1", 2]}))[("accepted_values", "id")] == (3, 1)
 
 
+@pytest.mark.parametrize("values, failed", [(["1", "x"], 2), (["x"], 3), ([], 3), ([1.0, 2], 2)])
+def test_values_that_do_not_fit_the_type_match_nothing(spark, values, failed):
+    df = rows(spark, (1,), (3,), (4,), (None,))
+    assert results(df, Rule("accepted_values", ("id",), {"values": values}))[("accepted_values", "id")] == (3, failed)
+
+
+def test_accepted_text_with_quotes(spark):
+    df = rows(spark, (1, None, "it's"), (2, None, "a\\b"), (3, None, "plain"))
+    rule = Rule("accepted_values", ("code",), {"values": ["it's", "a\\b"]})
+    assert results(df, rule)[("accepted_values", "code")] == (3, 1)
+
+
+def test_number_bound_on_text(spark):
+    df = rows(spark, (1, None, "5"), (2, None, "x"), (3, None, "-1"))
+    assert results(df, Rule("min_value", ("code",), {"min": 0}))[("min_value", "code")] == (3, 1)
+
+
 def test_long_value_list(spark):
     df = spark.range(3000).select("id")
     values = list(range(2500))
