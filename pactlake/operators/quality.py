@@ -145,7 +145,8 @@ def mark_broken(df: DataFrame, table: Table) -> DataFrame:
 def _flag_repeated(rows: DataFrame, source: DataFrame, column: str, flag: str) -> DataFrame:
     repeated = materialize(unique_counts(source, column).where("__rows > 1"), "repeated")
     heavy = heaviest(repeated, "__rows").select(column, F.lit(True).alias("__heavy"))
-    rest = repeated.select(column, F.lit(0).alias("__salt"), F.lit(True).alias("__found"))
+    # Zero, but not a literal: a constant would be taken out of the join keys and the salt be lost.
+    rest = repeated.select(column, F.pmod("__rows", F.lit(1)).cast("int").alias("__salt"), F.lit(True).alias("__found"))
     aside = F.col("__heavy") | F.col(column).isNull()
     return (
         rows.join(F.broadcast(heavy), column, "left")

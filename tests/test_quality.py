@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from conftest import plan
@@ -182,6 +183,16 @@ def test_marks_with_more_repeated_keys_than_are_broadcast(spark, monkeypatch):
     assert counted == {0: 100, **{k: 2 for k in range(1, 50)}}
 
 
+def test_hot_rows_are_shuffled_by_key_and_salt(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(mark_broken(rows(spark, (1,), (1,), (2,)), table(Rule("unique", ("id",)))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\w+)#", text)
+    assert keys == [("id", "__salt"), ("id", "__salt")]
+
+
 def test_table_without_row_rules(spark):
     good, bad = quarantine(rows(spark, (1,)), table(Rule("row_count_between", (), {"min": 1})))
     assert good.count() == 1 and bad.isEmpty()

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import re
+
 import pytest
+from conftest import plan
 from pyspark.sql import functions as F
 
 from pactlake.functions.skew import heaviest, latest_per_key, skew_join, spread
@@ -32,6 +35,15 @@ def test_skew_join_on_two_keys(spark, skewed):
     assert bag(skew_join(left, right, ["k", "x"], "left")) == bag(left.join(right, ["k", "x"], "left"))
 
 
+def test_skew_join_shuffles_by_key_and_salt(spark, skewed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(skew_join(skewed, spark.range(60).toDF("k"), ["k"], "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"Exchange hashpartitioning\(.*__salt#", text)) == 2
+
+
 def test_hot_rows_are_spread(skewed):
     salts = skewed.where("k = 0").select(spread(skewed).alias("s")).distinct().count()
     assert salts > 4
