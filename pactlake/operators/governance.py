@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.contract import (
-    COLUMN_TYPES, EMAIL_PATTERN, IDENTIFIER_PATTERN, MAX_FRESHNESS_HOURS, PRODUCT_NAME_PATTERN, RULE_KINDS,
+    COLUMN_TYPES, IDENTIFIER_PATTERN, MAX_FRESHNESS_HOURS, PRODUCT_NAME_PATTERN, RULE_KINDS,
     TABLE_LEVEL_RULES, TRANSFORMS, VERSION_PATTERN, Product,
 )
 from pactlake.functions.expressions import display_name, is_email
