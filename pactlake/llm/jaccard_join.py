@@ -1,15 +1,16 @@
 """Operator 5: exact join of documents on the Jaccard similarity of their word shingles, by PartEnum signatures.
 
-The feature domain (hashes of shingles) is cut into partitions. Two sets of a size band that differ in few features
-agree on the whole of some partition, or, enumerating subsets, on all but one of the three cells of some partition; a hash
-of what a set has there is a signature that both share. The work goes in steps, each of which only ever errs by letting
-too much through:
-
-1. *Screen.* Every set gives a signature for each partition of its band. Similar sets differ in at most a ninth of their
-   joint size, so a set that has a partner shares all but that many of its signatures with others. Signatures travel
-   packed, 5 bytes each; sets that share too few are done.
-2. *Clusters.* The rest give signatures for subsets of cells, which far fewer unlike sets share. Sets with a common
-   signature fall into one cluster (each is linked to the least of its signature's group, never all to all).
+The feature domain (hashes of shingles) is cut into partitions, as many as a band of set sizes calls for. Sets that differ
+in few features agree on the whole of some partitions, and a hash of what a set has in a partition is a signature that
+both share. (In PartEnum's terms, first-level partitions have two cells, one of which may differ, so the subsets
+enumerated are single cells.) There are more cells than similar sets can differ in, so similar sets share many signatures,
+which is used twice. The work goes in steps, each of which only ever errs by letting too much through:
+
+1. *Screen.* A set of n features differs from a similar one in at most a ninth of their joint size, so it shares all but
+   that many of its signatures with others. Signatures travel packed, 5 bytes each; sets that share too few are done.
+2. *Clusters.* The rest sign in finer cells. Signatures are ordered by how many sets have them, and a set's most common ones,
+   as many as it shares with any similar set but one, are left out: passages that many documents quote no longer
+   meet. Sets with a common signature left fall into one cluster (each is linked to the least of its signature's group).
 3. *Verification.* A cluster's sets meet in a task, large clusters in blocks of comparable sizes, and the sizes of all
    intersections are counted exactly. A block gives the links that hold its components together, not all pairs.
 4. *Components* over those links. Equal sets are one set from the start, so copies cost nothing after step 1.
@@ -34,8 +35,9 @@ from pactlake.llm.scratch import Scratch
 SCREEN_BYTES, CLUSTER_FEATURES = 24 << 20, 2_000_000
 #: Sets in a block of a large cluster.
 BLOCK = 512
-_CELLS, _SPARED = 3, 1
-_MOST_LEVELS = 64
+#: Features per cell at the upper end of a band, in the screen and for clusters.
+SCREEN_FILL, CLUSTER_FILL = 3, 2
+_RATIO = 2
 
 
 def most_different(n: np.ndarray) -> np.ndarray:
@@ -43,26 +45,21 @@ def most_different(n: np.ndarray) -> np.ndarray:
     return (n + (5 * n) // 4) // 9
 
 
-def _levels(n: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+def _bounds() -> np.ndarray:
+    """Least size of each band."""
+    return np.array([_RATIO**i for i in range(1, 41)])
+
+
+def _levels(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every set the index of the set and a size band in which it signs: its own, and the next one if a similar set
     may lie there. A pair meets in the band of its larger set."""
-    bounds = band_bounds(ratio)
-    own = np.searchsorted(bounds, n, side="right") - 1
-    above = np.searchsorted(bounds, (5 * n) // 4, side="right") - 1
+    own = np.searchsorted(_bounds(), n, side="right") - 1
+    above = np.searchsorted(_bounds(), (5 * n) // 4, side="right") - 1
     index = np.arange(len(n))
     also = above > own
     return np.concatenate([index, index[also]]), np.concatenate([own, own[also] + 1])
 
 
-def band_bounds(ratio: float) -> np.ndarray:
-    """Least size of each band; every band is at least a quarter wider than it begins, so that a set and a similar one
-    lie in the same band or in neighbouring ones."""
-    bounds = [1]
-    while bounds[-1] < 1 << 40:
-        bounds.append(max(math.ceil(bounds[-1] * ratio), (5 * bounds[-1]) // 4 + 1))
-    return np.array(bounds)
-
-
 def _take(values: np.ndarray, starts: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The values of the indexed sets end to end, and to which place of `index` each belongs."""
     counts = np.diff(starts)[index]
@@ -81,65 +78,31 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(values, first)
 
 
-def screen_signatures(values: np.ndarray, starts: np.ndarray):
-    """For all sets end to end: (index of set, band, signatures it must share), and (entry, signature).
+def signatures(values: np.ndarray, starts: np.ndarray, fill: int):
+    """For all sets end to end: (index of set, band, signatures, most differences) of each entry, a set in a band; and
+    (entry, signature) of each signature.
 
-    A set of n features has its features dealt to a third as many partitions as its band's sizes reach; the signature of
-    a partition is a hash of the features in it. Empty partitions sign nothing: a set that shares all but d of its
-    non-empty partitions shares `non-empty - d` signatures, and one for which that is no more than nothing always stays.
+    Features are dealt to cells by hash, `fill` to a cell at the upper end of the band; the signature of a cell is a hash
+    of the features in it. Empty cells sign nothing: a set that has f non-empty cells and differs in at most d features shares
+    at least f - d signatures. Where that is nothing, all such sets of the band share one more signature.
     """
     n = np.diff(starts)
-    index, level = _levels(n, 2.0)
-    bounds = band_bounds(2.0)
-    live = most_different(n[index]) > 0
-    index, level = index[live], level[live]
+    index, level = _levels(n)
+    most = most_different(n[index])
+    live = most > 0
+    index, level, most = index[live], level[live], most[live]
     elements, entry = _take(values, starts, index)
-    parts = np.maximum(3, (bounds[level + 1] + 2) // 3).astype(U64)
-    part = mix(elements ^ mix(level.astype(U64))[entry]) % parts[entry]
-    keys, sums = _sums((entry.astype(U64) << U64(40)) | part, mix(elements + U64(7)))
+    cells = np.maximum(4, _bounds()[level] * _RATIO // fill).astype(U64)
+    cell = mix(elements ^ mix(level.astype(U64) + U64(31 * fill))[entry]) % cells[entry]
+    keys, sums = _sums((entry.astype(U64) << U64(40)) | cell, mix(elements + U64(7)))
     entry = (keys >> U64(40)).astype(np.int64)
-    need = np.bincount(entry, minlength=len(index)) - most_different(n[index])
-    return index, level, need, entry, mix(sums ^ mix(keys & U64((1 << 40) - 1)) ^ mix(level.astype(U64) + U64(99))[entry])
-
-
-def subset_signatures(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """PartEnum signatures of all sets end to end: (index of set, signature).
-
-    In a band whose pairs differ in at most d features there are d // 2 + 1 partitions, so some partition holds at most
-    one difference; its features are dealt to three cells, and the set signs with each two of them. At least one of these
-    three is equal for both sets. A spare partition makes up for those where a set has no two cells filled and so no
-    signature; a set with too many of those signs with what is empty too.
-    """
-    n = np.diff(starts)
-    index, level = _levels(n, 1.25)
-    top = band_bounds(1.25)[level + 1] - 1
-    apart = (2 * top) // 9 // (_SPARED + 1)
-    parts = (apart + 1 + (top >= 40)).astype(np.int64)
-    elements, entry = _take(values, starts, index)
-    seed = mix(level.astype(U64) + U64(1000))
-    spread = mix(elements ^ seed[entry])
-    cell = (spread % (parts[entry] * _CELLS).astype(U64)).astype(np.int64)
-    base = np.cumsum(parts) - parts
-    sums = np.zeros(int(parts.sum()) * _CELLS, U64)
-    filled = np.zeros(len(sums), bool)
-    at = base[entry] * _CELLS + cell
-    np.add.at(sums, at, mix(elements + U64(11)))
-    filled[at] = True
-    sums, filled = sums.reshape(-1, _CELLS), filled.reshape(-1, _CELLS)
-    owner = np.repeat(np.arange(len(index)), parts)
-    rich = filled.sum(axis=1) > _SPARED
-    weak = np.bincount(owner, weights=rich, minlength=len(index)) <= apart
-    out_index, out_sig = [], []
-    place = mix((np.arange(len(owner)) - base[owner]).astype(U64) + U64(1)) ^ seed[owner]
-    for spared in range(_CELLS):
-        rest = [c for c in range(_CELLS) if c != spared]
-        use = filled[:, rest].any(axis=1) | weak[owner]
-        signature = place + U64(spared)
-        for c in rest:
-            signature = mix(signature ^ sums[:, c])
-        out_index.append(index[owner[use]])
-        out_sig.append(signature[use])
-    return np.concatenate(out_index), np.concatenate(out_sig)
+    filled = np.bincount(entry, minlength=len(index))
+    signature = mix(sums ^ mix(keys & U64((1 << 40) - 1)) ^ mix(level.astype(U64) + U64(99))[entry])
+    weak = np.flatnonzero(filled <= most)
+    return (
+        index, level, filled, most,
+        np.concatenate([entry, weak]), np.concatenate([signature, mix(mix(level[weak].astype(U64) + U64(1234)))]),
+    )
 
 
 # -- packing -----------------------------------------------------------------------------------------------------------
@@ -176,8 +139,9 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype)
 
 
-def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, and for every distinct (signature, key) the group of its signature and the index of its key."""
+def _unpack(table: pa.Table, named: bool = False) -> tuple[np.ndarray, ...]:
+    """Distinct keys, and for every distinct (signature, key) the group of its signature and the index of its key, and the
+    signature if named."""
     keys, counts = _joined(table["keys"], "<i8"), _joined(table["counts"], "<u4")
     signature = _joined(table["low"], "<u4").astype(U64) | (_joined(table["high"], "u1").astype(U64) << U64(32))
     keys, key = np.unique(keys, return_inverse=True)
@@ -189,7 +153,7 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     signature, key = signature[keep], key[keep]
     new = np.ones(len(key), bool)
     new[1:] = signature[1:] != signature[:-1]
-    return keys, np.cumsum(new) - 1, key
+    return (keys, np.cumsum(new) - 1, key) + ((signature,) if named else ())
 
 
 # -- steps -------------------------------------------------------------------------------------------------------------
@@ -215,15 +179,14 @@ def _screened(documents: DataFrame, pids: int) -> DataFrame:
                 batch = whole.slice(begin, 2000)
                 values, starts = shingle_sets(batch.column(1))
                 digest, check = _digests(values, starts)
-                index, level, need, entry, signature = screen_signatures(values, starts)
+                index, level, filled, most, entry, signature = signatures(values, starts, SCREEN_FILL)
+                need = filled - most
                 keys = (digest[index].view(U64) ^ mix(level.astype(U64) + U64(5))).view(np.int64)
                 docs = np.zeros(batch.num_rows, _DOC)
                 docs["doc_id"] = batch.column(0).fill_null(0).to_numpy()
                 docs["null"] = batch.column(0).is_null().to_numpy(zero_copy_only=False)
                 docs["n"], docs["digest"], docs["check"] = np.diff(starts), digest, check
                 docs["need"] = 1 << 60
-                first = np.zeros(len(index), np.int64)
-                first[1:] = 0
                 order = np.argsort(index, kind="stable")
                 repeat = np.zeros(len(index), np.int64)
                 repeat[order[1:]] = index[order][1:] == index[order][:-1]
@@ -268,7 +231,7 @@ def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                     [batch.column(0), pa.array(np.diff(starts)), pa.array(sets, pa.binary())], ["doc_id", "n", "features"]
                 )
 
-    rows = documents.join(wanted, "doc_id").select("doc_id", "text", "digest")
+    rows = documents.hint("shuffle_merge").join(wanted, "doc_id").select("doc_id", "text", "digest")
     return rows.mapInArrow(gather, "doc_id long, n long, features binary").where("features is not null").dropDuplicates(["doc_id"])
 
 
@@ -279,26 +242,68 @@ def _read_sets(column) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else np.zeros(0, U64), starts
 
 
+_KEPT = np.dtype([("size", "<u4"), ("signature", "<u8")])
+
+
 def _cluster_edges(sets: DataFrame, pids: int) -> DataFrame:
-    def sign(batches):
+    def entries(batches, emit):
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
                 batch = whole.slice(begin, 500)
-                index, signature = subset_signatures(*_read_sets(batch.column(1)))
-                yield _pack(pids, batch.column(0).to_numpy(), index, signature)
+                values, starts = _read_sets(batch.column(1))
+                index, level, filled, most, entry, signature = signatures(values, starts, CLUSTER_FILL)
+                keys = (_digests(values, starts)[0][index].view(U64) ^ mix(level.astype(U64) + U64(6))).view(np.int64)
+                yield emit(batch, index, keys, filled, most, entry, signature)
+
+    def sign(batches):
+        return entries(batches, lambda batch, index, keys, filled, most, entry, signature: _pack(pids, keys, entry, signature))
+
+    def describe(batches):
+        def emit(batch, index, keys, filled, most, entry, signature):
+            ids = batch.column(0).take(pa.array(index))
+            return pa.RecordBatch.from_arrays([ids, pa.array(keys), pa.array(filled.astype(np.int64)), pa.array(most)], ["doc_id", "key", "filled", "most"])
+
+        return entries(batches, emit)
+
+    def count(table: pa.Table) -> pa.Table:
+        """For each key its signatures that others have too, and how many sets have them."""
+        home = U64(table["pid"][0].as_py()) << U64(40)
+        keys, group, key, signature = _unpack(table, True)
+        sizes = np.bincount(group)[group] if len(group) else group
+        some = sizes > 1
+        order = np.argsort(key[some], kind="stable")
+        key, found = key[some][order], np.zeros(int(some.sum()), _KEPT)
+        found["size"], found["signature"] = sizes[some][order], signature[some][order] | home
+        cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        ends = np.append(cuts[1:], len(key))
+        return pa.table({"key": pa.array(keys[key[cuts]], pa.int64()), "found": pa.array([found[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())})
+
+    def choose(batches):
+        """Signs anew with the least common signatures of each set, as many as it may differ in and one more; those that no
+        other set has come first and need not travel."""
+        for batch in batches:
+            found = [np.sort(np.frombuffer(b"".join(x), _KEPT), order=("size", "signature")) for x in batch.column(3).to_pylist()]
+            filled, most = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            kept = [f if w <= m else f[: max(0, m + 1 - (w - len(f)))] for f, w, m in zip(found, filled, most, strict=True)]
+            entry = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
+            signature = np.concatenate([k["signature"] for k in kept]) if kept else np.zeros(0, U64)
+            yield _pack(pids, batch.column(0).to_numpy(), entry, mix(signature))
 
     def stars(table: pa.Table) -> pa.Table:
         keys, group, key = _unpack(table)
-        if not len(group):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else group
         least = key[first][group]
         other = least != key
         pairs = np.unique(least[other].astype(U64) << U64(32) | key[other].astype(U64))
-        return pa.table({"a": keys[(pairs >> U64(32)).astype(np.int64)], "b": keys[(pairs & U64(0xFFFFFFFF)).astype(np.int64)]})
+        a, b = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
+        return pa.table({"a": pa.array(keys[a], pa.int64()), "b": pa.array(keys[b], pa.int64())})
 
-    packed = sets.select("doc_id", "features").mapInArrow(sign, PACKED)
-    return packed.groupBy("pid").applyInArrow(stars, "a long, b long").distinct()
+    features = sets.select("doc_id", "features")
+    counted = features.mapInArrow(sign, PACKED).groupBy("pid").applyInArrow(count, "key long, found binary")
+    described = features.mapInArrow(describe, "doc_id long, key long, filled long, most long")
+    listed = counted.groupBy("key").agg(F.collect_list("found").alias("found")).hint("shuffle_merge")
+    chosen = listed.join(described, "key").select("doc_id", "filled", "most", "found")
+    return chosen.mapInArrow(choose, PACKED).groupBy("pid").applyInArrow(stars, "a long, b long").distinct()
 
 
 def intersections(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -383,7 +388,7 @@ def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
         ).alias("side"),
     ).select("meeting", "component", "side.cut", "side.block")
     dealt = rows.join(meetings, ["component", "cut", "block"]).select("meeting", "doc_id")
-    return dealt.join(sets, "doc_id").select("meeting", "doc_id", "features").groupBy("meeting").applyInArrow(_verified, "a long, b long")
+    return dealt.join(sets.hint("shuffle_merge"), "doc_id").select("meeting", "doc_id", "features").groupBy("meeting").applyInArrow(_verified, "a long, b long")
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
