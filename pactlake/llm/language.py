@@ -62,10 +62,10 @@ class PpmModel:
         self.keys: list[np.ndarray] = []
         self.cost: list[np.ndarray] = []
         self.escape: list[np.ndarray] = []
+        self.contexts: list[Lookup] = []
         for size in range(1, ORDER + 2):
             keys = np.unique(np.concatenate([c[size - 1][0] for c in counted] + [np.zeros(0, np.uint32)]))
-            contexts = self.keys[-1] if size > 1 else np.zeros(1, np.uint32)
-            context = np.searchsorted(contexts, keys >> np.uint32(8)) if size > 1 else np.zeros(len(keys), np.int64)
+            contexts, context = np.unique(keys >> np.uint32(8), return_inverse=True)
             escape, cost = np.zeros((len(contexts), len(counted))), np.zeros((len(keys), len(counted)))
             shorter = self._shorter(keys, size, lower)
             for column, by_size in enumerate(counted):
@@ -80,6 +80,7 @@ class PpmModel:
             self.keys.append(keys)
             self.cost.append(cost.astype(np.float32))
             self.escape.append(escape.astype(np.float32))
+            self.contexts.append(Lookup(contexts))
             lower = cost
         self.lookups = [Lookup(keys) for keys in self.keys]
 
@@ -100,12 +101,9 @@ class PpmModel:
             rest, mine = rest[~hit], mine[~hit]
             if not len(rest):
                 return out
-            if size > 1:
-                context = self.lookups[size - 2](mine >> np.uint32(8))
-                known = context >= 0
-                out[rest[known]] += self.escape[size - 1][context[known]]
-            elif len(self.escape[0]):
-                out[rest] += self.escape[0][0]
+            context = self.contexts[size - 1](mine >> np.uint32(8))
+            known = context >= 0
+            out[rest[known]] += self.escape[size - 1][context[known]]
         out[rest] += 8.0
         return out
 
