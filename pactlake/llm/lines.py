@@ -68,9 +68,10 @@ def least_common(n: Column, m: Column) -> Column:
 
 
 def key_count(n: Column) -> Column:
-    """How many of the rarest neighbouring pairs are keys, given the smallest similar set."""
+    """How many of the rarest neighbouring pairs are keys: all but as many as any similar line shares, and one. The fewest
+    are shared with a line of the least size or, as sizes round, with one of the next two."""
     least = F.ceil(n * SIMILAR / 100).cast("int")
-    shared = 3 * least_common(n, least) - n - least - 1
+    shared = F.least(*[3 * least_common(n, least + k) - n - (least + k) - 1 for k in range(3)])
     return F.least(n - 1, n - shared)
 
 
