@@ -14,6 +14,7 @@ Differences a reader of older documents should know:
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -44,6 +45,8 @@ REQUIRED_PARAMS = {
     "max_value": ("max",),
     "freshness_hours": ("hours",),
 }
+#: Types that say more than their name, so that as elements they are written as a column without a name.
+NESTED_TYPES = ("decimal", "array", "map", "struct")
 TABLE_LEVEL_RULES = ("row_count_between", "freshness_hours")
 
 
@@ -87,7 +90,7 @@ class Column:
     tags: tuple[str, ...] = ()
     precision: int | None = None
     scale: int | None = None
-    element: str = "string"
+    element: str | Column = "string"
     fields: tuple[Column, ...] = ()
 
 
@@ -149,7 +152,8 @@ class Product:
         return next(t for t in self.tables if t.name == name)
 
     def in_tier_order(self) -> list[Table]:
-        return sorted(self.tables, key=lambda t: TIERS.index(t.tier))
+        """Bronze to gold, and every table after the tables it reads."""
+        return _by_inputs(self.tables)
 
     @property
     def bronze_retention_days(self) -> int:
@@ -157,6 +161,16 @@ class Product:
         return max(1, self.freshness_hours * 7 // 24)
 
 
+def _by_inputs(tables: Iterable[Table]) -> list[Table]:
+    """Tables in tier order, each after its inputs; those of a circle are left out."""
+    left, out = sorted(tables, key=lambda t: TIERS.index(t.tier)), []
+    names = {t.name for t in left}
+    while ready := next((t for t in left if not (set(t.inputs) & names) - {o.name for o in out}), None):
+        left.remove(ready)
+        out.append(ready)
+    return out
+
+
 def load_product(path: str | Path) -> Product:
     document = yaml.safe_load(Path(path).read_text())
     return parse_product(document)
@@ -171,20 +185,22 @@ def parse_product(document: Any) -> Product:
         if not ok:
             problems.append(message)
 
-    owner, sla = document.get("owner") or {}, document.get("sla") or {}
+    owner, sla = _mapping(document.get("owner"), "owner", check), _mapping(document.get("sla"), "sla", check)
     name, version = str(document.get("name", "")), str(document.get("version", ""))
-    check(bool(re.match(PRODUCT_NAME_PATTERN, name)), f"bad product name {name!r}")
-    check(bool(re.match(VERSION_PATTERN, version)), f"bad version {version!r}")
+    check(bool(re.fullmatch(PRODUCT_NAME_PATTERN, name)), f"bad product name {name!r}")
+    check(bool(re.fullmatch(VERSION_PATTERN, version)), f"bad version {version!r}")
     check(bool(owner.get("team")), "owner.team is missing")
-    check(bool(re.match(EMAIL_PATTERN, str(owner.get("email", "")))), "owner.email is not an email address")
+    check(bool(re.fullmatch(EMAIL_PATTERN, str(owner.get("email", "")))), "owner.email is not an email address")
     hours, share = sla.get("freshness_hours"), sla.get("availability_pct", 99.9)
     check(_is_int(hours) and 0 < hours <= MAX_FRESHNESS_HOURS, "sla.freshness_hours must be in 1..8760")
     check(isinstance(share, (int, float)) and 0 <= share <= 100, "sla.availability_pct must be in 0..100")
 
-    tables = [_parse_table(t, check) for t in document.get("tables") or []]
+    tables = [_parse_table(t, check) for t in _mappings(document.get("tables"), "tables", check)]
     check(bool(tables), "a product needs at least one table")
     for double in _repeated(t.name for t in tables):
         problems.append(f"duplicate table {double!r}")
+    if not problems:
+        check(len(_by_inputs(tables)) == len(tables), "tables read each other in a circle")
     if problems:
         raise ContractError(problems)
     return Product(
@@ -196,18 +212,28 @@ def parse_product(document: Any) -> Product:
     )
 
 
+def _mapping(value: Any, what: str, check) -> dict:
+    check(value is None or isinstance(value, dict), f"{what} must be a mapping")
+    return value if isinstance(value, dict) else {}
+
+
+def _mappings(value: Any, what: str, check) -> list[dict]:
+    check(value is None or isinstance(value, list), f"{what} must be a list")
+    return [_mapping(v, f"an entry of {what}", check) for v in value] if isinstance(value, list) else []
+
+
 def _parse_table(doc: dict, check) -> Table:
     name, tier = str(doc.get("name", "")), doc.get("tier")
-    check(bool(re.match(IDENTIFIER_PATTERN, name)), f"bad table name {name!r}")
+    check(bool(re.fullmatch(IDENTIFIER_PATTERN, name)), f"bad table name {name!r}")
     check(tier in TIERS, f"{name}: unknown tier {tier!r}")
-    columns = tuple(_parse_column(c, name, check) for c in doc.get("schema") or [])
+    columns = tuple(_parse_column(c, name, check) for c in _mappings(doc.get("schema"), f"{name}: schema", check))
     check(bool(columns), f"{name}: a table needs at least one column")
     for double in _repeated(c.name for c in columns):
         check(False, f"{name}: duplicate column {double!r}")
     declared = {c.name for c in columns}
 
     partitions = []
-    for p in doc.get("partition_by") or []:
+    for p in _mappings(doc.get("partition_by"), f"{name}: partition_by", check):
         spec = Partition(p.get("column", ""), p.get("transform", "identity"), p.get("num_buckets"), p.get("width"))
         check(spec.column in declared, f"{name}: partition on unknown column {spec.column!r}")
         check(spec.transform in TRANSFORMS, f"{name}: unknown transform {spec.transform!r}")
@@ -231,18 +257,25 @@ def _parse_table(doc: dict, check) -> Table:
 def _parse_column(doc: dict, table: str, check) -> Column:
     name, kind = str(doc.get("name", "")), doc.get("type")
     where = f"{table}.{name}"
-    check(bool(re.match(IDENTIFIER_PATTERN, name)), f"bad column name {where!r}")
+    check(bool(re.fullmatch(IDENTIFIER_PATTERN, name)), f"bad column name {where!r}")
     check(kind in COLUMN_TYPES, f"{where}: unknown type {kind!r}")
     precision, scale = doc.get("decimal_precision"), doc.get("decimal_scale")
     if kind == "decimal":
         check(precision is not None and scale is not None, f"{where}: decimal needs precision and scale")
-    fields = tuple(_parse_column(f, where, check) for f in doc.get("fields") or [])
+    fields = tuple(_parse_column(f, where, check) for f in _mappings(doc.get("fields"), f"{where}: fields", check))
     if kind == "struct":
         check(bool(fields), f"{where}: struct needs fields")
+    element = doc.get("element_type", "string")
+    if kind in ("array", "map"):
+        if isinstance(element, dict):
+            element = _parse_column({"name": "element", **element}, where, check)
+        else:
+            check(element in COLUMN_TYPES, f"{where}: unknown element type {element!r}")
+            check(element not in NESTED_TYPES, f"{where}: element type {element!r} needs a mapping with its details")
     return Column(
         name=name, type=kind, nullable=doc.get("nullable", True), pii=doc.get("pii", False),
         description=doc.get("description"), tags=tuple(doc.get("tags") or ()),
-        precision=precision, scale=scale, element=doc.get("element_type", "string"), fields=fields,
+        precision=precision, scale=scale, element=element, fields=fields,
     )
 
 

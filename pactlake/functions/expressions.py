@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column
@@ -33,6 +34,11 @@ def timestamp_literal(value: str | date | datetime) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def hours(value: float) -> Column:
+    """An interval of hours, to the microsecond."""
+    return F.make_dt_interval(secs=F.lit((Decimal(str(value)) * 3600).quantize(Decimal("0.000001"))))
+
+
 def sql_text(value: str) -> str:
     """A string as a SQL literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -42,11 +48,11 @@ def is_one_of(column: str, values: list[Any], data_type: str | None) -> Column:
     """Whether a column holds one of the listed values, read as the column's type; never NULL.
 
     One expression whatever the length of the list; Catalyst turns a long list into a hash set. A value
-    that does not fit the type matches nothing.
+    that does not fit the type matches nothing, nor does a NULL in the list.
     """
-    if not values:
+    typed = [_as_type(v, data_type) for v in values if v is not None]
+    if not typed:
         return F.lit(False)
-    typed = [_as_type(v, data_type) for v in values]
     return F.coalesce(F.expr(f"`{column}` IN ({', '.join(typed)})"), F.lit(False))
 
 

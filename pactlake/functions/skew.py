@@ -1,8 +1,7 @@
 """Joins and per-key picks that hold when one key owns a large share of the rows.
 
-``heaviest`` takes the ``HEAVY_KEYS`` most frequent keys.  Any key left out has fewer than
-``1 / HEAVY_KEYS`` of the rows, so the ordinary shuffle handles it; the keys taken are at most
-``HEAVY_KEYS`` rows, which is what makes broadcasting them safe at any data size.
+A key is heavy when it has more rows than a task should get. There are at most rows / ROWS_PER_TASK of them, about as
+many as tasks, so the list of heavy keys is small beside the data, and no key left out is more than a task's work.
 """
 
 from __future__ import annotations
@@ -10,40 +9,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HEAVY_KEYS = 1000
+#: Rows of one key that a task takes without splitting.
+ROWS_PER_TASK = 1_000_000
+#: Parts over which rows without a key are spread.
 SALTS = 64
 
 
-def heaviest(counts: DataFrame, count: str = "count", keys: int = HEAVY_KEYS) -> DataFrame:
-    return counts.orderBy(F.desc(count)).limit(keys)
+def heaviest(counts: DataFrame, count: str = "count", rows_per_task: int | None = None) -> DataFrame:
+    """The keys with more rows than a task takes."""
+    return counts.where(F.col(count) > (rows_per_task or ROWS_PER_TASK))
 
 
-def spread(df: DataFrame, salts: int = SALTS) -> Column:
-    """A salt in [0, salts) for the rows of `df` that is the same when a task is run again.
-
-    Identical rows in different input partitions get different salts through the partition id.
-    Maps cannot be hashed and are left out.
-    """
-    columns = [name for name, kind in df.dtypes if "map<" not in kind]
-    mixed = F.pmod(F.xxhash64(*columns), F.lit(salts)) + F.spark_partition_id()
-    return F.pmod(mixed, F.lit(salts)).cast("int")
+def spread(key: Column, salts: int | Column = SALTS) -> Column:
+    """A salt in [0, salts) for the rows of a key that is the same when a task is run again: rows of one input
+    partition share it, and the partitions take turns. It reads no column but the key."""
+    salts = F.lit(salts) if isinstance(salts, int) else salts
+    return F.pmod(F.pmod(F.hash(key), salts) + F.spark_partition_id(), salts).cast("int")
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salts: int = SALTS) -> DataFrame:
-    """Equi-join for a left side with hot keys: their rows are salted, the right rows repeated per salt.
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, rows_per_task: int | None = None) -> DataFrame:
+    """Equi-join for a left side with hot keys: a heavy key's rows are salted, as many salts as it has tasks' worth of
+    rows, and its right rows repeated per salt.
 
     `how` is inner, left, left_semi or left_anti.  NULL keys never match, so they are only spread.
     """
+    share = rows_per_task or ROWS_PER_TASK
     counts = left.where(_all_set(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    heavy = F.broadcast(heaviest(counts, "__rows").select(*on, F.lit(True).alias("__heavy")))
-    hot = F.coalesce(F.col("__heavy"), ~_all_set(on))
-    salted_left = (
-        left.join(heavy, on, "left")
-        .withColumn("__salt", F.when(hot, spread(left, salts)).otherwise(0))
-        .drop("__heavy")
-    )
-    copies = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(heavy, on, "left").withColumn("__salt", F.explode(copies)).drop("__heavy")
+    parts = F.ceil(F.col("__rows") / share).cast("int")
+    heavy = F.broadcast(heaviest(counts, "__rows", share).select(*on, parts.alias("__parts")))
+    key = F.struct(*on)
+    salt = F.when(F.col("__parts").isNotNull(), spread(key, F.col("__parts"))).when(~_all_set(on), spread(key)).otherwise(0)
+    salted_left = left.join(heavy, on, "left").withColumn("__salt", salt).drop("__parts")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1)
+    salted_right = right.join(heavy, on, "left").withColumn("__salt", F.explode(copies)).drop("__parts")
     return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
 
 

@@ -15,10 +15,9 @@ LOG_SCHEMA = (
     "product string, version string, deployed_at timestamp_ntz, sequence long, namespace string,"
     " tables_json string, errors_json string, deleted boolean"
 )
-TABLES_JSON = (
-    "array<struct<name: string, tier: string, location: string, fqn: string, suite_path: string,"
-    " model_path: string, registry_fqn: string, asset_key: string>>"
-)
+#: What is asked of a deployed table: its name and tier, and which kinds of resource were made for it.
+RESOURCES = ("table", "suite", "model")
+TABLES_JSON = "array<struct<name: string, tier: string, resources: array<string>>>"
 
 
 def append(log: DataFrame, location: str) -> None:
@@ -62,13 +61,10 @@ def listing(latest_rows: DataFrame) -> DataFrame:
 def resource_matrix(latest_rows: DataFrame) -> DataFrame:
     """H5: per deployed table, which resources exist for it."""
     tables = latest_rows.select("product", F.inline(F.from_json("tables_json", TABLES_JSON)))
+    there = lambda kind: F.coalesce(F.array_contains("resources", kind), F.lit(False))
     return tables.select(
-        "product",
-        F.col("name").alias("table"),
-        "tier",
-        F.col("registry_fqn").isNotNull().alias("registered"),
-        F.col("suite_path").isNotNull().alias("suite"),
-        F.col("model_path").isNotNull().alias("model"),
+        "product", F.col("name").alias("table"), "tier",
+        there("table").alias("registered"), there("suite").alias("suite"), there("model").alias("model"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pactlake.contract import (
     COLUMN_TYPES, IDENTIFIER_PATTERN, MAX_FRESHNESS_HOURS, PRODUCT_NAME_PATTERN, RULE_KINDS,
-    TABLE_LEVEL_RULES, TRANSFORMS, VERSION_PATTERN, Product,
+    TIERS, TRANSFORMS, VERSION_PATTERN, Product,
 )
 from pactlake.functions.expressions import display_name, is_email
 from pactlake.functions.skew import skew_join
@@ -33,6 +33,7 @@ CONTRACTS_SCHEMA = (
     f" tags array<string>, tables array<{TABLE_STRUCT}>"
 )
 
+#: Fixed value: the tag that catalogs know.
 PII_TAG = "PII.Sensitive"
 UNGUARDED = "unguarded"
 
@@ -106,10 +107,10 @@ def owner_assignment(contracts: DataFrame, teams: DataFrame) -> DataFrame:
     """The owning team's id where the team is known, NULL where not. `teams` is (team, team_id).
 
     Owners join once per product, before the tables are unfolded; a team owning a third of all products
-    is a hot key of that join.
+    is a hot key of that join. A team listed with several ids gets the least.
     """
     lean = contracts.select("product", "team", _names(F.col("tables")).alias("names"))
-    owned = skew_join(lean, teams.dropDuplicates(["team"]), ["team"], "left")
+    owned = skew_join(lean, teams.groupBy("team").agg(F.min("team_id").alias("team_id")), ["team"], "left")
     return owned.select(
         "product", F.explode("names").alias("table"), "team", "team_id", F.col("team_id").isNotNull().alias("assigned")
     )
@@ -119,7 +120,9 @@ def propagated_tags(contracts: DataFrame) -> DataFrame:
     """A column carries its product's, table's and own tags, and ``pii`` if personal; sorted."""
     columns = contract_tables(contracts, "tags").select("product", "tags", "t", F.explode("t.columns").alias("c"))
     pii = F.when(F.col("c.pii"), F.array(F.lit("pii"))).otherwise(F.array().cast("array<string>"))
-    tags = F.array_union(F.array_union("tags", "t.tags"), F.array_union("c.tags", pii))
+    none = F.array().cast("array<string>")
+    own = [F.coalesce(F.col(c), none) for c in ("tags", "t.tags", "c.tags")]
+    tags = F.array_union(F.array_union(own[0], own[1]), F.array_union(own[2], pii))
     return columns.select(
         "product",
         F.col("t.name").alias("table"),
@@ -151,7 +154,7 @@ def product_summary(contracts: DataFrame) -> DataFrame:
 
 def rule_coverage(contracts: DataFrame) -> DataFrame:
     """The rule kinds guarding each column, and whether a required column has none."""
-    columns = contract_tables(contracts).select("product", "t", F.explode("t.columns").alias("c"))
+    columns = contract_tables(_complete(contracts)).select("product", "t", F.explode("t.columns").alias("c"))
     guards = _kinds(F.filter("t.rules", lambda r: F.array_contains(r["columns"], F.col("c.name"))))
     return columns.select(
         "product",
@@ -165,16 +168,19 @@ def rule_coverage(contracts: DataFrame) -> DataFrame:
 def lint(contracts: DataFrame) -> DataFrame:
     """One row per violated validity rule, (product, table, object, violation).
 
-    All checks sit in one projection over one scan; nothing is shuffled.
+    All checks sit in one projection over one scan; nothing is shuffled. A corpus read from storage did not pass the
+    loader, so any field may be NULL: a missing array counts as empty and a missing value breaks its rule.
     """
+    contracts = _complete(contracts)
     product_level = _found(
         "",
         [
-            (~F.col("product").rlike(_whole(PRODUCT_NAME_PATTERN)), "product", "bad product name"),
-            (~F.col("version").rlike(_whole(VERSION_PATTERN)), "version", "bad version"),
-            (~is_email(F.col("email")), "owner", "bad owner email"),
-            (~F.col("freshness_hours").between(1, MAX_FRESHNESS_HOURS), "sla", "freshness_hours out of range"),
-            (~F.col("availability_pct").between(0.0, 100.0), "sla", "availability_pct out of range"),
+            (~_holds(F.col("product").rlike(_whole(PRODUCT_NAME_PATTERN))), "product", "bad product name"),
+            (~_holds(F.col("version").rlike(_whole(VERSION_PATTERN))), "version", "bad version"),
+            (~_holds(is_email(F.col("email"))), "owner", "bad owner email"),
+            (~_holds(F.col("freshness_hours").between(1, MAX_FRESHNESS_HOURS)), "sla", "freshness_hours out of range"),
+            (~_holds(F.col("availability_pct").between(0.0, 100.0)), "sla", "availability_pct out of range"),
+            (~_holds(F.trim("team") != ""), "owner", "no team"),
             (F.size("tables") == 0, "product", "no tables"),
         ],
     )
@@ -189,7 +195,7 @@ def lint(contracts: DataFrame) -> DataFrame:
 
 def _table_violations(t: Column, names: Column) -> Column:
     columns = t["columns"]
-    unknown = lambda c: ~F.array_contains(names, c)
+    unknown = lambda c: ~_holds(F.array_contains(names, c))
     flag = lambda items, broken, name, text: F.transform(
         F.filter(items, broken), lambda i: _violation(t["name"], name(i), text)
     )
@@ -198,8 +204,10 @@ def _table_violations(t: Column, names: Column) -> Column:
     by_column = lambda i: i["column"]
     needs = {"regex": "pattern", "accepted_values": "values", "min_value": "min", "max_value": "max",
              "freshness_hours": "hours"}
+    has = lambda r, param: F.array_contains(r["params"], param)
     missing_param = lambda r: _any(
-        (r["kind"] == kind) & ~F.array_contains(r["params"], param) for kind, param in needs.items()
+        [(r["kind"] == kind) & ~has(r, param) for kind, param in needs.items()]
+        + [(r["kind"] == "row_count_between") & ~has(r, "min") & ~has(r, "max")]
     )
     rule_targets = F.flatten(
         F.transform(t["rules"], lambda r: F.transform(F.filter(r["columns"], unknown), lambda c: F.struct(
@@ -207,18 +215,19 @@ def _table_violations(t: Column, names: Column) -> Column:
     )
     return F.concat(
         _found(t["name"], [
-            (~t["name"].rlike(_whole(IDENTIFIER_PATTERN)), t["name"], "bad table name"),
+            (~_holds(t["name"].rlike(_whole(IDENTIFIER_PATTERN))), t["name"], "bad table name"),
+            (~_holds(t["tier"].isin(*TIERS)), t["name"], "unknown tier"),
             (F.size(columns) == 0, t["name"], "no columns"),
         ]),
         F.transform(_repeated(names), lambda n: _violation(t["name"], n, "duplicate column name")),
-        flag(columns, lambda c: ~c["name"].rlike(_whole(IDENTIFIER_PATTERN)), by_name, "bad column name"),
-        flag(columns, lambda c: ~c["type"].isin(*COLUMN_TYPES), by_name, "unknown type"),
+        flag(columns, lambda c: ~_holds(c["name"].rlike(_whole(IDENTIFIER_PATTERN))), by_name, "bad column name"),
+        flag(columns, lambda c: ~_holds(c["type"].isin(*COLUMN_TYPES)), by_name, "unknown type"),
         flag(
             columns,
             lambda c: (c["type"] == "decimal") & (c["precision"].isNull() | c["scale"].isNull()),
             by_name, "decimal without precision and scale",
         ),
-        flag(t["partitions"], lambda p: ~p["transform"].isin(*TRANSFORMS), by_column, "unknown transform"),
+        flag(t["partitions"], lambda p: ~_holds(p["transform"].isin(*TRANSFORMS)), by_column, "unknown transform"),
         flag(
             t["partitions"],
             lambda p: (p["transform"] == "bucket") & ~F.coalesce(p["num_buckets"] > 0, F.lit(False)),
@@ -230,17 +239,35 @@ def _table_violations(t: Column, names: Column) -> Column:
             by_column, "truncate without width",
         ),
         flag(t["partitions"], lambda p: unknown(p["column"]), by_column, "partition on unknown column"),
-        flag(t["rules"], lambda r: ~r["kind"].isin(*RULE_KINDS), by_kind, "unknown rule"),
+        flag(t["rules"], lambda r: ~_holds(r["kind"].isin(*RULE_KINDS)), by_kind, "unknown rule"),
         flag(t["rules"], missing_param, by_kind, "rule without its parameter"),
         flag(
             t["rules"],
-            lambda r: r["kind"].isin(*RULE_KINDS) & ~r["kind"].isin(*TABLE_LEVEL_RULES) & (F.size(r["columns"]) == 0),
+            lambda r: r["kind"].isin(*RULE_KINDS) & (r["kind"] != "row_count_between") & (F.size(r["columns"]) == 0),
             by_kind, "rule without columns",
         ),
         F.transform(rule_targets, lambda x: _violation(t["name"], x["column"], "rule on unknown column")),
     )
 
 
+def _holds(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
+def _complete(contracts: DataFrame) -> DataFrame:
+    """A corpus whose arrays are all there, empty where they were NULL."""
+
+    def whole(value: Column, kind: str) -> Column:
+        return F.coalesce(value, F.array().cast(f"array<{kind}>"))
+
+    rules = lambda t: F.transform(whole(t["rules"], RULE_STRUCT), lambda r: r.withField("columns", whole(r["columns"], "string")).withField("params", whole(r["params"], "string")))
+    table = lambda t: (
+        t.withField("columns", whole(t["columns"], COLUMN_STRUCT)).withField("partitions", whole(t["partitions"], PARTITION_STRUCT))
+        .withField("rules", rules(t)).withField("inputs", whole(t["inputs"], "string")).withField("tags", whole(t["tags"], "string"))
+    )
+    return contracts.withColumn("tables", F.transform(whole(F.col("tables"), TABLE_STRUCT), table)).withColumn("tags", whole(F.col("tags"), "string"))
+
+
 def _violation(table: Column, item: Column, text: str) -> Column:
     return F.struct(table.alias("table"), item.alias("object"), F.lit(text).alias("violation"))
 

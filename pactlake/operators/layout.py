@@ -53,6 +53,10 @@ def add_partition_columns(df: DataFrame, table: Table) -> DataFrame:
     for spec in table.partitions:
         if spec.transform != "identity":
             df = df.withColumn(spec.field_name, transform(spec, F.col(spec.column), types[spec.column]))
+        elif isinstance(types[spec.column], T.StringType):
+            # A directory cannot tell an empty text from a NULL, and reading it back would change the value.
+            blank = F.raise_error(F.lit(f"empty text in the partition column {spec.column}")).cast("string")
+            df = df.withColumn(spec.column, F.when(F.col(spec.column) == "", blank).otherwise(F.col(spec.column)))
     return df
 
 

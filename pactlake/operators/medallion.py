@@ -10,7 +10,7 @@ from pactlake.contract import Table
 from pactlake.functions.expressions import blank_to_null
 from pactlake.functions.skew import latest_per_key
 from pactlake.operators.layout import write_partitioned
-from pactlake.operators.quality import quarantine
+from pactlake.operators.quality import BROKEN, mark_broken
 from pactlake.operators.schema import conform
 
 # Segment limits, in the currency of the orders, and the activity period.
@@ -31,13 +31,22 @@ def latest_state(log: DataFrame, keys: list[str], at: str, sequence: str) -> Dat
 
 
 def standardise(df: DataFrame, table: Table, codes: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Trimmed strings, blanks as NULL, upper-case codes, declared types; (valid rows, rejected rows)."""
+    """Trimmed strings, blanks as NULL, upper-case codes, declared types; (valid rows, rejected rows).
+
+    Two views of one marked plan; to store both, store `standardise_marked` once.
+    """
+    marked = standardise_marked(df, table, codes)
+    return marked.where(F.size(BROKEN) == 0).drop(BROKEN), marked.where(F.size(BROKEN) > 0)
+
+
+def standardise_marked(df: DataFrame, table: Table, codes: tuple[str, ...] = ()) -> DataFrame:
+    """The standardised rows, each with the rules it breaks."""
     cleaned = {
         f.name: F.upper(blank_to_null(F.col(f.name))) if f.name in codes else blank_to_null(F.col(f.name))
         for f in df.schema
         if isinstance(f.dataType, T.StringType)
     }
-    return quarantine(conform(df.withColumns(cleaned), table), table)
+    return mark_broken(conform(df.withColumns(cleaned), table), table)
 
 
 def segment(spend: Column, first_at: Column, last_at: Column, as_of: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlake.contract import TABLE_LEVEL_RULES, Rule, Table
-from pactlake.functions.expressions import is_email, is_one_of, timestamp_literal
+from pactlake.functions.expressions import hours, is_email, is_one_of, timestamp_literal
 from pactlake.functions.skew import heaviest, spread
 from pactlake.operators.schema import column_type
 from pactlake.session import materialize
@@ -71,7 +71,7 @@ def _scanned(rule: Rule, column: str, table: Table, as_of: str | None) -> tuple[
     if rule.kind == "freshness_hours":
         if as_of is None:
             raise ValueError(f"{table.name}: freshness_hours needs as_of")
-        bound = timestamp_literal(as_of) - F.make_dt_interval(hours=F.lit(int(rule.params["hours"])))
+        bound = timestamp_literal(as_of) - hours(rule.params["hours"])
         return F.count(column), F.coalesce(F.max(column) < bound, F.lit(True)).cast("long")
     evaluated = F.count(F.lit(1)) if rule.kind == "not_null" else F.count(column)
     return evaluated, F.count_if(breaks(rule, column, table))
@@ -129,8 +129,8 @@ def mark_broken(df: DataFrame, table: Table) -> DataFrame:
 
     The repeated values of a unique column are counted first, from that column alone, and stored. Their
     size being known then, the planner broadcasts them when they are few, as they are in sound data, and
-    the rows are marked without a shuffle. Where they are many, the most frequent thousand are broadcast
-    all the same, and the shuffle that finds the others leaves out those hot rows and the NULLs.
+    the rows are marked without a shuffle. Where they are many, those above a task's share of rows are
+    broadcast all the same, and the shuffle that finds the others leaves out those hot rows and the NULLs.
     """
     row_level = [(r, c) for r, c in checks(table) if r.kind not in ("unique", *TABLE_LEVEL_RULES)]
     marks = [F.when(breaks(r, c, table), F.lit(f"{r.kind}:{c}")) for r, c in row_level]
@@ -150,7 +150,7 @@ def _flag_repeated(rows: DataFrame, source: DataFrame, column: str, flag: str) -
     aside = F.col("__heavy") | F.col(column).isNull()
     return (
         rows.join(F.broadcast(heavy), column, "left")
-        .withColumn("__salt", F.when(aside, F.lit(1) + spread(rows)).otherwise(0))
+        .withColumn("__salt", F.when(aside, F.lit(1) + spread(F.col(column))).otherwise(0))
         .join(rest, [column, "__salt"], "left")
         .withColumn(flag, F.coalesce("__heavy", "__found", F.lit(False)))
         .drop("__heavy", "__salt", "__found")

@@ -27,14 +27,18 @@ def column_type(column: Column) -> T.DataType:
     if column.type == "decimal":
         return T.DecimalType(column.precision, column.scale)
     if column.type == "array":
-        return T.ArrayType(SIMPLE_TYPES[column.element])
+        return T.ArrayType(_element_type(column.element))
     if column.type == "map":
-        return T.MapType(T.StringType(), SIMPLE_TYPES[column.element])
+        return T.MapType(T.StringType(), _element_type(column.element))
     if column.type == "struct":
         return T.StructType([_field(f) for f in column.fields])
     return SIMPLE_TYPES[column.type]
 
 
+def _element_type(element: str | Column) -> T.DataType:
+    return column_type(element) if isinstance(element, Column) else SIMPLE_TYPES[element]
+
+
 def _field(column: Column) -> T.StructField:
     metadata = {"comment": column.description or "", "pii": column.pii, "tags": list(column.tags)}
     return T.StructField(column.name, column_type(column), column.nullable, metadata)
@@ -45,18 +49,28 @@ def contract_schema(table: Table) -> T.StructType:
     return T.StructType([_field(c) for c in table.columns])
 
 
+def source_columns(df: DataFrame, names: list[str]) -> dict[str, str]:
+    """Declared names and the source columns they mean, by Spark's own rule for letter case; absent ones are left out."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    same = (lambda a, b: a == b) if exact else (lambda a, b: a.lower() == b.lower())
+    found = {name: [c for c in df.columns if same(c, name)] for name in names}
+    if unclear := {n: c for n, c in found.items() if len(c) > 1}:
+        raise ValueError(f"columns that differ by letter case only: {unclear}")
+    return {name: columns[0] for name, columns in found.items() if columns}
+
+
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """A2: declared columns in declared order and type; an absent nullable column becomes NULL.
 
     A value that cannot be cast becomes NULL instead of failing the job; `cast_failures` counts those.
     """
-    missing = [c for c in table.required_columns if c not in df.columns]
+    found = source_columns(df, table.column_names)
+    missing = [c for c in table.required_columns if c not in found]
     if missing:
         raise ValueError(f"{table.name}: required columns {missing} are absent from the source")
-    present = set(df.columns)
     return df.select(
         [
-            (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(
+            (F.col(f"`{found[f.name]}`").try_cast(f.dataType) if f.name in found else F.lit(None).cast(f.dataType)).alias(
                 f.name, metadata=f.metadata
             )
             for f in contract_schema(table)
@@ -66,7 +80,8 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
 
 def cast_failures(df: DataFrame, table: Table) -> DataFrame:
     """A3: per declared column, values that were set and turn NULL when cast. One scan, one row per column."""
-    fields = [f for f in contract_schema(table) if f.name in df.columns]
+    found = source_columns(df, table.column_names)
+    fields = [f for f in contract_schema(table) if f.name in found]
     counted = df.agg(
         *[
             F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f"n{i}")

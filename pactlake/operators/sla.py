@@ -6,21 +6,25 @@ Each takes the moment of measurement as ``as_of``; nothing reads a clock.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pactlake.contract import Product
+from pactlake.functions.expressions import hours as hours_interval
 from pactlake.functions.expressions import minutes_between, timestamp_literal
 
 PERIOD_PATTERNS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
 DROP_BATCH = 500
 MICROS_PER_HOUR = 3_600_000_000
 
-def freshness_lag(tables: dict[str, tuple[DataFrame, str]], as_of: str, freshness_hours: int) -> DataFrame:
-    """minutes since the newest row of each table, and whether that exceeds the promise.
 
-    `tables` maps a name to (rows, timestamp column). An empty table is a breach.
+def freshness_lag(tables: dict[str, tuple[DataFrame, str]], as_of: str, freshness_hours: float) -> DataFrame:
+    """whole minutes since the newest row of each table, and whether its age exceeds the promise.
+
+    `tables` maps a name to (rows, timestamp column). The breach is of the exact age, a second over the promise
+    being over it. An empty table is a breach.
     """
     newest = [
         df.agg(F.max(at).alias("newest")).select(F.lit(name).alias("table"), "newest")
@@ -31,7 +35,7 @@ def freshness_lag(tables: dict[str, tuple[DataFrame, str]], as_of: str, freshnes
         "table",
         "newest",
         lag.alias("lag_minutes"),
-        F.coalesce(lag > freshness_hours * 60, F.lit(True)).alias("breached"),
+        F.coalesce(F.col("newest") < timestamp_literal(as_of) - hours_interval(freshness_hours), F.lit(True)).alias("breached"),
     )
 
 
@@ -59,19 +63,20 @@ def expire_partitions(
         .select(value.alias("value"))
         .distinct()
     )
-    # Catalog metadata, not data: one short string per period.
-    values = sorted(row.value for row in expired.toLocalIterator())
-    for start in range(0, len(values), DROP_BATCH):
-        parts = ", ".join(f"PARTITION (`{spec.field_name}` = '{v}')" for v in values[start : start + DROP_BATCH])
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {product.fqn(table)}").where("col_name = 'Location'")
+    location = detail.first().data_type
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Catalog metadata, not data: one short string per period, a batch of them at a time.
+    names, dropped = (row.value for row in expired.toLocalIterator()), 0
+    while batch := list(islice(names, DROP_BATCH)):
+        parts = ", ".join(f"PARTITION (`{spec.field_name}` = '{v}')" for v in batch)
         spark.sql(f"ALTER TABLE {product.fqn(table)} DROP IF EXISTS {parts}")
-    if delete_files:
-        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {product.fqn(table)}").where("col_name = 'Location'")
-        location = detail.first().data_type
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        files = hadoop(location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for value in values:
-            files.delete(hadoop(f"{location}/{spec.field_name}={value}"), True)
-    return len(values)
+        dropped += len(batch)
+        if delete_files:
+            for value in batch:
+                files.delete(hadoop(f"{location}/{spec.field_name}={value}"), True)
+    return dropped
 
 
 def row_count_bounds(tables: dict[str, DataFrame], low: int | None, high: int | None) -> DataFrame:
@@ -86,31 +91,35 @@ def row_count_bounds(tables: dict[str, DataFrame], low: int | None, high: int |
 
 
 def availability(
-    df: DataFrame, group: str, at: str, start: str, hours: int, freshness_hours: int, target_pct: float
+    df: DataFrame, group: str, at: str, start: str, hours: int, freshness_hours: float, target_pct: float,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """share of the hours from `start` at whose end the newest row was within the freshness bound.
 
-    Rows are first reduced to the newest one per group and hour. Between one such arrival and the next
-    the data only ages, so the hours it keeps fresh can be counted without laying out every hour: an
-    arrival at t in the hour from h is fresh at the ends of the first floor((t + bound - h) / 1 h) hours,
-    and is looked at until the hour of the next arrival. The window sees at most `hours` rows per group.
+    Every group of `df` is reported, and every one that `groups` lists, a silent one with no fresh hour. What arrived
+    before `start` counts as long as it is fresh.
+
+    Rows are first reduced to the newest one per group and hour, all earlier ones to the first hour. Between one
+    such arrival and the next the data only ages, so the hours it keeps fresh can be counted without laying out
+    every hour: an arrival at t looked at from the hour h is fresh at the ends of the first
+    floor((t + bound - h) / 1 h) hours, until the hour of the next arrival. The window sees at most `hours` rows per group.
     """
     first = timestamp_literal(start)
     end = first + F.make_dt_interval(hours=F.lit(hours))
-    hour = F.date_trunc("HOUR", at).cast("timestamp_ntz")
-    arrivals = (
-        df.where((F.col(at) >= first) & (F.col(at) < end))
-        .groupBy(group, hour.alias("hour"))
-        .agg(F.max(at).alias("newest"))
-    )
-    following = F.lead("hour").over(Window.partitionBy(group).orderBy("hour"))
+    hour = F.greatest(F.date_trunc("HOUR", at).cast("timestamp_ntz"), first)
+    arrivals = df.groupBy(group, F.when(F.col(at) < end, hour).alias("hour")).agg(F.max(at).alias("newest"))
+    following = F.lead("hour").over(Window.partitionBy(group).orderBy(F.col("hour").asc_nulls_first()))
     age = F.timestamp_diff("MICROSECOND", F.col("hour"), F.col("newest"))
-    reach = F.floor((age + F.lit(freshness_hours * MICROS_PER_HOUR)) / F.lit(MICROS_PER_HOUR))
+    reach = F.floor((age + F.lit(round(freshness_hours * MICROS_PER_HOUR))) / F.lit(MICROS_PER_HOUR))
     until = F.timestamp_diff("HOUR", F.col("hour"), F.coalesce(following, end))
+    # A row without an hour only says that the group is there.
+    fresh = F.when(F.col("hour").isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(reach, until)))
+    counted = arrivals.select(group, fresh.alias("fresh"))
+    if groups is not None:
+        counted = counted.union(groups.select(group, F.lit(0).alias("fresh")))
     share = F.round(F.lit(100.0) * F.col("fresh_hours") / F.col("hours"), 4)
     return (
-        arrivals.select(group, F.least(reach, until).alias("fresh"))
-        .groupBy(group)
+        counted.groupBy(group)
         .agg(F.lit(hours).cast("long").alias("hours"), F.sum("fresh").alias("fresh_hours"))
         .select(group, "hours", "fresh_hours", share.alias("availability_pct"), (share >= target_pct).alias("met"))
     )

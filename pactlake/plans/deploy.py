@@ -58,8 +58,9 @@ def deploy(spark: SparkSession, product: Product, root: str, log: str, at: str,
     ]
     tables = [
         {
-            "name": t.name, "tier": t.tier, "location": product.location(root, t.name), "fqn": product.fqn(t.name),
-            **({"suite_path": f"{root}/{product.name}/_results"} if t.rules else {}),
+            "name": t.name, "tier": t.tier,
+            # A table is registered when it was made, has a suite when it has rules and a model when it is built from others.
+            "resources": ["table", *(["suite"] if t.rules else []), *(["model"] if t.inputs else [])],
         }
         for t in made
     ]

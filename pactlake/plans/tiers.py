@@ -7,13 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactlake.contract import Product
-from pactlake.operators.quality import gate, run_suite
+from pactlake.contract import Product, Table
+from pactlake.operators.quality import BROKEN, gate, run_suite
 from pactlake.session import materialize
-from pactlake.sources.writers import write_results, write_table
+from pactlake.sources.writers import store_marked, write_results, write_table
 
 Build = Callable[[dict[str, DataFrame]], DataFrame]
-OUTCOME_SCHEMA = "product string, tier string, table string, status string, rows long, failed_rules long"
+OUTCOME_SCHEMA = (
+    "product string, tier string, table string, status string, rows long, rejected long, failed_rules long, error string"
+)
 
 
 @dataclass
@@ -22,17 +24,23 @@ class Outcome:
     table: str
     status: str
     rows: int = 0
+    rejected: int = 0
     failed_rules: int = 0
+    error: str | None = None
 
 
 def run_product(
     spark: SparkSession, product: Product, builds: dict[str, Build], root: str, as_of: str
 ) -> DataFrame:
-    """Write every table of `product` from bronze to gold; one outcome row per table.
+    """Write every table of `product` from bronze to gold, inputs first; one outcome row per table.
 
     ``builds[table]`` gets the tables named in its inputs, as read back from storage: each table is
-    computed once however many others use it. A table whose checks fail is kept for inspection but
-    blocks the tables that read it; its results go to ``root/product/_results`` either way.
+    computed once however many others use it. Every table is rebuilt whole: no row of an earlier run stays.
+
+    A build that returns rows marked by `mark_broken` has its rejected rows stored under
+    ``root/product/_rejected/table`` and counted; the marking is done once. A table whose checks fail is kept for inspection, a
+    build that raises is recorded with its error; either blocks the tables that read it, the others go on. Results go to
+    ``root/product/_results``.
     """
     done: dict[str, Outcome] = {}
     tables: dict[str, DataFrame] = {}
@@ -41,14 +49,32 @@ def run_product(
         if any(i in done and done[i].status != "passed" for i in table.inputs):
             outcome.status = "blocked"
             continue
-        inputs = {i: tables[i] for i in table.inputs if i in tables}
-        outcome.rows = write_table(builds[table.name](inputs), product, table.name, root, mode="overwrite")
-        tables[table.name] = spark.table(product.fqn(table.name)).select(table.column_names)
-        if table.rules:
-            results = materialize(run_suite(tables[table.name], table, product.name, as_of), "results")
-            write_results(results, as_of[:10], f"{root}/{product.name}/_results")
-            if not gate(results):
-                outcome.status = "failed"
-                outcome.failed_rules = results.where("not passed").count()
-    rows = [(product.name, o.tier, o.table, o.status, o.rows, o.failed_rules) for o in done.values()]
+        try:
+            _build(spark, product, table, builds, tables, root, as_of, outcome)
+        except Exception as e:  # recorded, as the caller sees by the status
+            outcome.status, outcome.error = "error", f"{type(e).__name__}: {e}"[:2000]
+    rows = [
+        (product.name, o.tier, o.table, o.status, o.rows, o.rejected, o.failed_rules, o.error) for o in done.values()
+    ]
     return spark.createDataFrame(rows, OUTCOME_SCHEMA)
+
+
+def _build(
+    spark: SparkSession, product: Product, table: Table, builds: dict[str, Build], tables: dict[str, DataFrame],
+    root: str, as_of: str, outcome: Outcome,
+) -> None:
+    rows = builds[table.name]({i: tables[i] for i in table.inputs if i in tables})
+    if BROKEN in rows.columns:
+        location = f"{root}/{product.name}/_rejected/{table.name}"
+        store_marked(rows, location)
+        sides = spark.read.schema(rows.schema.add("rejected", "boolean")).parquet(location)
+        outcome.rejected = sides.where("rejected").count()
+        rows = sides.where("not rejected").drop("rejected", BROKEN)
+    outcome.rows = write_table(rows, product, table.name, root, mode="rebuild")
+    tables[table.name] = spark.table(product.fqn(table.name)).select(table.column_names)
+    if table.rules:
+        results = materialize(run_suite(tables[table.name], table, product.name, as_of), "results")
+        write_results(results, as_of[:10], f"{root}/{product.name}/_results")
+        if not gate(results):
+            outcome.status = "failed"
+            outcome.failed_rules = results.where("not passed").count()

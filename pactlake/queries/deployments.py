@@ -29,16 +29,10 @@ def deployment_log(orders: DataFrame) -> DataFrame:
     status, price, priority = F.col("o_orderstatus"), F.col("o_totalprice"), F.col("o_orderpriority")
 
     def table(short: str, tier: str):
-        path = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-        return F.struct(
-            F.lit(short).alias("name"),
-            F.lit(tier).alias("tier"),
-            path("/lake/", name, f"/{tier}/{short}").alias("location"),
-            path(name, f".{short}").alias("fqn"),
-            F.when(status != "P", path("/suites/", name, f"/{short}")).alias("suite_path"),
-            F.when(priority != "5-LOW", path("/models/", name, f"/{short}")).alias("model_path"),
-            F.when(status != "F", path("lake.", name, f".{short}")).alias("registry_fqn"),
+        made = F.array(
+            F.when(status != "F", "table"), F.when(status != "P", "suite"), F.when(priority != "5-LOW", "model")
         )
+        return F.struct(F.lit(short).alias("name"), F.lit(tier).alias("tier"), F.array_compact(made).alias("resources"))
 
     small, both = F.array(table("raw", "bronze")), F.array(table("raw", "bronze"), table("facts", "gold"))
     return orders.select(

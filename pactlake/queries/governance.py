@@ -154,11 +154,32 @@ def gov_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(EDGES_SQL + """,
 walk AS (
-  SELECT "table", upstream, 1 AS distance FROM edges
-  UNION SELECT walk."table", edges.upstream, walk.distance + 1 FROM walk JOIN edges ON edges."table" = walk.upstream
-  WHERE walk.distance < 8)
+  SELECT "table", upstream, 1 AS distance, ["table", upstream] AS path FROM edges
+  UNION SELECT walk."table", edges.upstream, walk.distance + 1, list_append(path, edges.upstream)
+  FROM walk JOIN edges ON edges."table" = walk.upstream
+  WHERE NOT list_contains(path[2:], edges.upstream))
 SELECT "table", upstream, min(distance) AS distance FROM walk GROUP BY 1, 2
 """)
 def gov_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything a table depends on; some products read themselves."""
     return g.all_upstream(g.lineage_edges(_mesh(spark, sf_dir)))
+
+
+@query("""
+WITH p AS (SELECT CASE WHEN c_acctbal < 0 THEN c_name ELSE replace(lower(c_name), '#', '_') END AS product, c_custkey % 4 AS k,
+                  c_acctbal > 9500 AS bad_version, c_nationkey = 7 AS bad_email FROM customer)
+SELECT product, '' AS "table", 'version' AS object, 'bad version' AS violation FROM p WHERE k = 0 OR bad_version
+UNION ALL SELECT product, '', 'owner', 'bad owner email' FROM p WHERE k = 1 OR bad_email
+UNION ALL SELECT product, '', 'owner', 'no team' FROM p WHERE k = 2
+UNION ALL SELECT product, '', 'product', 'no tables' FROM p WHERE k = 3
+""")
+def gov_lint_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus with NULL fields and arrays; every one is a violation, and hides no other."""
+    k = F.col("c_custkey") % 4
+    corpus = contract_corpus(load(spark, sf_dir, "customer"), "c_custkey")
+    lost = {"version": 0, "email": 1, "team": 2, "tables": 3}
+    corpus = corpus.withColumns({c: F.when(k != i, F.col(c)) for c, i in lost.items()})
+    without_rules = F.transform("tables", lambda t: t.withField("rules", F.lit(None)).withField("partitions", F.lit(None)))
+    corpus = corpus.withColumn("tables", F.when(k == 0, without_rules.cast(f"array<{g.TABLE_STRUCT}>")).otherwise(F.col("tables")))
+    product_level = ("bad version", "bad owner email", "no team", "no tables")
+    return g.lint(corpus).where(F.col("violation").isin(*product_level))

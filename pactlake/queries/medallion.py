@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.operators.layout import read_partitioned
-from pactlake.operators.medallion import deduplicate, latest_state, standardise, write_snapshot
+from pactlake.operators.medallion import deduplicate, latest_state, standardise, standardise_marked, write_snapshot
 from pactlake.operators.quality import BROKEN
 from pactlake.plans.customers import customer_summary
 from pactlake.plans.orders import order_facts
@@ -42,17 +42,30 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_customers(raw: DataFrame, nation: DataFrame) -> tuple[DataFrame, DataFrame]:
+def messy_customers(raw: DataFrame, nation: DataFrame) -> DataFrame:
     """Messy names and market codes on the way in: padding, lower case and blanks."""
     named = raw.join(nation.select(F.col("n_nationkey").alias("nation_key"), "n_name"), "nation_key", "left")
-    messy = named.select(
+    return named.select(
         "customer_id",
         F.concat(F.lit("  "), F.lower("full_name"), F.lit(" ")).alias("full_name"),
         F.lower("n_name").alias("country_code"),
         F.when(F.col("market") == "MACHINERY", "  ").otherwise(F.lower("market")).alias("market"),
     )
-    table = contract("retail_customers").table("customers")
-    return standardise(messy, table, codes=("full_name", "country_code", "market"))
+
+
+CODES = ("full_name", "country_code", "market")
+
+
+def silver_customers(raw: DataFrame, nation: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return standardise(messy_customers(raw, nation), contract("retail_customers").table("customers"), CODES)
+
+
+def marked_customers(raw: DataFrame, nation: DataFrame) -> DataFrame:
+    """As `silver_customers`, and customers of nation 5 delivered without a name, which are to be rejected."""
+    messy = messy_customers(raw, nation).withColumn(
+        "full_name", F.when(F.lower("country_code") != "ethiopia", F.col("full_name"))
+    )
+    return standardise_marked(messy, contract("retail_customers").table("customers"), CODES)
 
 
 @query("""
@@ -205,19 +218,23 @@ def gold_snapshot_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'bronze' AS tier, 'raw_customers' AS "table", 'passed' AS status, count(*) AS "rows", CAST(0 AS BIGINT) AS failed_rules
+WITH n AS (SELECT n_nationkey AS k FROM nation WHERE n_name = 'ETHIOPIA')
+SELECT 'bronze' AS tier, 'raw_customers' AS "table", 'passed' AS status, count(*) AS "rows", CAST(0 AS BIGINT) AS rejected,
+       CAST(0 AS BIGINT) AS failed_rules, CAST(NULL AS VARCHAR) AS error
+FROM customer
+UNION ALL SELECT 'bronze', 'raw_orders', 'passed', count(*), 0, 0, NULL FROM orders
+UNION ALL SELECT 'silver', 'customers', 'passed', count(*) FILTER (c_nationkey NOT IN (SELECT k FROM n)),
+       count(*) FILTER (c_nationkey IN (SELECT k FROM n)), 0, NULL FROM customer
+UNION ALL SELECT 'gold', 'customer_summary', 'passed', count(*) FILTER (c_nationkey NOT IN (SELECT k FROM n)), 0, 0, NULL
 FROM customer
-UNION ALL SELECT 'bronze', 'raw_orders', 'passed', count(*), 0 FROM orders
-UNION ALL SELECT 'silver', 'customers', 'passed', count(*), 0 FROM customer
-UNION ALL SELECT 'gold', 'customer_summary', 'passed', count(*), 0 FROM customer
 """)
 def tiers_retail_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze to gold through stored tables, every gate passed."""
+    """Bronze to gold through stored tables, every gate passed; rejected customers are stored and counted."""
     nation = load(spark, sf_dir, "nation")
     builds = {
         "raw_customers": lambda _: raw_customers(spark, sf_dir),
         "raw_orders": lambda _: raw_orders(spark, sf_dir),
-        "customers": lambda t: silver_customers(t["raw_customers"], nation)[0],
+        "customers": lambda t: marked_customers(t["raw_customers"], nation),
         "customer_summary": lambda t: customer_summary(t["customers"], t["raw_orders"], AS_OF),
     }
     product = private_copy(contract("retail_customers"))
@@ -225,13 +242,13 @@ def tiers_retail_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'bronze' AS tier, 'raw_orders' AS "table", 'failed' AS status, count(*) AS "rows",
-       CAST(max(CASE WHEN o_totalprice < 1000 THEN 1 ELSE 0 END) + max(CASE WHEN o_totalprice > 450000 THEN 1 ELSE 0 END)
+SELECT 'bronze' AS tier, 'raw_orders' AS "table", 'failed' AS status, count(*) AS "rows", CAST(0 AS BIGINT) AS rejected,
+       CAST(NULL AS VARCHAR) AS error, CAST(max(CASE WHEN o_totalprice < 1000 THEN 1 ELSE 0 END) + max(CASE WHEN o_totalprice > 450000 THEN 1 ELSE 0 END)
          + max(CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 1 ELSE 0 END)
          + CASE WHEN count(*) > count(DISTINCT o_custkey) THEN 1 ELSE 0 END AS BIGINT) AS failed_rules
 FROM orders
-UNION ALL SELECT 'bronze', 'raw_lines', 'passed', count(*), 0 FROM lineitem
-UNION ALL SELECT 'gold', 'order_facts', 'blocked', 0, 0
+UNION ALL SELECT 'bronze', 'raw_lines', 'passed', count(*), 0, NULL, 0 FROM lineitem
+UNION ALL SELECT 'gold', 'order_facts', 'blocked', 0, 0, NULL, 0
 """)
 def tiers_retail_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders break their rules, so the facts built on them are not computed."""

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +17,25 @@ from pactlake.sources.readers import read_table
 from pactlake.sources.writers import write_table
 
 
+#: Table, its time, the contract that promises its freshness, and when it is measured.
+MEASURED = (
+    ("orders", "o_orderdate", "retail_customers", AS_OF), ("lineitem", "l_shipdate", "retail_orders", AS_OF),
+    ("events", "ts", "site_events", EVENTS_AS_OF),
+)
+
+
 @query("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS \"table\", max({c}) AS newest, date_diff('minute', max({c}), TIMESTAMP '{AS_OF}') AS lag_minutes,"
-    f" date_diff('minute', max({c}), TIMESTAMP '{AS_OF}') > 1440 AS breached FROM {t}"
-    for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))))
+    f"SELECT '{t}' AS \"table\", max({c}) AS newest,"
+    f" CAST(trunc((epoch_us(TIMESTAMP '{at}') - epoch_us(max({c}))) / 60e6) AS BIGINT) AS lag_minutes,"
+    f" max({c}) < TIMESTAMP '{at}' - INTERVAL {contract(p).freshness_hours} HOUR AS breached FROM {t}"
+    for t, c, p, at in MEASURED))
 def sla_freshness_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """minutes behind, per table; data from after the moment of measurement gives a negative lag."""
-    tables = {n: (load(spark, sf_dir, n), c) for n, c in (
-        ("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))}
-    return freshness_lag(tables, AS_OF, freshness_hours=24)
+    """whole minutes behind, per table, against what the contracts promise; data from after the moment of measurement
+    gives a negative lag."""
+    lags = [
+        freshness_lag({t: (load(spark, sf_dir, t), c)}, at, contract(p).freshness_hours) for t, c, p, at in MEASURED
+    ]
+    return reduce(DataFrame.unionByName, lags)
 
 
 BOUNDED = ("customer", "orders", "lineitem", "events", "pages")
@@ -61,14 +72,13 @@ def retention_partitions_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy(F.col("__p_ts_day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def availability_sql(source: str, group: str, at: str, start: str, hours: int, bound: int, target: float) -> str:
+def availability_sql(source: str, group: str, at: str, start: str, hours: str, bound: int, target: float) -> str:
+    """`start` and `hours` are SQL. The state at each hour's end, laid out hour by hour."""
     return f"""
 WITH spine AS (
-  SELECT {group}, TIMESTAMP '{start}' + to_hours(CAST(i AS INTEGER)) AS h
-  FROM (SELECT DISTINCT {group} FROM {source} WHERE {at} >= TIMESTAMP '{start}'
-        AND {at} < TIMESTAMP '{start}' + to_hours({hours})), range({hours}) x(i)),
-a AS (SELECT {group}, date_trunc('hour', {at}) AS h, max({at}) AS newest FROM {source}
-      WHERE {at} >= TIMESTAMP '{start}' AND {at} < TIMESTAMP '{start}' + to_hours({hours}) GROUP BY 1, 2),
+  SELECT {group}, {start} + to_hours(CAST(i AS INTEGER)) AS h
+  FROM (SELECT DISTINCT {group} FROM {source}), (SELECT unnest(range({hours})) AS i)),
+a AS (SELECT {group}, greatest(date_trunc('hour', {at}), {start}) AS h, max({at}) AS newest FROM {source} GROUP BY 1, 2),
 j AS (SELECT {group}, spine.h, last_value(newest IGNORE NULLS) OVER (PARTITION BY {group} ORDER BY spine.h
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen FROM spine LEFT JOIN a USING ({group}, h)),
 f AS (SELECT {group}, coalesce(epoch(h + INTERVAL 1 HOUR - seen) <= {bound} * 3600, false) AS fresh FROM j)
@@ -79,20 +89,28 @@ FROM f GROUP BY 1
 """
 
 
-@query(availability_sql("events", "event_type", "ts", "2024-01-01 00:00:00", 720, 1, 99.0))
-def sla_availability_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """hours of January at whose end the newest event of a type was at most an hour old."""
-    return availability(load(spark, sf_dir, "events"), "event_type", "ts", "2024-01-01 00:00:00", 720, 1, 99.0)
+EVENTS_PCT = contract("site_events").availability_pct
 
 
-@query(availability_sql("orders", "o_orderstatus", "o_orderdate", "1995-01-01 00:00:00", 24 * 365, 4, 15.0))
-def sla_availability_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders come once a day, so only the first hours of a day are within four hours."""
+@query(availability_sql("events", "event_type", "ts", "TIMESTAMP '2024-01-02 12:00:00'", "684", 1, EVENTS_PCT))
+def sla_availability_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hours of January, from the second day's noon on, at whose end the newest event of a type was at most an hour old."""
     return availability(
-        load(spark, sf_dir, "orders"), "o_orderstatus", "o_orderdate", "1995-01-01 00:00:00", 24 * 365, 4, 15.0
+        load(spark, sf_dir, "events"), "event_type", "ts", "2024-01-02 12:00:00", 684, 1, EVENTS_PCT
     )
 
 
+@query(availability_sql(
+    "orders", "o_orderstatus", "o_orderdate", "(SELECT date_trunc('day', min(o_orderdate)) FROM orders)",
+    "(SELECT 24 * (date_diff('day', min(o_orderdate), max(o_orderdate)) + 1) FROM orders)", 4, 15.0))
+def sla_availability_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders come once a day, so only the first hours of a day are within four hours; over all days of the data."""
+    orders = load(spark, sf_dir, "orders")
+    first, last = orders.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    hours = 24 * ((last - first).days + 1)
+    return availability(orders, "o_orderstatus", "o_orderdate", f"{first} 00:00:00", hours, 4, 15.0)
+
+
 @query("""
 WITH r AS (
   SELECT strftime(o_orderdate, '%Y-%m') AS run_date, unnest([

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +39,20 @@ def ingest_csv_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through(spark, sf_dir, "csv")
 
 
-@query(PARTS_SQL)
+@query(PARTS_SQL + " WHERE p_size > 20")
 def ingest_json_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1: JSON lines."""
-    return _through(spark, sf_dir, "json")
+    """B1: JSON lines with names and a filter of their own."""
+    folder = fresh_folder(spark, "json")
+    load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("key"), F.col("p_brand").alias("BRAND"), F.col("p_size").alias("extent"), F.col("p_retailprice").alias("price")
+    ).write.json(folder)
+    parts = ingest(
+        spark, folder, PARTS, "json", where="CAST(extent AS INT) > 20", schema="key string, BRAND string, extent string, price string",
+        rename={"p_partkey": "key", "p_brand": "brand", "p_size": "extent", "p_retailprice": "price"},
+    )
+    return parts.withColumns(
+        {"p_retailprice": F.col("p_retailprice").cast("double"), "p_added": F.col("p_added").cast("string")}
+    )
 
 
 @query(PARTS_SQL + " WHERE p_size > 20 AND p_brand <> 'Brand#1'")
@@ -93,3 +105,22 @@ def drop_and_adopt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, product, "raw_orders").groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.lit(dropped).alias("dropped"), F.lit(again).alias("dropped_again")
     )
+
+
+@query("""
+SELECT strftime(o_orderdate + INTERVAL 40 DAY, '%Y-%m') AS month, o_orderstatus, count(*) AS n FROM orders
+WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2
+""")
+def tier_rebuild_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table is rebuilt by a later version of its contract: rows have moved to other partitions or gone, and
+    the columns are declared in another order."""
+    product, root = private_copy(contract("retail_orders")), fresh_folder(spark, "lake")
+    orders = load(spark, sf_dir, "orders")
+    write_table(orders, product, "raw_orders", root)
+    table = product.table("raw_orders")
+    later = replace(product, tables=(replace(table, columns=table.columns[::-1]),))
+    moved = orders.where("o_orderkey % 3 <> 0").withColumn("o_orderdate", F.expr("o_orderdate + INTERVAL 40 DAY"))
+    write_table(moved, later, "raw_orders", root, mode="rebuild")
+    return read_table(spark, later, "raw_orders").groupBy(
+        F.col("__p_o_orderdate_month").alias("month"), "o_orderstatus"
+    ).agg(F.count(F.lit(1)).alias("n"))

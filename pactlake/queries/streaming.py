@@ -30,7 +30,7 @@ def _finish(stream: DataFrame, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, ts, user_id, event_type, value, props, event_id AS source_offset,
+SELECT event_id, ts, user_id, event_type, value, props, event_id AS source_offset, 'events.parquet' AS source_offset_file,
        strftime(ts, '%Y-%m-%d-%H') AS hour FROM events
 """)
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,8 @@ def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = contract("site_events").table("raw_events")
     folder = fresh_folder(spark, "ingest")
     ingest_stream(_events(spark, sf_dir, "source_offset"), table, f"{folder}/out", f"{folder}/checkpoint", once=True)
-    return read_partitioned(spark, table, f"{folder}/out").withColumnRenamed("__p_ts_hour", "hour")
+    rows = read_partitioned(spark, table, f"{folder}/out").withColumnRenamed("__p_ts_hour", "hour")
+    return rows.withColumn("source_offset_file", F.substring_index("source_offset_file", "/", -1))
 
 
 @query("""

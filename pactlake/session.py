@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -43,10 +46,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     global _local_folder
-    _local_folder = _local_folder or tempfile.mkdtemp(prefix="pactlake-")
+    if _local_folder is None:  # one machine, one process: its own folder, gone with it
+        _local_folder = tempfile.mkdtemp(prefix="pactlake-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
@@ -54,14 +59,24 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this application has stored with `materialize`; frames read from it are no longer readable."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Cut the lineage of `df` through a Parquet table in the shared folder."""
+    """Cut the lineage of `df` through a Parquet table in the application's part of the shared folder (see `release`)."""
     return materialize_counted(df, purpose)[0]
 
 
 def materialize_counted(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
     """`materialize`, and the number of rows, observed while writing."""
-    folder = fresh_folder(df.sparkSession, purpose)
+    folder = f"{_application_folder(df.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
     observed = Observation()
     df.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder), observed.get["rows"]

@@ -23,13 +23,16 @@ def source_schema(table: Table) -> T.StructType:
     )
 
 
-def read_source(spark: SparkSession, path: str, table: Table, format: str = "parquet", **options) -> DataFrame:
-    """A raw source as it is. Text sources are never inferred; CSV columns come by the header's names."""
+def read_source(
+    spark: SparkSession, path: str, table: Table, format: str = "parquet", schema: T.StructType | str | None = None, **options
+) -> DataFrame:
+    """A raw source as it is. Text sources are never inferred: CSV columns come by the header's names, JSON fields by
+    `schema`, or by the declared names where none is given."""
     reader = spark.read.format(format).options(**options)
     if format == "csv":
         reader = reader.option("header", options.get("header", True))
     elif format == "json":
-        reader = reader.schema(source_schema(table))
+        reader = reader.schema(schema or source_schema(table))
     return reader.load(path)
 
 
@@ -40,14 +43,16 @@ def ingest(
     format: str = "parquet",
     where: str | None = None,
     rename: dict[str, str] | None = None,
+    schema: T.StructType | str | None = None,
     **options,
 ) -> DataFrame:
     """A named raw source, filtered, in the columns and types of a bronze table.
 
     `where` is over the source's own columns, so a columnar source applies it in the scan.
-    `rename` maps declared names to source expressions.
+    `rename` maps declared names to source expressions. `schema` names the fields of a JSON source whose own names
+    those are.
     """
-    raw = read_source(spark, path, table, format, **options)
+    raw = read_source(spark, path, table, format, schema, **options)
     if where:
         raw = raw.where(where)
     if rename:
@@ -58,9 +63,13 @@ def ingest(
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", offset: str | None = None, **options
 ) -> DataFrame:
-    """B2: a growing folder as a stream; `offset` adds each row's position in its file under that name."""
+    """B2: a growing folder as a stream. `offset` adds where each row comes from: under that name its position in its file
+    (Parquet knows it; in other formats it is NULL), and under the name and ``_file`` the file."""
     stream = spark.readStream.format(format).schema(schema).options(**options).load(path)
-    return stream.withColumn(offset, F.col("_metadata.row_index")) if offset else stream
+    if not offset:
+        return stream
+    position = F.col("_metadata.row_index") if format == "parquet" else F.lit(None).cast("long")
+    return stream.withColumns({offset: position, f"{offset}_file": F.col("_metadata.file_path")})
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: T.StructType, offset: str) -> DataFrame:
@@ -78,5 +87,5 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: T.Struct
 
 
 def read_table(spark: SparkSession, product: Product, table: str) -> DataFrame:
-    """A product table by name, without the derived partition columns' names getting in the way."""
+    """A product table by name: its declared columns, and the derived partition columns after them."""
     return spark.table(product.fqn(table))

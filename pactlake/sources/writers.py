@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +11,6 @@ from pactlake.operators.layout import add_partition_columns, partition_fields, s
 from pactlake.operators.quality import BROKEN, mark_broken
 from pactlake.operators.schema import conform
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
 def ensure_namespace(spark: SparkSession, product: Product) -> None:
     """The product's namespace, left as it is when present. `owner` is a reserved property."""
     properties = {"product_owner": product.team, "owner_email": product.email, "version": product.version}
@@ -54,42 +49,48 @@ def create_table(spark: SparkSession, product: Product, table: Table, root: str)
 
 
 def write_table(df: DataFrame, product: Product, table: str, root: str, mode: str = "append") -> int:
-    """Conform `df` and append it, or overwrite the partitions it has rows for; returns the rows written.
+    """Conform `df` and write it; returns the rows written, counted while writing.
 
-    The count is observed while writing. A table without partitions is replaced whole by overwrite.
+    `mode` is append, overwrite (the partitions that `df` has rows for are replaced, a table without partitions whole)
+    or rebuild (nothing of the old rows stays). Columns go by name, in the types of the stored table; a declared
+    column that the stored table does not have is an error. The session's settings are left alone, so tables can be written
+    side by side.
     """
     spark, declared = df.sparkSession, product.table(table)
     create_table(spark, product, declared, root)
-    rows = add_partition_columns(conform(df, declared), declared).select(stored_schema(declared).names)
+    rows = add_partition_columns(conform(df, declared), declared)
     fields = partition_fields(declared)
+    stored = spark.table(product.fqn(table)).schema
+    absent = [c for c in stored_schema(declared).names if c not in stored.names]
+    if absent:
+        raise ValueError(f"{product.fqn(table)} has no columns {absent}; alter it first")
+    rows = rows.select(
+        [(F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored]
+    )
     if fields:
         rows = rows.hint("rebalance", *fields)
     written = Observation()
     counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    with _dynamic_overwrite(spark):
-        counted.write.mode(mode).option("compression", "snappy").insertInto(product.fqn(table))
+    writer = counted.write.mode("append" if mode == "append" else "overwrite").option("compression", "snappy")
+    writer = writer.option("partitionOverwriteMode", "static" if mode == "rebuild" else "dynamic")
+    if fields:
+        writer = writer.partitionBy(*fields)
+    writer.parquet(product.location(root, table))
+    if fields:
+        spark.sql(f"MSCK REPAIR TABLE {product.fqn(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(product.fqn(table))
     return written.get["rows"]
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """`insertInto` takes the overwrite mode from the session only."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
-
-
 def drop_product(spark: SparkSession, product: Product) -> int:
-    """Drop the product's tables, then its namespace; missing ones are ignored. Files stay."""
+    """Drop the product's tables, then its namespace if nothing else is in it; missing ones are ignored. Files stay."""
     dropped = 0
     for table in product.tables:
         if spark.catalog.databaseExists(product.namespace) and spark.catalog.tableExists(product.fqn(table.name)):
             spark.sql(f"DROP TABLE IF EXISTS {product.fqn(table.name)}")
             dropped += 1
-    spark.sql(f"DROP NAMESPACE IF EXISTS {product.namespace}")
+    if spark.catalog.databaseExists(product.namespace) and spark.sql(f"SHOW TABLES IN {product.namespace}").isEmpty():
+        spark.sql(f"DROP NAMESPACE IF EXISTS {product.namespace}")
     return dropped
 
 
@@ -100,11 +101,20 @@ def write_results(results: DataFrame, run_date: str, location: str) -> None:
 
 
 def write_quarantine(df: DataFrame, table: Table, location: str) -> None:
-    """Mark the rows once and store them under ``rejected=false`` and ``rejected=true``."""
-    marked = mark_broken(df, table).withColumn("rejected", F.size(BROKEN) > 0)
-    marked.write.mode("overwrite").option("compression", "snappy").partitionBy("rejected").parquet(location)
+    """Mark the rows once and store them under ``rejected=false`` and ``rejected=true``.
+
+    Nothing of an earlier run stays, whatever the session's overwrite mode.
+    """
+    store_marked(mark_broken(df, table), location)
+
+
+def store_marked(marked: DataFrame, location: str) -> None:
+    """Store the rows of `mark_broken` by whether they are rejected."""
+    sided = marked.withColumn("rejected", F.size(BROKEN) > 0)
+    writer = sided.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")
+    writer.partitionBy("rejected").parquet(location)
 
 
 def read_quarantine(spark: SparkSession, location: str, rejected: bool) -> DataFrame:
-    """One side of a stored quarantine; only its directory is read."""
+    """One side of a stored quarantine; only its directory is read. A side without rows keeps its columns."""
     return spark.read.parquet(location).where(F.col("rejected") == rejected).drop("rejected")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactlake.contract import Table
@@ -39,6 +40,6 @@ def deduplicate_stream(stream: DataFrame, keys: list[str], at: str, delay: str,
     """
     rows = with_event_time(stream, at, delay)
     if salts > 1:
-        thinned = rows.withColumn("__salt", spread(rows, salts)).dropDuplicatesWithinWatermark([*keys, "__salt"])
+        thinned = rows.withColumn("__salt", spread(F.struct(*keys), salts)).dropDuplicatesWithinWatermark([*keys, "__salt"])
         rows = thinned.drop("__salt")
     return without_zone(rows.dropDuplicatesWithinWatermark(keys), at)

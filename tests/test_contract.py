@@ -27,21 +27,21 @@ def with_column(document, **column):
 
 
 def test_minimal_contract_and_derived_names(product):
-    assert product.namespace == "test_product"
-    assert product.bucket() == "test-product"
-    assert product.fqn("test_table") == "test_product.test_table"
-    assert product.location("/lake/", "test_table") == "/lake/test_product/gold/test_table"
+    assert product.namespace == "weather_stations"
+    assert product.bucket() == "weather-stations"
+    assert product.fqn("readings") == "weather_stations.readings"
+    assert product.location("/lake/", "readings") == "/lake/weather_stations/silver/readings"
     assert product.availability_pct == 99.9 and product.enabled
     assert product.tables[0].required_columns == ["id"]
 
 
-@pytest.mark.parametrize("name", ["MyProduct", "1product", "my-product", ""])
+@pytest.mark.parametrize("name", ["Weather", "7days", "sky watch", "wetter.heute", "größe", "rain\n", "_rain", ""])
 def test_bad_product_names(document, name):
     document["name"] = name
     assert "bad product name" in problems(document)
 
 
-@pytest.mark.parametrize("version", ["1.0", "v1.0.0", "1.0.0-rc"])
+@pytest.mark.parametrize("version", ["2", "2.1", "2.1.0.4", "2.x.0", "2.1.0\n", ""])
 def test_bad_versions(document, version):
     document["version"] = version
     assert "bad version" in problems(document)
@@ -68,7 +68,7 @@ def test_duplicate_tables_and_columns(document):
     document["tables"].append(dict(document["tables"][0]))
     with_column(document, name="id", type="string")
     text = problems(document)
-    assert "duplicate table 'test_table'" in text and "duplicate column 'id'" in text
+    assert "duplicate table 'readings'" in text and "duplicate column 'id'" in text
 
 
 def test_no_tables_or_columns(document):
@@ -163,3 +163,31 @@ def test_shipped_contracts_load(path):
     assert product.name == path.stem
     tiers = [t.tier for t in product.in_tier_order()]
     assert tiers == sorted(tiers, key=["bronze", "silver", "gold"].index)
+
+
+@pytest.mark.parametrize("change", [
+    {"owner": "me"}, {"sla": 5}, {"tables": "all"}, {"tables": ["one"]}, {"owner": ["a", "b"]},
+])
+def test_wrong_shapes_are_contract_errors(document, change):
+    assert "must be" in problems({**document, **change})
+
+
+@pytest.mark.parametrize("element", ["decimal", "struct", "nothing"])
+def test_element_types(document, element):
+    assert "element type" in problems(with_column(document, name="list", type="array", element_type=element))
+
+
+def test_nested_elements(document):
+    from pactlake.operators.schema import contract_schema
+
+    element = {"type": "struct", "fields": [{"name": "a", "type": "decimal", "decimal_precision": 9, "decimal_scale": 2}]}
+    table = parse_product(with_column(document, name="list", type="array", element_type=element)).tables[0]
+    assert contract_schema(table)["list"].dataType.simpleString() == "array<struct<a:decimal(9,2)>>"
+
+
+def test_tables_follow_their_inputs(document):
+    first = document["tables"][0]
+    document["tables"] = [{**first, "name": n, "tier": "gold", "inputs": i} for n, i in (("a", ["b"]), ("b", ["c", "elsewhere"]), ("c", []))]
+    assert [t.name for t in parse_product(document).in_tier_order()] == ["c", "b", "a"]
+    document["tables"][2]["inputs"] = ["a"]
+    assert "circle" in problems(document)

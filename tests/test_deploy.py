@@ -24,7 +24,7 @@ def test_deploy_validate_redeploy_teardown(spark, paths, document):
     assert read_log(spark, log).count() == 2
 
     rows = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "id string, value double")
-    write_table(rows, product, "test_table", root)
+    write_table(rows, product, "readings", root)
     total = validate(spark, product, "2024-01-04").where("tier is null").first()
     assert (total.rules, total.failed_rules, total.passed) == (2, 1, False)
 
@@ -46,8 +46,8 @@ def test_changed_contract_on_an_existing_table_is_reported(spark, paths, documen
     assert deploy(spark, parse_product(document), root, log, "2024-01-02 00:00:00") == "partial"
     row = d.listing(d.latest(read_log(spark, log))).first()
     assert row.version == "2.0.0" and row.status == "partial"
-    assert "test_table.value: type (declared bigint, found double)" in row.errors
-    assert "test_table.extra: removed" in row.errors
+    assert "readings.value: type (declared bigint, found double)" in row.errors
+    assert "readings.extra: removed" in row.errors
 
 
 def test_validate_without_rules(spark, product):

@@ -9,7 +9,7 @@ from pactlake.operators import deployments as d
 
 
 def entry(product, version, at, sequence, tables=("t",), errors=(), deleted=False):
-    text = json.dumps([{"name": t, "tier": "gold", "registry_fqn": "r" if t != "t2" else None} for t in tables])
+    text = json.dumps([{"name": t, "tier": "gold", "resources": ["table"] if t != "t2" else []} for t in tables])
     return (product, version, at, sequence, product, text, json.dumps(list(errors)), deleted)
 
 

@@ -6,6 +6,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entries
+from pactlake.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,7 +17,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entries.queries()) == set(entries.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entries.queries()) and set(ORACLES) <= set(entries.oracle_sql())
 
 
 def test_entry(spark):
@@ -25,6 +27,6 @@ def test_entry(spark):
     assert df.count() == 11
 
 
-@pytest.mark.parametrize("name", sorted(entries.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, SF_DIR, name) in (None, "both empty")

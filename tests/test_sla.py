@@ -27,6 +27,9 @@ def test_freshness_lag(spark):
     }
     got = {r.table: (r.lag_minutes, r.breached) for r in freshness_lag(tables, "2024-01-01 12:00:00", 1).collect()}
     assert got == {"fresh": (0, False), "stale": (61, True), "edge": (60, False), "empty": (None, True)}
+    second = {"over": (stamps(spark, "2024-01-01 10:59:59"), "at"), "half": (stamps(spark, "2024-01-01 11:40:00"), "at")}
+    assert [r.breached for r in freshness_lag(second, "2024-01-01 12:00:00", 1).orderBy("table").collect()] == [False, True]
+    assert [r.breached for r in freshness_lag(second, "2024-01-01 12:00:00", 0.5).orderBy("table").collect()] == [False, True]
 
 
 def test_unexpired_keeps_the_bound_itself(spark):
@@ -54,7 +57,15 @@ def test_availability_equals_brute_force(spark):
             fresh += bool(seen) and end - max(seen) <= dt.timedelta(hours=bound)
         assert got.fresh_hours == fresh
         assert got.availability_pct == round(100 * fresh / 48, 4) and got.met == (fresh >= 24)
-    assert availability(df, "k", "at", str(start), 48, 1, 0.0).where("k = 'late'").isEmpty()
+    late = availability(df, "k", "at", str(start), 48, 1, 0.0).where("k = 'late'").first()
+    assert (late.hours, late.fresh_hours, late.met) == (48, 0, True)
+
+
+def test_availability_counts_what_arrived_before_and_silent_groups(spark):
+    df = stamps(spark, "2023-12-31 23:55:00").unionByName(stamps(spark, "2024-01-05", group="later"))
+    known = spark.createDataFrame([("never",), ("g",)], "k string")
+    got = availability(df, "k", "at", "2024-01-01 00:00:00", 30, 24, 50.0, known).collect()
+    assert {r.k: (r.hours, r.fresh_hours, r.met) for r in got} == {"g": (30, 23, True), "later": (30, 0, False), "never": (30, 0, False)}
 
 
 def test_trend(spark):
@@ -67,15 +78,16 @@ def test_trend(spark):
 
 def test_expired_partitions_are_dropped_by_name(spark, tmp_path, document):
     document["name"] = "expiring"
+    document["sla"]["freshness_hours"] = 24
     document["tables"][0].update(tier="bronze", partition_by=[{"column": "at", "transform": "day"}])
     product = parse_product(document)
     days = [f"2024-01-{d:02d} 12:00:00" for d in range(1, 11)]
     df = stamps(spark, *days).selectExpr("CAST(at AS string) id", "1.0D value", "at")
-    write_table(df, product, "test_table", str(tmp_path))
-    folder = f"{product.location(str(tmp_path), 'test_table')}/__p_at_day=2024-01-01"
+    write_table(df, product, "readings", str(tmp_path))
+    folder = f"{product.location(str(tmp_path), 'readings')}/__p_at_day=2024-01-01"
     # Seven days before the 10th at noon: the 3rd still has rows inside the bound.
-    assert expire_partitions(spark, product, "test_table", "2024-01-10 12:00:00") == 2
-    assert spark.table("expiring.test_table").count() == 8 and os.path.isdir(folder)
-    assert expire_partitions(spark, product, "test_table", "2024-01-12 12:00:00", delete_files=True) == 2
+    assert expire_partitions(spark, product, "readings", "2024-01-10 12:00:00") == 2
+    assert spark.table("expiring.readings").count() == 8 and os.path.isdir(folder)
+    assert expire_partitions(spark, product, "readings", "2024-01-12 12:00:00", delete_files=True) == 2
     assert not os.path.exists(folder.replace("01-01", "01-03"))
     assert os.path.isdir(folder.replace("01-01", "01-05"))
