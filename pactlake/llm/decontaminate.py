@@ -66,7 +66,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, contained: int = C
     null id is an id like any other. Other columns are not read.
     """
     with Scratch(documents.sparkSession, "decontaminate") as scratch:
-        items = benchmark.select("item_id", F.array_distinct(shingle_list(word_list(F.col("text")), False)).alias("shingles"))
+        # Lists of words are columns of their own wherever windows are taken of them: inside the windows' expression they
+        # would be split anew for every window.
+        items = benchmark.select("item_id", word_list(F.col("text")).alias("words"))
+        items = items.select("item_id", F.array_distinct(shingle_list(F.col("words"), False)).alias("shingles"))
         items = items.where("shingles IS NOT NULL").withColumn("n_item", F.size("shingles"))
         items = scratch.table(items.withColumn("item", F.xxhash64(F.array_join("shingles", "\n"))))
         sketch = scratch.table(sketches(items.withColumn("item_id", F.col("item")).dropDuplicates(["item"]), contained))
@@ -77,8 +80,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, contained: int = C
         found = scratch.table(found.select("doc_id", "item").distinct())
         pairs = found.select(F.col("doc_id").alias("found_id"), "item")
         wanted = documents.select("doc_id", "text").join(pairs, F.col("doc_id").eqNullSafe(F.col("found_id")))
+        wanted = wanted.select("doc_id", "item", word_list(F.col("text")).alias("words"))
+        wanted = wanted.select("doc_id", "item", shingle_list(F.col("words"), False).alias("said"))
         with_items = wanted.join(items.withColumnRenamed("item", "i"), F.col("item") == F.col("i"))
-        shared = F.size(F.array_intersect(shingle_list(word_list(F.col("text")), False), F.col("shingles")))
+        shared = F.size(F.array_intersect("said", "shingles"))
         checked = with_items.select("doc_id", "item_id", "n_item", shared.alias("n_shared"))
         checked = checked.where(F.col("n_shared") >= needed(F.col("n_item"), contained))
         checked = checked.withColumn("containment", F.col("n_shared") / F.col("n_item"))
