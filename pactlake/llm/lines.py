@@ -3,10 +3,11 @@
 A line is the set of its words in lower case; a later line goes if an earlier one, by document id and line number, is at
 least 0.8 similar (Jaccard). Words are ordered by rarity, and a line's sequence in that order is filtered three ways:
 
-* *Positional.* Keys are pairs of neighbours in the order, not single words: two lines of n and m words that share o words
-  have at least 3o - n - m - 1 neighbours in common, for each word that only one of them has parts at most one pair of shared
-  ones. A pair of rare words is far rarer than a word, so few unlike lines meet however large the corpus.
-* *Prefix.* With that many common pairs the rarest ones of both lines, all but as many as they must share and one, hold a
+* *Positional.* Keys are runs of neighbours in the order (three words, two in short lines), not single words. Two lines of
+  n and m words that share o of them have at least o - (q - 1)(1 + n + m - 2o) runs of q words in common, for each word that
+  only one of them has interrupts at most q - 1 runs of shared ones. A run of rare words is far rarer than a word, so few
+  unlike lines meet however large the corpus.
+* *Prefix.* With that many common runs the rarest ones of both lines, all but as many as they must share and one, hold a
   common one; only those are keys.
 * *Length.* How many that is follows from the least partner that 0.8 allows, and pairs outside that range are dropped.
 
@@ -14,65 +15,221 @@ Lines that share a key are each compared with the first of them; those that it d
 other earlier ones. So a family of thousands of variants of a line costs about one comparison per variant. Comparison counts
 the common words of both lines in full.
 
-Rarity is counted in hash buckets over all words of all lines. Only the order of buckets comes to the driver, a fixed
-number of small integers, and any order gives the same result.
+Rarity is counted in hash buckets over all words of all lines. Only the counts of buckets come to the driver, a fixed
+number, and any order gives the same result. Keys are made and met in numpy, packed to a few bytes each (the same with
+DataFrame functions alone took three times the processor time and half as much again of the disk that the limits allow);
+what meets is joined, compared and removed by DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pactlake.llm.hashing import U64, mix, span_hashes, utf8, words
 from pactlake.llm.scratch import Scratch
 
 SIMILAR = 80
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
+#: Text bytes whose keys one task gathers, and members up to which a group of lines with a key is listed pair by pair.
+KEY_BYTES, FEW = 24 << 20, 8
+#: Words from which a line, and any similar one, has runs of three in common.
+LONG = 10
 _SPACES = r"[\x20\x09\x0B-\x0D]+"
-_KEY_BITS = 48
-
-
-def _lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, line, words): the distinct words of each line, numbered from 0; lines without words are left out."""
-    rows = documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "said"))
-    words = F.array_distinct(F.filter(F.split(F.lower("said"), _SPACES), lambda w: w != ""))
-    return rows.select("doc_id", "line", words.alias("words")).where(F.size("words") > 0)
-
-
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
-
-
-def rarity(documents: DataFrame) -> list[int]:
+_ROWS = 1000
+_BREAK = 10
+
+
+def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all lines with words, end to end: text, number in it, hashes of the words, and where each line's words begin."""
+    data, offsets = utf8(texts)
+    ends = np.union1d(np.flatnonzero(data == _BREAK) + 1, offsets)
+    begins, finishes, _ = words(data, offsets)
+    hashes = span_hashes(data, begins, finishes)
+    line = np.searchsorted(ends, begins, side="right") - 1
+    text = np.searchsorted(offsets, ends[:-1], side="right") - 1 if len(ends) > 1 else np.zeros(0, np.int64)
+    breaks = np.concatenate([[0], np.cumsum(data == _BREAK)])
+    number = breaks[ends[:-1]] - breaks[offsets[text]] if len(ends) > 1 else text
+    first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+    own = line[first]
+    return text[own], number[own], hashes, np.append(first, len(line))
+
+
+def _in_order(hashes: np.ndarray, starts: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of each line, the rarest first: by the place of the word's bucket, then by hash."""
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    place = places[(hashes % U64(BUCKETS)).astype(np.int64)]
+    order = np.lexsort((hashes, place, owner))
+    hashes, owner = hashes[order], owner[order]
+    keep = np.ones(len(hashes), bool)
+    keep[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    out = np.zeros(len(starts), np.int64)
+    np.cumsum(np.bincount(owner[keep], minlength=len(starts) - 1), out=out[1:])
+    return hashes[keep], out
+
+
+def least_common(n, m):
+    """The least number of words that sets of n and m words share if they are similar: 4 (n + m) / 9, rounded up."""
+    return -(-(SIMILAR * (n + m)) // (100 + SIMILAR))
+
+
+def key_count(n: np.ndarray, run: int) -> np.ndarray:
+    """How many of the rarest runs of a line of n words are keys: all but as many as any similar line shares, and one. The
+    fewest are shared with a line of the least size or, as sizes round, with one of the next two."""
+    least = -(-(SIMILAR * n) // 100)
+    shared = np.full(len(n), 1 << 40)
+    for m in (least, least + 1, least + 2):
+        common = least_common(n, m)
+        shared = np.minimum(shared, common - (run - 1) * (1 + n + m - 2 * common))
+    runs = n - run + 1
+    return np.clip(runs - shared + 1, 0, runs)
+
+
+def keys_of(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of all lines. Pairs whose shorter line has fewer than `LONG` words meet by runs of two words, others by
+    runs of three."""
+    n = np.diff(starts)
+    padded = np.concatenate([values, np.zeros(3, U64)])
+    lines, keys = [], []
+    for run, mine in ((2, (-(-(SIMILAR * n) // 100) < LONG) & (n > 1)), (3, n >= LONG)):
+        counts = np.where(mine, key_count(n, run), 0)
+        line = np.repeat(np.arange(len(n)), counts)
+        at = np.arange(len(line)) + np.repeat(starts[:-1] - (np.cumsum(counts) - counts), counts)
+        key = np.full(len(line), run, U64)
+        for i in range(run):
+            key = mix(key ^ padded[at + i])
+        lines.append(line)
+        keys.append(key)
+    return np.concatenate(lines), np.concatenate(keys)
+
+
+def rarity(documents: DataFrame) -> np.ndarray:
     """The place of each bucket among all, the one with the fewest words first."""
-    words = documents.select(F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word"))
-    counts = {r["bucket"]: r["count"] for r in words.groupBy(_bucket(F.col("word")).alias("bucket")).count().collect()}
-    place = [0] * BUCKETS
-    for i, bucket in enumerate(sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))):
-        place[bucket] = i
-    return place
-
-
-def _ordered(words: Column, places: Column) -> Column:
-    """Words as numbers in order of rarity: the place of the word's bucket, then bits of its hash."""
-
-    def number(word: Column) -> Column:
-        place = F.get(places, _bucket(word)).cast("long")
-        return F.shiftleft(place, 48).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit((1 << 48) - 1)))
 
-    return F.sort_array(F.transform(words, number))
-
-
-def least_common(n: Column, m: Column) -> Column:
-    """The least number of words that sets of n and m words share if they are similar: ceil(4 (n + m) / 9)."""
-    return F.ceil((n + m) * SIMILAR / (100 + SIMILAR)).cast("int")
-
-
-def key_count(n: Column) -> Column:
-    """How many of the rarest neighbouring pairs are keys: all but as many as any similar line shares, and one. The fewest
-    are shared with a line of the least size or, as sizes round, with one of the next two."""
-    least = F.ceil(n * SIMILAR / 100).cast("int")
-    shared = F.least(*[3 * least_common(n, least + k) - n - (least + k) - 1 for k in range(3)])
-    return F.least(n - 1, n - shared)
+    def count(batches):
+        total = np.zeros(BUCKETS, np.int64)
+        for whole in batches:
+            for begin in range(0, whole.num_rows, _ROWS):
+                hashes = _split(whole.column(0).slice(begin, _ROWS))[2]
+                total += np.bincount((hashes % U64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"bucket": some, "n": total[some]})
+
+    counts = np.zeros(BUCKETS, np.int64)
+    for row in documents.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        counts[row["bucket"]] = row["n"]
+    out = np.empty(BUCKETS, np.int64)
+    out[np.argsort(counts, kind="stable")] = np.arange(BUCKETS)
+    return out
+
+
+_NULL = -(1 << 63)
+_PACKED = "pid int, docs binary, counts binary, line binary, low binary, high binary"
+_MET = "doc_id long, line int, to_doc long, to_line int, list long"
+
+
+def _sets(documents: DataFrame, places: np.ndarray) -> DataFrame:
+    """(doc_id, line, a, b): two hashes of each line's set of words."""
+
+    def digest(batches):
+        for whole in batches:
+            for begin in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(begin, _ROWS)
+                text, number, hashes, starts = _split(batch.column(1))
+                values, starts = _in_order(hashes, starts, places)
+                sums = []
+                for seed in (3, 5):
+                    total = np.zeros(len(values) + 1, U64)
+                    np.cumsum(mix(values + U64(seed)), out=total[1:])
+                    sums.append(mix(total[starts[1:]] - total[starts[:-1]]).view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(text)), pa.array(number, pa.int32()), pa.array(sums[0]), pa.array(sums[1])], ["doc_id", "line", "a", "b"]
+                )
+
+    return documents.mapInArrow(digest, "doc_id long, line int, a long, b long")
+
+
+def _met(documents: DataFrame, places: np.ndarray, pids: int) -> DataFrame:
+    """Lines and earlier lines that share a key: every pair of a small group; of a larger one each line and the first, and the
+    group's lines under the number of a list (to_doc and to_line null)."""
+
+    def sign(batches):
+        for whole in batches:
+            for begin in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(begin, _ROWS)
+                text, number, hashes, starts = _split(batch.column(1))
+                line, key = keys_of(*_in_order(hashes, starts, places))
+                ids = batch.column(0).fill_null(_NULL).to_numpy()
+                pid = (key >> U64(40)) % U64(pids)
+                order = np.argsort(pid, kind="stable")
+                line, key = line[order], key[order]
+                cuts = np.searchsorted(pid[order], np.arange(pids + 1, dtype=U64))
+                rows: dict[str, list] = {name.split()[0]: [] for name in _PACKED.split(", ")}
+                for p in np.flatnonzero(np.diff(cuts)):
+                    part = slice(cuts[p], cuts[p + 1])
+                    owner = text[line[part]]
+                    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                    rows["pid"].append(int(p))
+                    rows["docs"].append(ids[owner[first]].astype("<i8").tobytes())
+                    rows["counts"].append(np.diff(np.append(first, len(owner))).astype("<u4").tobytes())
+                    rows["line"].append(number[line[part]].astype("<u4").tobytes())
+                    rows["low"].append(key[part].astype("<u4").tobytes())
+                    rows["high"].append((key[part] >> U64(32)).astype("u1").tobytes())
+                kinds = [("pid", pa.int32())] + [(c, pa.binary()) for c in rows if c != "pid"]
+                yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(kinds))
+
+    def meet(table: pa.Table) -> pa.Table:
+        read = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
+        doc = np.repeat(read("docs", "<i8"), read("counts", "<u4"))
+        line = read("line", "<u4").astype(np.int64)
+        key = read("low", "<u4").astype(U64) | (read("high", "u1").astype(U64) << U64(32))
+        order = np.lexsort((line, doc, key))
+        doc, line, key = doc[order], line[order], key[order]
+        keep = np.ones(len(key), bool)
+        keep[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
+        doc, line, key = doc[keep], line[keep], key[keep]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(key)))
+        left, right = [], []
+        for back in range(1, FEW):
+            group = np.flatnonzero((size > back) & (size <= FEW))
+            counts = size[group] - back
+            later = np.arange(int(counts.sum())) + np.repeat(first[group] + back - (np.cumsum(counts) - counts), counts)
+            left.append(later)
+            right.append(later - back)
+        group = np.flatnonzero(size > FEW)
+        counts = size[group]
+        member = np.arange(int(counts.sum())) + np.repeat(first[group] - (np.cumsum(counts) - counts), counts)
+        head = np.repeat(first[group], counts)
+        left.append(member[member != head])
+        right.append(head[member != head])
+        left, right = np.concatenate(left), np.concatenate(right)
+        pairs = np.unique(np.stack([doc[left], line[left], doc[right], line[right]], axis=1), axis=0) if len(left) else np.zeros((0, 4), np.int64)
+        # Equal groups are one list; its number is a hash of its members.
+        named = mix(doc[member].astype(U64) + mix(line[member].astype(U64) + U64(9)))
+        total = np.zeros(len(named) + 1, U64)
+        np.cumsum(named, out=total[1:])
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        number = mix(total[bounds[1:]] - total[bounds[:-1]]).view(np.int64)
+        one = np.zeros(len(group), bool)
+        one[np.unique(number, return_index=True)[1]] = True
+        listed = np.repeat(one, counts)
+        lists, member = np.repeat(number, counts)[listed], member[listed]
+        k, m = len(pairs), len(member)
+        whole = lambda a, b, kind: pa.concat_arrays([pa.array(a, kind), pa.array(b, kind) if b is not None else pa.nulls(m, kind)])
+        return pa.table(
+            {
+                "doc_id": whole(pairs[:, 0], doc[member], pa.int64()), "line": whole(pairs[:, 1], line[member], pa.int32()),
+                "to_doc": whole(pairs[:, 2], None, pa.int64()), "to_line": whole(pairs[:, 3], None, pa.int32()),
+                "list": pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(lists, pa.int64())]),
+            }
+        )
+
+    return documents.mapInArrow(sign, _PACKED).groupBy("pid").applyInArrow(meet, _MET).distinct()
 
 
 def similar(a: Column, b: Column) -> Column:
@@ -80,79 +237,61 @@ def similar(a: Column, b: Column) -> Column:
     return 100 * common >= SIMILAR * (F.size(a) + F.size(b) - common)
 
 
-def _earlier(doc: str, line: str, than_doc: str, than_line: str) -> Column:
-    return F.struct(F.col(doc), F.col(line)) < F.struct(F.col(than_doc), F.col(than_line))
-
-
 def repeated_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, line) of every line that an earlier line is similar to, exact repeats included; lines count from 0.
 
-    The order is by doc_id (null first) and line number. A null text has no line; a line without words is never removed. Rows that share an id
-    have their lines at the same places: lines at one place are not earlier than one another, and a place is
-    given once if any of its lines is removed. Other columns are not read.
+    The order is by doc_id (null first, as if the least long) and line number. A null text has no line; a line without
+    words is never removed. Rows that share an id have their lines at the same places: lines at one place are not earlier
+    than one another, and a place is given once if any of its lines is removed. Other columns are not read.
     """
     spark = documents.sparkSession
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    documents = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("doc_id"), F.lower("text").alias("text"))
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    pids = max(math.ceil(size / KEY_BYTES), spark.sparkContext.defaultParallelism)
     with Scratch(spark, "lines") as scratch:
-        places = F.split(F.lit(",".join(map(str, rarity(documents)))), ",").cast("array<int>")
-        ordered = _lines(documents).select("doc_id", "line", _ordered(F.col("words"), places).alias("words"))
-        # Lines of equal words: all but the first go.
-        equal = ordered.select("doc_id", "line", F.xxhash64("words").alias("a"), F.xxhash64(F.reverse("words")).alias("b"))
-        firsts = equal.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("lines"))
-        repeats = equal.join(firsts.where("lines > 1").hint("shuffle_merge"), ["a", "b"]).where(F.struct("doc_id", "line") > F.col("first"))
-        exact = scratch.table(repeats.select("doc_id", "line").distinct())
-        keyed = ordered.withColumn("keys", key_count(F.size("words")))
-        starts = F.when(F.col("keys") > 0, F.sequence(F.lit(0), F.col("keys") - 1))
-        pair = F.transform(starts, lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1)).bitwiseAND(F.lit((1 << _KEY_BITS) - 1)))
-        rows = keyed.select("doc_id", "line", F.explode(pair).alias("key"))
-        group = Window.partitionBy("key")
-        met = rows.select(
-            "key", "doc_id", "line", F.min(F.struct("doc_id", "line")).over(group).alias("first"), F.max(F.struct("doc_id", "line")).over(group).alias("last")
-        )
-        met = scratch.table(met.where(F.col("first") < F.col("last")))
-        later = met.where(F.struct("doc_id", "line") > F.col("first"))
-        pairs = later.select("doc_id", "line", F.col("first.doc_id").alias("to_doc"), F.col("first.line").alias("to_line")).distinct()
-        pairs = scratch.table(_without(pairs, exact))
-        said = scratch.table(_wanted(documents, met.select("doc_id", "line").distinct()))
-        settled = scratch.table(_verified(pairs, said))
-        # The rest meet the other earlier lines of their groups.
-        open_ = _without(_without(later.select("key", "doc_id", "line"), exact), settled)
-        others = met.select("key", F.col("doc_id").alias("to_doc"), F.col("line").alias("to_line"), F.col("first"))
-        more = open_.join(others, "key").where(
-            _earlier("to_doc", "to_line", "doc_id", "line") & (F.struct(F.col("to_doc").alias("doc_id"), F.col("to_line").alias("line")) > F.col("first"))
-        )
-        more = scratch.table(more.select("doc_id", "line", "to_doc", "to_line").distinct())
-        found = _verified(more, said)
-        return scratch.result(exact.union(settled).union(found).distinct())
-
-
-def _place(rows: DataFrame, doc: str, line: str) -> Column:
-    return rows["doc_id"].eqNullSafe(F.col(doc)) & (rows["line"] == F.col(line))
+        places = rarity(documents)
+        here = F.struct("doc_id", "line")
+        sets = _sets(documents, places)
+        sets = scratch.table(sets)
+        firsts = sets.groupBy("a", "b").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("lines")).where("lines > 1")
+        exact = scratch.table(sets.join(firsts.hint("shuffle_merge"), ["a", "b"]).where(here > F.col("first")).select("doc_id", "line").distinct())
+        met = scratch.table(_met(documents, places, pids))
+        pairs = scratch.table(_without(met.where("list IS NULL").drop("list"), exact))
+        # A line that repeats another needs no place in a list: what is similar to it is similar to the other, which is earlier.
+        lists = scratch.table(_without(met.where("list IS NOT NULL").select("doc_id", "line", "list"), exact))
+        settled = scratch.table(_verified(documents, pairs, scratch))
+        open_ = _without(lists, settled)
+        others = lists.select("list", F.col("doc_id").alias("to_doc"), F.col("line").alias("to_line"))
+        earlier = F.struct(F.col("to_doc").alias("doc_id"), F.col("to_line").alias("line")) < here
+        more = open_.join(others, "list").where(earlier).drop("list").distinct()
+        more = scratch.table(_without_pairs(more, pairs))
+        found = _verified(documents, more, scratch)
+        out = exact.union(settled).union(found).distinct()
+        return scratch.result(out.select(F.when(F.col("doc_id") != _NULL, F.col("doc_id")).alias("doc_id"), "line"))
 
 
 def _without(rows: DataFrame, places: DataFrame) -> DataFrame:
-    gone = places.select(F.col("doc_id").alias("gone_doc"), F.col("line").alias("gone_line"))
-    return rows.join(gone, _place(rows, "gone_doc", "gone_line"), "left_anti")
-
-
-def _wanted(documents: DataFrame, places: DataFrame) -> DataFrame:
-    """The words of the lines at the given places, as hashes; documents without one are not split again."""
-    by_document = places.groupBy("doc_id").agg(F.collect_list("line").alias("wanted")).withColumnRenamed("doc_id", "wanted_doc")
-    found = documents.hint("shuffle_merge").join(by_document, F.col("doc_id").eqNullSafe(F.col("wanted_doc")))
-    rows = found.select("doc_id", F.split("text", "\n", -1).alias("all"), F.explode("wanted").alias("line"))
-    words = F.array_distinct(F.filter(F.split(F.lower(F.get("all", F.col("line"))), _SPACES), lambda w: w != ""))
-    return rows.select("doc_id", "line", words.alias("words")).where(F.size("words") > 0).select("doc_id", "line", F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
-
-
-def _verified(pairs: DataFrame, said: DataFrame) -> DataFrame:
-    """The places of pairs (doc_id, line, to_doc, to_line) whose lines are similar."""
-    left = said.select(F.col("doc_id").alias("l_doc"), F.col("line").alias("l_line"), F.col("words").alias("l_words")).hint("shuffle_merge")
-    right = said.select(F.col("doc_id").alias("r_doc"), F.col("line").alias("r_line"), F.col("words").alias("r_words")).hint("shuffle_merge")
-    both = pairs.join(left, _place(pairs, "l_doc", "l_line"))
-    both = both.join(right, F.col("to_doc").eqNullSafe(F.col("r_doc")) & (F.col("to_line") == F.col("r_line")))
-    n, m = F.size("l_words"), F.size("r_words")
+    return rows.join(places, ["doc_id", "line"], "left_anti")
+
+
+def _without_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    return rows.join(pairs, ["doc_id", "line", "to_doc", "to_line"], "left_anti")
+
+
+def _verified(documents: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The places of pairs (doc_id, line, to_doc, to_line) whose lines are similar, compared by their words."""
+    both = pairs.select("doc_id", "line").union(pairs.select("to_doc", "to_line")).distinct()
+    wanted = both.groupBy("doc_id").agg(F.collect_list("line").alias("wanted"))
+    found = documents.hint("shuffle_merge").join(wanted, "doc_id").select("doc_id", F.split("text", "\n", -1).alias("all"), "wanted")
+    said = found.select("doc_id", "all", F.explode("wanted").alias("line")).select("doc_id", "line", F.get("all", F.col("line")).alias("said"))
+    listed = F.array_distinct(F.filter(F.split("said", _SPACES), lambda w: w != ""))
+    said = scratch.table(said.select("doc_id", "line", listed.alias("words")).where(F.size("words") > 0))
+    left = said.select("doc_id", "line", F.col("words").alias("l"))
+    right = said.select(F.col("doc_id").alias("to_doc"), F.col("line").alias("to_line"), F.col("words").alias("r"))
+    joined = pairs.join(left.hint("shuffle_merge"), ["doc_id", "line"]).join(right.hint("shuffle_merge"), ["to_doc", "to_line"])
+    n, m = F.size("l"), F.size("r")
     near = (100 * n >= SIMILAR * m) & (100 * m >= SIMILAR * n)
-    return both.where(near & similar(F.col("l_words"), F.col("r_words"))).select("doc_id", "line").distinct()
+    return joined.where(near & similar(F.col("l"), F.col("r"))).select("doc_id", "line").distinct()
 
 
 def line_figures(documents: DataFrame, removed: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from conftest import odd_rows
 
-from pactlake.llm.lines import line_figures, repeated_lines, without_lines
+from pactlake.llm.lines import keys_of, least_common, line_figures, repeated_lines, without_lines
 
 
 def brute(rows):
@@ -59,7 +60,25 @@ def test_odd_rows(documents):
     assert line_figures(documents([]), repeated_lines(documents([]))).count() == 0
 
 
-def test_no_python_runs(documents):
-    table = documents(made(4, 6))
-    plan = line_figures(table, repeated_lines(table))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+def test_families_of_variants(documents, monkeypatch):
+    """Groups above the size that is listed pair by pair."""
+    monkeypatch.setattr("pactlake.llm.lines.FEW", 3)
+    rng, base = random.Random(9), [f"w{i}" for i in range(40)]
+    rows = []
+    for d in range(80):
+        words = [w if rng.random() > 0.06 else f"v{rng.randint(0, 99)}" for w in base]
+        rows.append((d, " ".join(words) + "\n" + " ".join(base[: rng.choice((5, 8, 9, 10, 11, 12, 13))]), "en", "a"))
+    assert {(r["doc_id"], r["line"]) for r in repeated_lines(documents(rows)).collect()} == brute(rows)
+
+
+def test_similar_lines_share_keys():
+    rng = random.Random(1)
+    for n in [*range(2, 40), 100]:
+        for m in range(-(-4 * n // 5), n + 1):
+            common = least_common(n, m)
+            for _ in range(5):
+                pool = rng.sample(range(1 << 30), n + m - common)
+                x, y = sorted(pool[:n]), sorted(pool[:common] + pool[n:])
+                values = np.array(x + y, np.uint64)
+                line, key = keys_of(values, np.array([0, n, n + m]))
+                assert set(key[line == 0].tolist()) & set(key[line == 1].tolist()), (n, m)
