@@ -115,6 +115,21 @@ def contract_inventory(spark: SparkSession, product: Product) -> DataFrame:
     return spark.createDataFrame(rows, INVENTORY_SCHEMA)
 
 
+def contract_diff(spark: SparkSession, old: Product, new: Product) -> DataFrame:
+    """A5 between two versions of a contract, tables that came or went column by column; and, as `moved`, the columns that
+    stand elsewhere among those that both versions have."""
+    drift = schema_drift(contract_inventory(spark, old), contract_inventory(spark, new).withColumn("product", F.lit(old.name)))
+    moved = []
+    for table in new.tables:
+        before = next((t.column_names for t in old.tables if t.name == table.name), [])
+        kept = [c for c in before if c in table.column_names]
+        now = [c for c in table.column_names if c in kept]
+        moved += [
+            (old.name, table.name, c, "moved", str(kept.index(c)), str(now.index(c))) for c in now if kept.index(c) != now.index(c)
+        ]
+    return drift.union(spark.createDataFrame(moved, drift.schema))
+
+
 def schema_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """A5: added, removed, retyped and re-nullabled columns between two inventories.
 

@@ -6,6 +6,7 @@ The overviews over deployed products are `deployments.listing` and `deployments.
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,10 @@ from pyspark.sql.utils import AnalysisException
 from pactlake.contract import Product, Table
 from pactlake.functions.expressions import timestamp_literal
 from pactlake.operators import deployments
-from pactlake.operators.layout import partition_fields
+from pactlake.operators.layout import TIME_TRANSFORMS, partition_fields
 from pactlake.operators.quality import run_suite, verdict
 from pactlake.operators.schema import contract_inventory, inventory, schema_drift
+from pactlake.operators.sla import availability, freshness_lag, row_count_bounds
 from pactlake.sources.writers import create_table, drop_product, ensure_namespace
 
 
@@ -101,6 +103,42 @@ def validate(spark: SparkSession, product: Product, as_of: str) -> DataFrame:
     return verdict(reduce(DataFrame.unionByName, suites))
 
 
+def service_levels(tables: dict[str, DataFrame], product: Product, as_of: str, hours: int = 24) -> DataFrame:
+    """what the contract promises of its tables, measured at `as_of`: one row per table and promise with
+    `promise` (freshness, row_count, availability), `measured` (minutes of lag, rows, percent of the last `hours` hours) and
+    `met`. A product that is not enabled promises nothing.
+
+    `tables` maps names to rows, of a deployed product `deployed(spark, product)`. A table's time is the column that it is
+    partitioned by in time, or else its first timestamp; without one only its rows are counted.
+    """
+    timed = {name: (df, at) for name, df in tables.items() if (at := _time_column(product.table(name)))}
+    parts = [
+        row_count_bounds(tables, product.min_row_count, product.max_row_count).select(
+            "table", F.lit("row_count").alias("promise"), F.col("row_count").cast("double").alias("measured"), F.col("passed").alias("met")
+        )
+    ]
+    if timed:
+        lag = freshness_lag(timed, as_of, product.freshness_hours)
+        parts.append(lag.select("table", F.lit("freshness"), F.col("lag_minutes").cast("double"), ~F.col("breached")))
+    start = str(datetime.fromisoformat(as_of) - timedelta(hours=hours))
+    for name, (df, at) in timed.items():
+        known = df.sparkSession.createDataFrame([(name,)], "table string")
+        arrivals = df.select(F.lit(name).alias("table"), at)
+        share = availability(arrivals, "table", at, start, hours, product.freshness_hours, product.availability_pct, known)
+        parts.append(share.select("table", F.lit("availability"), "availability_pct", "met"))
+    levels = reduce(DataFrame.union, parts).select(F.lit(product.name).alias("product"), "table", "promise", "measured", "met")
+    return levels if product.enabled else levels.where(F.lit(False))
+
+
+def deployed(spark: SparkSession, product: Product) -> dict[str, DataFrame]:
+    return {t.name: spark.table(product.fqn(t.name)) for t in product.tables}
+
+
+def _time_column(table: Table) -> str | None:
+    by_time = [p.column for p in table.partitions if p.transform in TIME_TRANSFORMS]
+    return next(iter(by_time + [c.name for c in table.columns if c.type in ("timestamp", "date")]), None)
+
+
 def teardown(spark: SparkSession, product: Product, log: str, at: str) -> int:
     """Drop the tables, keep the files, and mark the product deleted; returns the tables dropped."""
     dropped = drop_product(spark, product)

@@ -11,6 +11,7 @@ from pactlake.operators.quality import breaks
 from pactlake.operators.sla import (
     availability, expire_partitions, freshness_lag, quality_trend, row_count_bounds, unexpired,
 )
+from pactlake.plans.deploy import service_levels
 from pactlake.queries.registry import AS_OF, EVENTS_AS_OF, contract, load, private_copy, query
 from pactlake.session import fresh_folder
 from pactlake.sources.readers import read_table
@@ -140,3 +141,24 @@ def quality_trend_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.array(*[F.col(r.kind) == 0 for r, _ in rules])).alias("passed"),
     )
     return quality_trend(results)
+
+
+@query(f"""
+WITH o AS (SELECT * FROM orders), j AS (
+  SELECT epoch(h + INTERVAL 1 HOUR - (SELECT max(o_orderdate) FROM o WHERE o_orderdate < h + INTERVAL 1 HOUR)) <= 24 * 3600 AS fresh
+  FROM (SELECT TIMESTAMP '2000-07-01' + to_hours(CAST(i AS INTEGER)) AS h FROM range(720) x(i)))
+SELECT 'retail_customers' AS product, 'raw_customers' AS "table", 'row_count' AS promise, CAST(count(*) AS DOUBLE) AS measured,
+       count(*) >= 100 AS met FROM customer
+UNION ALL SELECT 'retail_customers', 'raw_orders', 'row_count', CAST(count(*) AS DOUBLE), count(*) >= 100 FROM o
+UNION ALL SELECT 'retail_customers', 'raw_orders', 'freshness',
+       CAST(trunc((epoch_us(TIMESTAMP '2000-07-31') - epoch_us(max(o_orderdate))) / 60e6) AS DOUBLE),
+       max(o_orderdate) >= TIMESTAMP '2000-07-31' - INTERVAL 24 HOUR FROM o
+UNION ALL SELECT 'retail_customers', 'raw_orders', 'availability', round(100.0 * count(*) FILTER (fresh) / 720, 4),
+       round(100.0 * count(*) FILTER (fresh) / 720, 4) >= 99.9 FROM j
+""")
+def sla_contract_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the promises of a contract, with its own bounds, over the last thirty days before a moment."""
+    from pactlake.queries.medallion import raw_customers, raw_orders
+
+    tables = {"raw_customers": raw_customers(spark, sf_dir), "raw_orders": raw_orders(spark, sf_dir)}
+    return service_levels(tables, contract("retail_customers"), "2000-07-31 00:00:00", hours=720)

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from pactlake.contract import parse_product
 from pactlake.operators import deployments as d
-from pactlake.plans.deploy import current, deploy, read_log, teardown, validate
+from pactlake.operators.schema import contract_diff
+from pactlake.plans.deploy import current, deploy, read_log, service_levels, teardown, validate
 from pactlake.sources.writers import write_table
 
 
@@ -53,3 +55,29 @@ def test_changed_contract_on_an_existing_table_is_reported(spark, paths, documen
 def test_validate_without_rules(spark, product):
     with pytest.raises(ValueError, match="no rules"):
         validate(spark, product, "2024-01-01")
+
+
+def test_service_levels_come_from_the_contract(spark, document):
+    document["sla"] = {"freshness_hours": 2, "min_row_count": 3, "max_row_count": 5, "availability_pct": 50}
+    product = parse_product(document)
+    rows = spark.createDataFrame([("a", 1.0, "2024-01-01 10:30:00"), ("b", 2.0, "2024-01-01 01:00:00")], "id string, value double, at string")
+    rows = rows.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = {r.promise: (r.measured, r.met) for r in service_levels({"readings": rows}, product, "2024-01-01 12:00:00", 12).collect()}
+    assert got == {"row_count": (2.0, False), "freshness": (90.0, True), "availability": (33.3333, False)}
+    document["enabled"] = False
+    assert service_levels({"readings": rows}, parse_product(document), "2024-01-01 12:00:00").isEmpty()
+
+
+def test_contract_diff(spark, document):
+    old = parse_product(document)
+    columns = document["tables"][0]["schema"]
+    columns[0], columns[1] = columns[1], columns[0]
+    columns[2]["type"] = "long"
+    new = parse_product(with_table(document))
+    got = {(r.table, r.column, r.change) for r in contract_diff(spark, old, new).collect()}
+    assert got == {("readings", "id", "type"), ("readings", "at", "moved"), ("readings", "value", "moved"), ("more", "x", "added")}
+
+
+def with_table(document):
+    document["tables"].append({"name": "more", "tier": "gold", "schema": [{"name": "x", "type": "date"}]})
+    return document
