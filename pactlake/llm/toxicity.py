@@ -25,7 +25,7 @@ from pactlake.llm.sampling import held_out, labelled_sample
 from pactlake.llm.shipping import ship
 
 #: Bounds of the training sample for either label: documents, and bytes of text.
-SAMPLE_DOCUMENTS, SAMPLE_BYTES = 1200, 4 << 20
+SAMPLE_DOCUMENTS, SAMPLE_BYTES = 1000, 3 << 20
 WINDOW, STRIDE = 48, 36
 EMBEDDING, HIDDEN, PASSES, BATCH, RATE = 8, 8, 5, 64, 0.02
 #: Documents of the sample that a word or n-gram must occur in.
@@ -145,13 +145,20 @@ class Model:
         return np.where(np.isfinite(highest), recurrent.sigmoid(highest), 0.0)
 
 
-def _log_odds(keys: np.ndarray, owner: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of enough texts, and the log-odds of label 1 that their presence gives."""
+def _presence(keys: np.ndarray, owner: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, in how many texts each is, and in how many with label 1."""
     pairs = np.unique(keys.astype(U64) << U64(32) | owner.astype(U64))
     key, text = (pairs >> U64(32)).astype(np.uint32), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
     kinds, kind = np.unique(key, return_inverse=True)
-    total = np.bincount(kind, minlength=len(kinds))
-    ones = np.bincount(kind, weights=label[text], minlength=len(kinds))
+    return kinds, np.bincount(kind, minlength=len(kinds)), np.bincount(kind, weights=label[text], minlength=len(kinds))
+
+
+def _log_odds(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of enough texts, and the log-odds of label 1 that their presence gives; from the counts of parts of the texts."""
+    keys, totals, positives = (np.concatenate(x) for x in zip(*parts, strict=True))
+    kinds, kind = np.unique(keys, return_inverse=True)
+    total = np.bincount(kind, weights=totals, minlength=len(kinds))
+    ones = np.bincount(kind, weights=positives, minlength=len(kinds))
     odds = np.log((ones + 0.5) / (label.sum() + 1)) - np.log((total - ones + 0.5) / ((1 - label).sum() + 1))
     return kinds[total >= LEAST_DOCUMENTS], odds[total >= LEAST_DOCUMENTS].astype(np.float32)
 
@@ -160,14 +167,19 @@ def train(texts: list[str], labels: list[int], passes: int = PASSES, seed: int =
     """Fit the network to texts and their labels (0 or 1); the same sample gives the same model."""
     rng = np.random.default_rng(seed)
     batch, label = Batch(pa.array(texts, pa.string())), np.array(labels, np.float32)
-    text_of = np.repeat(np.arange(len(texts)), np.diff(batch.firsts))
-    word_keys, word_odds = _log_odds(batch.words[batch.index], text_of, label)
-    gram_counts = np.bincount(batch.gram_owner, minlength=len(batch.words))
-    gram_first = np.cumsum(gram_counts) - gram_counts
-    spoken = np.unique(batch.index.astype(np.int64) * len(texts) + text_of) if len(texts) else np.zeros(0, np.int64)
-    word, text = (spoken // len(texts), spoken % len(texts)) if len(texts) else (spoken, spoken)
-    at = np.repeat(gram_first[word] - (np.cumsum(gram_counts[word]) - gram_counts[word]), gram_counts[word]) + np.arange(int(gram_counts[word].sum()))
-    gram_keys, gram_odds = _log_odds(batch.grams[at], np.repeat(text, gram_counts[word]), label)
+    nothing = (np.zeros(0, np.uint32), np.zeros(0), np.zeros(0))
+    word_parts, gram_parts = [nothing], [nothing]
+    for begin in range(0, len(texts), 50):
+        part = Batch(pa.array(texts[begin : begin + 50], pa.string()))
+        spoken = np.repeat(np.arange(begin, min(begin + 50, len(texts))), np.diff(part.firsts))
+        word_parts.append(_presence(part.words[part.index], spoken, label))
+        pairs = np.unique(part.index.astype(np.int64) * len(texts) + spoken)
+        word, text = pairs // len(texts), pairs % len(texts)
+        counts = np.bincount(part.gram_owner, minlength=len(part.words))
+        first, counts = (np.cumsum(counts) - counts)[word], counts[word]
+        at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        gram_parts.append(_presence(part.grams[at], np.repeat(text, counts), label))
+    (word_keys, word_odds), (gram_keys, gram_odds) = _log_odds(word_parts, label), _log_odds(gram_parts, label)
     params = recurrent.initial(len(word_keys), len(gram_keys), EMBEDDING, HIDDEN, rng)
     params["word"][:-1, 0], params["gram"][:-1, 0] = word_odds / 4, gram_odds / 4
     params["gram"][-1] = -1
