@@ -97,9 +97,12 @@ def resample(
     noise; equal sums are taken by id. Without labels nothing is known of the target and every weight is 0.
     """
     good = labelled_sample(documents, labels.where(F.col(label) == 1), label, sample_documents, sample_bytes)
-    texts = pa.array([r["text"] for r in good.select("text").collect()], pa.string())
+    texts = [r["text"] for r in good.select("text").collect()]
     raw = corpus_counts(documents, buckets)
-    target = np.bincount(features(texts, buckets)[0], minlength=buckets) if len(texts) else raw
+    target = np.zeros(buckets, np.int64) if texts else raw
+    for begin in range(0, len(texts), 200):
+        part = pa.array(texts[begin : begin + 200], pa.string())
+        target += np.bincount(features(part, buckets)[0], minlength=buckets)
     if share is None:
         known = labels.groupBy("doc_id").agg(F.max(label).alias("label")).agg(F.avg("label")).first()[0]
         share = 1.0 if known is None else float(known)

@@ -72,7 +72,8 @@ def base_figures(documents: DataFrame) -> DataFrame:
 
 
 def class_counts(text: Column) -> Column:
-    counts = [F.regexp_count(text, F.lit(c)).cast("long") for c in CLASSES]
+    # What is left without a class is shorter by the class; counting matches would list every character.
+    counts = [(F.length(text) - F.length(F.regexp_replace(text, f"{c}+", ""))).cast("long") for c in CLASSES]
     rest = F.length(text).cast("long")
     for c in counts:
         rest = rest - c

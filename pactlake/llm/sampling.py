@@ -24,7 +24,8 @@ def bounded_sample(rows: DataFrame, by: str, limit: int, byte_limit: int, text:
     rows = rows.where(F.col(by).isNotNull() & F.col(text).isNotNull())
     rows = rows.withColumn("__draw", F.pmod(F.xxhash64(F.lit(seed), text, "doc_id"), F.lit(1 << 30)) / float(1 << 30))
     counts = rows.groupBy(F.col(by).alias("__by")).agg(F.count(F.lit(1)).alias("__rows"))
-    thin = rows.join(counts, rows[by] == counts["__by"]).where(F.col("__draw") * F.col("__rows") < 4.0 * limit)
+    # One row per value, of which a label or language has few.
+    thin = rows.join(F.broadcast(counts), rows[by] == counts["__by"]).where(F.col("__draw") * F.col("__rows") < 4.0 * limit)
     order = Window.partitionBy("__by").orderBy("__draw", "doc_id")
     first = thin.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= limit)
     used = F.sum(F.octet_length(text).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -41,7 +42,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, by: str, limit: int
     known = labels.where(F.col(by).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(by).alias("label"))
     known = known.withColumn("__draw", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30))
     counts = known.groupBy(F.col("label").alias("__label")).agg(F.count(F.lit(1)).alias("__rows"))
-    drawn = known.join(counts, F.col("label") == F.col("__label")).where(F.col("__draw") * F.col("__rows") < 2.0 * limit)
+    drawn = known.join(F.broadcast(counts), F.col("label") == F.col("__label")).where(F.col("__draw") * F.col("__rows") < 2.0 * limit)
     drawn = drawn.withColumn("__rank", F.row_number().over(Window.partitionBy("label").orderBy("__draw", "doc_id")))
     drawn = drawn.where(F.col("__rank") <= 4 * limit).select("doc_id", "label")
     rows = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")

@@ -31,7 +31,7 @@ EMBEDDING, HIDDEN, PASSES, BATCH, RATE = 8, 8, 5, 64, 0.02
 #: Documents of the sample that a word or n-gram must occur in.
 LEAST_DOCUMENTS = 3
 _GRAMS = (3, 4, 5)
-_ROWS = 4000
+_ROWS = 2500
 #: A-Z in lower case; every other ASCII character but letters and digits is a space.
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
