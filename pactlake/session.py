@@ -56,11 +56,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A folder of its own in the application's part of the shared folder (see `release`)."""
+    return f"{_application_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def release(spark: SparkSession) -> None:
-    """Delete what this application has stored with `materialize`; frames read from it are no longer readable."""
+    """Delete what this application has stored in fresh folders and with `materialize`; frames read from there are no longer
+    readable. To be called when the application's results are written elsewhere."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -76,7 +78,7 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 
 def materialize_counted(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
     """`materialize`, and the number of rows, observed while writing."""
-    folder = f"{_application_folder(df.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
+    folder = fresh_folder(df.sparkSession, purpose)
     observed = Observation()
     df.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder), observed.get["rows"]
