@@ -56,6 +56,11 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+def blanks(data: np.ndarray) -> np.ndarray:
+    """Which bytes are one of `SPACES`."""
+    return _SPACE[data]
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every run of bytes outside `SPACES`, and for each text the index of its first word
     (one entry more than texts). A word never crosses the end of its text."""

@@ -40,3 +40,55 @@ class Lookup:
             out[left[hit]] = rows[hit]
             left = left[~hit & (rows >= 0)]
         return out
+
+
+class Pieces:
+    """Arrays of numbers by 64-bit key, added to over time; looked up and put together for whole arrays of keys."""
+
+    def __init__(self, bits: int = 16):
+        self._mask = (1 << bits) - 1
+        self._keys, self._rows = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        self.starts, self.counts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, -1 where it is not known."""
+        out = np.full(len(keys), -1, np.int32)
+        left, slot = np.arange(len(keys)), (keys & np.uint64(self._mask)).astype(np.int64)
+        while len(left):
+            rows = self._rows[slot]
+            hit = (self._keys[slot] == keys[left]) & (rows >= 0)
+            out[left[hit]] = rows[hit]
+            go_on = ~hit & (rows >= 0)
+            left, slot = left[go_on], (slot[go_on] + 1) & self._mask
+        return out
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        """Keys that are not known yet, without repeats, how many numbers each has, and the numbers end to end."""
+        if 2 * (len(self) + len(keys)) > self._mask:
+            known = self._keys[self._rows >= 0], self._rows[self._rows >= 0]
+            bits = int(np.ceil(np.log2(4 * (len(self) + len(keys)))))
+            self._mask = (1 << bits) - 1
+            self._keys, self._rows = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+            self._insert(*known)
+        self._insert(keys, np.arange(len(self), len(self) + len(keys), dtype=np.int32))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _insert(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        slot = (keys & np.uint64(self._mask)).astype(np.int64)
+        while len(keys):
+            free = np.flatnonzero(self._rows[slot] < 0)
+            chosen = free[np.unique(slot[free], return_index=True)[1]]
+            self._rows[slot[chosen]], self._keys[slot[chosen]] = rows[chosen], keys[chosen]
+            missed = self._rows[slot] != rows
+            keys, rows, slot = keys[missed], rows[missed], (slot[missed] + 1) & self._mask
+
+    def joined(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the given rows end to end, and where each row's end."""
+        counts = self.counts[rows]
+        upto = np.cumsum(counts)
+        return self.flat[np.repeat(self.starts[rows] - (upto - counts), counts) + np.arange(int(upto[-1]) if len(upto) else 0)], upto

@@ -15,11 +15,15 @@ written range by range, each under a temporary name first, so a task that runs a
 
 from __future__ import annotations
 
+import json
 import math
+import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pactlake.llm.hashing import blanks, span_hashes, utf8
+from pactlake.llm.lookup import Pieces
 from pactlake.llm.scratch import Scratch
 from pactlake.llm.shipping import ship
 from pactlake.session import shared_folder
@@ -46,17 +52,95 @@ def checksum(raw: bytes) -> int:
     return xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF
 
 
-def encoder(tokenizer: str):
-    """A function from texts to arrays of ids; `tokenizer` is the path of a tokenizer file. Strings of special tokens in a
-    text are ordinary text."""
-    import os
+#: Bytes of UTF-8 that may begin white space beyond the plain kind, or are control characters.
+_SUSPECT = np.zeros(256, bool)
+_SUSPECT[[*range(9), *range(14, 32), 127, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+#: Pieces whose ids a worker keeps.
+_KEPT_PIECES = 2_000_000
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(tokenizer)
-    model.encode_special_tokens = True
-    return lambda texts: [np.array(x.ids, "<u4") for x in model.encode_batch_fast(texts, add_special_tokens=False)]
+class Encoder:
+    """Texts to arrays of ids with the tokenizers library; strings of special tokens in a text are ordinary text.
+
+    A byte-level tokenizer cuts a text into words before anything else, and always where white space follows
+    something else and where a mark follows a letter. So the ids of a text are those of its pieces between such places,
+    and a worker tokenizes a piece once. Texts with unusual white space, and other tokenizers, are tokenized whole.
+    """
+
+    def __init__(self, tokenizer: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self._model = Tokenizer.from_file(tokenizer)
+        self._model.encode_special_tokens = True
+        made = json.loads(self._model.to_str())
+        cut = made.get("pre_tokenizer") or {}
+        self.in_pieces = (
+            cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+            and not made.get("normalizer") and not made.get("truncation") and not made.get("padding")
+        )
+        self._known = Pieces()
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self._model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.in_pieces:
+            return self.whole(texts)
+        data, offsets = utf8(pa.array(texts, pa.string()))
+        odd = np.unique(np.searchsorted(offsets, _odd_places(data), side="right") - 1)
+        out = self._pieced(data, offsets)
+        for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
+            out[i] = ids
+        return out
+
+    def _pieced(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        if not len(data):
+            return [np.zeros(0, "<u4")] * (len(offsets) - 1)
+        blank = blanks(data)
+        first = blank | _MARK[data]
+        first[1:] &= (blank[1:] & ~blank[:-1]) | _LETTER[data[:-1]]
+        first[offsets[:-1][np.diff(offsets) > 0]] = True
+        begins = np.flatnonzero(first)
+        ends = np.append(begins[1:], len(data))
+        keys = span_hashes(data, begins, ends)
+        if len(self._known) > _KEPT_PIECES:
+            self._known = Pieces()
+        rows = self._known.find(keys)
+        unknown = np.flatnonzero(rows < 0)
+        if len(unknown):
+            new, one = np.unique(keys[unknown], return_index=True)
+            at, raw = unknown[one], data.tobytes()
+            # A text whose bytes make no text when cut is an odd one, and is tokenized whole.
+            said = [raw[b:e].decode(errors="replace") for b, e in zip(begins[at].tolist(), ends[at].tolist(), strict=True)]
+            found = [x.ids for x in self._model.encode_batch_fast(said, add_special_tokens=False)]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            self._known.add(new, counts, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())))
+            rows[unknown] = self._known.find(keys[unknown])
+        ids, upto = self._known.joined(rows)
+        cuts = np.concatenate([[0], upto])[np.searchsorted(begins, offsets)]
+        return [ids[a:b].astype("<u4") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def _odd_places(data: np.ndarray) -> np.ndarray:
+    """Where control characters and white space stand that a tokenizer may treat in its own way: U+0080 to U+00A0 and the
+    spaces and marks of the blocks that have any."""
+    at = np.flatnonzero(_SUSPECT[data])
+    padded = np.concatenate([data, np.zeros(2, np.uint8)])
+    one, two, three = data[at], padded[at + 1], padded[at + 2]
+    latin = (one == 0xC2) & (two <= 0xA0)
+    general = (one == 0xE2) & (((two == 0x80) & ((three < 0x90) | (three >= 0xA8))) | (two == 0x81))
+    other = ((one == 0xE1) & ((two == 0x9A) | (two == 0xA0))) | ((one == 0xE3) & (two == 0x80)) | ((one == 0xEF) & (two == 0xBB))
+    return at[(one < 0x80) | latin | general | other]
+
+
+@cache
+def encoder(tokenizer: str) -> Encoder:
+    """One encoder per worker and tokenizer file."""
+    return Encoder(tokenizer)
 
 
 def frames(documents: DataFrame, tokenizer: str, end_id: int, level: int = 3) -> DataFrame:
@@ -67,8 +151,8 @@ def frames(documents: DataFrame, tokenizer: str, end_id: int, level: int = 3) ->
 
         ids_of, compressor, end = encoder(tokenizer), zstandard.ZstdCompressor(level=level), np.array([end_id], "<u4")
         for whole in batches:
-            for begin in range(0, whole.num_rows, 256):
-                batch = whole.slice(begin, 256)
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
                 raw = [np.concatenate([ids, end]).tobytes() for ids in ids_of(batch.column(1).fill_null("").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -8,6 +8,7 @@ import pytest
 import zstandard
 from conftest import PROSE, odd_rows
 
+from pactlake.llm.lookup import Pieces
 from pactlake.llm.queries import END_ID, tokenizer_path
 from pactlake.llm.token_files import TokenFile, checksum, encoder, read_digests, read_tokens, write_file, write_tokens
 
@@ -72,3 +73,27 @@ def test_odd_rows(documents, tmp_path):
     assert len({bytes(r["ids"]) for r in found if r["doc_id"] in (5, None)}) == 1
     empty = write_tokens(documents([]), str(tmp_path / "none"), tokenizer_path(), END_ID)
     assert empty.count() == 0 and read_tokens(empty).count() == 0
+
+
+def test_pieces_give_the_ids_of_whole_texts():
+    encode = encoder(tokenizer_path())
+    assert encode.in_pieces
+    texts = ["", " ", "a", " a", "a ", "  a  b \n\n c\n", "it's we'll\tI'd", "x \n\nword", "é  ü", "\r\n\r\nq", "<|endoftext|> 12  345", "a\x1c\n\nb", "\n", "日本 語\n  z"]
+    texts += ["x \n\nq", "a  b", "a,b.c!d", "don't.'s 'st", "“x” — y", "a1.b2, 3.c"]
+    texts += ["".join(np.random.default_rng(i).choice(list("ab '\n\t1.é, ! “€"), 60)) for i in range(300)]
+    assert [x.tolist() for x in encode(texts)] == [x.tolist() for x in encode.whole(texts)]
+
+
+def test_pieces_table_grows():
+    rng, table, known = np.random.default_rng(2), Pieces(4), {}
+    for _ in range(6):
+        keys = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
+        keys = keys[table.find(keys) < 0]
+        counts = rng.integers(0, 4, len(keys))
+        flat = rng.integers(0, 99, counts.sum()).astype(np.uint32)
+        table.add(keys, counts, flat)
+        known.update(zip(keys.tolist(), np.split(flat, np.cumsum(counts)[:-1]), strict=True))
+    asked = np.array(list(known), np.uint64)
+    values, upto = table.joined(table.find(asked))
+    assert len(table) == len(known) and (table.find(rng.integers(0, 1 << 63, 50, dtype=np.uint64)) < 0).all()
+    assert all((a == known[k]).all() for a, k in zip(np.split(values, upto[:-1]), asked.tolist(), strict=True))
