@@ -11,9 +11,9 @@ least 0.8 similar (Jaccard). Words are ordered by rarity, and a line's sequence
   common one; only those are keys.
 * *Length.* How many that is follows from the least partner that 0.8 allows, and pairs outside that range are dropped.
 
-Lines that share a key are each compared with the first of them; those that it does not settle are compared with the
-other earlier ones. So a family of thousands of variants of a line costs about one comparison per variant. Comparison counts
-the common words of both lines in full.
+Lines that share a key are each compared with the first few of them; those that these do not settle are compared with the
+other earlier ones. So a family of thousands of variants of a line costs a few comparisons per variant, unless its variants
+are hardly similar to one another. Comparison counts the common words of both lines in full.
 
 Rarity is counted in hash buckets over all words of all lines. Only the counts of buckets come to the driver, a fixed
 number, and any order gives the same result. Keys are made and met in numpy, packed to a few bytes each (the same with
@@ -37,6 +37,8 @@ SIMILAR = 80
 BUCKETS = 1 << 16
 #: Text bytes whose keys one task gathers, and members up to which a group of lines with a key is listed pair by pair.
 KEY_BYTES, FEW = 24 << 20, 8
+#: Of a larger group, the first members that all others are compared with before any others are.
+HEADS = 4
 #: Words from which a line, and any similar one, has runs of three in common.
 LONG = 10
 _SPACES = r"[\x20\x09\x0B-\x0D]+"
@@ -154,7 +156,7 @@ def _sets(documents: DataFrame, places: np.ndarray) -> DataFrame:
 
 
 def _met(documents: DataFrame, places: np.ndarray, pids: int) -> DataFrame:
-    """Lines and earlier lines that share a key: every pair of a small group; of a larger one each line and the first, and the
+    """Lines and earlier lines that share a key: every pair of a small group; of a larger one each line and the first ones, and the
     group's lines under the number of a list (to_doc and to_line null)."""
 
     def sign(batches):
@@ -205,8 +207,10 @@ def _met(documents: DataFrame, places: np.ndarray, pids: int) -> DataFrame:
         counts = size[group]
         member = np.arange(int(counts.sum())) + np.repeat(first[group] - (np.cumsum(counts) - counts), counts)
         head = np.repeat(first[group], counts)
-        left.append(member[member != head])
-        right.append(head[member != head])
+        for early in range(HEADS):
+            later = member > head + early
+            left.append(member[later])
+            right.append(head[later] + early)
         left, right = np.concatenate(left), np.concatenate(right)
         pairs = np.unique(np.stack([doc[left], line[left], doc[right], line[right]], axis=1), axis=0) if len(left) else np.zeros((0, 4), np.int64)
         # Equal groups are one list; its number is a hash of its members.
