@@ -71,13 +71,16 @@ def base_figures(documents: DataFrame) -> DataFrame:
     )
 
 
-def class_counts(text: Column) -> Column:
-    # What is left without a class is shorter by the class; counting matches would list every character.
-    counts = [(F.length(text) - F.length(F.regexp_replace(text, f"{c}+", ""))).cast("long") for c in CLASSES]
-    rest = F.length(text).cast("long")
-    for c in counts:
-        rest = rest - c
-    return F.array(*counts, rest)
+def with_class_counts(rows: DataFrame) -> DataFrame:
+    """Adds `counts`, the characters of `text` by class. A class's count is by how much its removal shortens the text, and the
+    first class, most of any text, is taken away before the others are counted."""
+    size = lambda c: F.length(c).cast("long")
+    text, rest = F.coalesce(F.col("text"), F.lit("")), F.col("__rest")
+    rows = rows.withColumn("__rest", F.regexp_replace(text, f"{CLASSES[0]}+", ""))
+    others = [size(rest) - size(F.regexp_replace(rest, f"{c}+", "")) for c in CLASSES[1:]]
+    rows = rows.withColumn("__classes", F.array(size(text) - size(rest), *others))
+    unclassed = size(text) - F.aggregate("__classes", F.lit(0).cast("long"), lambda x, y: x + y)
+    return rows.withColumn("counts", F.concat("__classes", F.array(unclassed))).drop("__rest", "__classes")
 
 
 def _language(documents: DataFrame) -> DataFrame:
@@ -92,8 +95,7 @@ def references(documents: DataFrame, common: int = COMMON, least_share: float =
     """
     with Scratch(documents.sparkSession, "references") as scratch:
         rows = _language(documents.select("lang", "text")).withColumn("text", F.coalesce("text", F.lit("")))
-        counts = class_counts(F.col("text"))
-        classes = rows.select("language", counts.alias("c")).groupBy("language").agg(
+        classes = with_class_counts(rows).select("language", F.col("counts").alias("c")).groupBy("language").agg(
             *[F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
         )
         total = sum(F.col(f"c{i}") for i in range(len(CLASSES) + 1))
@@ -143,9 +145,8 @@ def judge(documents: DataFrame, min_words: int = MIN_WORDS, max_class: tuple[flo
     figures = base_figures(_language(documents.select("doc_id", "text", "lang")))
     joined = figures.join(reference, "language")
     text = F.coalesce(F.col("text"), F.lit(""))
-    counts = class_counts(text)
     found = F.sort_array(F.filter(F.transform(F.col("words"), lambda w: F.array_position("common", F.lower(w))), lambda i: i > 0))
-    rows = joined.withColumn("counts", counts).withColumn("found", found).withColumn("kinds", F.array_distinct("found"))
+    rows = with_class_counts(joined).withColumn("found", found).withColumn("kinds", F.array_distinct("found"))
     ends = F.transform("kinds", lambda k: F.array_position("found", k))
     rows = rows.withColumn("ends", ends)
     runs = F.transform("ends", lambda e, i: F.coalesce(F.get(F.col("ends"), i + 1), F.size("found") + F.lit(1).cast("long")) - e)
