@@ -80,13 +80,15 @@ def least_common(n, m):
 
 
 def key_count(n: np.ndarray, run: int) -> np.ndarray:
-    """How many of the rarest runs of a line of n words are keys: all but as many as any similar line shares, and one. The
-    fewest are shared with a line of the least size or, as sizes round, with one of the next two."""
-    least = -(-(SIMILAR * n) // 100)
+    """How many of the rarest runs of a line of n words are keys: all but as many as any similar line shares, and one. Nine
+    words more of the other line are four more common ones, and never fewer common runs, so the fewest are shared with one of
+    the nine least sizes."""
+    least, largest = -(-(SIMILAR * n) // 100), (100 * n) // SIMILAR
     shared = np.full(len(n), 1 << 40)
-    for m in (least, least + 1, least + 2):
+    for m in (least + i for i in range(9)):
         common = least_common(n, m)
-        shared = np.minimum(shared, common - (run - 1) * (1 + n + m - 2 * common))
+        common_runs = common - (run - 1) * (1 + n + m - 2 * common)
+        shared = np.where(m <= largest, np.minimum(shared, common_runs), shared)
     runs = n - run + 1
     return np.clip(runs - shared + 1, 0, runs)
 

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
 from conftest import odd_rows
 
-from pactlake.llm.lines import keys_of, least_common, line_figures, repeated_lines, without_lines
+from pactlake.llm.lines import SIMILAR, key_count, keys_of, least_common, line_figures, repeated_lines, without_lines
 
 
 def brute(rows):
@@ -82,3 +83,30 @@ def test_similar_lines_share_keys():
                 values = np.array(x + y, np.uint64)
                 line, key = keys_of(values, np.array([0, n, n + m]))
                 assert set(key[line == 0].tolist()) & set(key[line == 1].tolist()), (n, m)
+
+
+@pytest.mark.parametrize("n,m", [(10, 10), (10, 11), (13, 13), (13, 14), (18, 18)])
+def test_similar_lines_share_keys_in_every_arrangement(n, m):
+    common = least_common(n, m)
+    size, at = n + m - common, range(n + m - common)
+    lines = []
+    for own in combinations(at, n - common):
+        rest = [i for i in at if i not in own]
+        for others in combinations(rest, m - common):
+            lines += [[i for i in at if i not in others], [i for i in at if i not in own]]
+    assert {len(line) for line in lines[::2]} == {n} and {len(line) for line in lines[1::2]} == {m} and size <= 20
+    starts = np.concatenate([[0], np.cumsum([len(line) for line in lines])])
+    line, key = keys_of(np.array([i for words in lines for i in words], np.uint64), starts)
+    found = [set() for _ in lines]
+    for i, k in zip(line.tolist(), key.tolist(), strict=True):
+        found[i].add(k)
+    lost = [i for i in range(0, len(lines), 2) if not found[i] & found[i + 1]]
+    assert not lost, (len(lost), len(lines) // 2)
+
+
+@pytest.mark.parametrize("run", [2, 3])
+def test_key_count_is_least_over_every_partner(run):
+    for n in range(10, 400):
+        sizes = range(-(-SIMILAR * n // 100), 100 * n // SIMILAR + 1)
+        shared = min(least_common(n, m) - (run - 1) * (1 + n + m - 2 * least_common(n, m)) for m in sizes)
+        assert key_count(np.array([n]), run)[0] == min(n - run + 2 - shared, n - run + 1)
