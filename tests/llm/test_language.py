@@ -11,7 +11,7 @@ from conftest import odd_rows
 
 from pactlake.llm.language import FOLD, ORDER, PpmModel, fit, identify
 from pactlake.llm.lookup import Lookup
-from pactlake.llm.sampling import bounded_sample, held_out
+from pactlake.llm.sampling import bounded_sample, held_out, labelled_sample
 
 
 def brute_bits(samples, text):
@@ -95,3 +95,24 @@ def test_sample_is_bounded_and_stable(documents, limit, byte_limit):
     for lang in (0, 1):
         mine = [d for d in one if bool(d % 3) == bool(lang)]
         assert 0 < len(mine) <= limit and sum(len(rows[d][1]) for d in mine) <= byte_limit
+
+
+def test_long_texts_neither_end_nor_empty_a_sample(documents):
+    short = [(i, f"kort {i}", "nl", "a") for i in range(40)]
+    long = [(100 + i, "lang " * 100 + str(i), "nl", "a") for i in range(40)]
+    blank = [(200 + i, " ", "fi", "a") for i in range(40)]
+    rows = [*short, *long, *blank, (300, "vain " * 30, "fi", "a"), (301, "seul " * 1000, "fr", "a"), (302, "\u20ac" * 5000, "xx", "a")]
+    found = bounded_sample(documents(rows), "lang", 20, 400).collect()
+    texts = lambda lang: [r["text"] for r in found if r["lang"] == lang]
+    assert len(texts("nl")) == 20 and all(t.startswith("kort") for t in texts("nl"))
+    assert "vain " * 30 in texts("fi")
+    assert texts("fr") == [("seul " * 1000)[:100]] and texts("xx") == ["\u20ac" * 100]
+    assert all(sum(len(t.encode()) for t in texts(lang)) <= 400 for lang in ("nl", "fi", "fr", "xx"))
+    assert set(fit(documents([(r[0] + 1, *r[1:]) for r in rows] + [(r[0] + 2, *r[1:]) for r in rows]), 20, 400).languages) >= {"nl", "fi", "fr"}
+
+
+def test_labels_of_long_and_short_texts(documents, labels):
+    rows = [(i, "lang " * 100 if i % 50 else f"kort {i}", "en", "a") for i in range(1000)] + [(2000, "seul " * 1000, "en", "a")]
+    known = labels([(i, 1, 0, "x") for i in range(1000)] + [(2000, 1, 1, "x")] + [(3000 + i, 1, 1, "x") for i in range(1000)])
+    found = labelled_sample(documents(rows), known, "toxic", 10, 400).collect()
+    assert sorted(r["text"][:4] for r in found) == ["kort"] * 10 + ["seul"] and {r["label"] for r in found} == {0, 1}
