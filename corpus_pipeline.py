@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.llm.decontaminate import without_contaminated
-from pactlake.llm.jaccard_join import jaccard_components
+from pactlake.llm.jaccard_join import one_of_each_component
 from pactlake.llm.language import fit, identify
 from pactlake.llm.mixing import mix
 from pactlake.llm.queries import END_ID, tokenizer_path
@@ -31,11 +31,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked by similarity, the one with the least id; of rows with the same id, one."""
-    first = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select(F.col("doc_id").alias("first_id")).distinct()
-    found = docs.join(first.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    return found.dropDuplicates(["doc_id"])
+    """Of documents that are linked by similarity, the one with the least id; of rows with the same id and text, one."""
+    return one_of_each_component(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

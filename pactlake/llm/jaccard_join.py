@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlake.llm.components import components
@@ -158,9 +158,9 @@ def _unpack(table: pa.Table, named: bool = False) -> tuple[np.ndarray, ...]:
 
 # -- steps -------------------------------------------------------------------------------------------------------------
 
-_DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<i8"), ("digest", "<i8"), ("check", "<i8"),
+_DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("mark", "<i8"), ("n", "<i8"), ("digest", "<i8"), ("check", "<i8"),
                  ("key", "<i8", 2), ("need", "<i8", 2)])
-_SCREENED = "kind int, doc_id long, n long, digest long, check long, key long, need long, also long, also_need long, shared long"
+_SCREENED = "kind int, doc_id long, mark long, n long, digest long, check long, key long, need long, also long, also_need long, shared long"
 
 
 def _digests(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +185,7 @@ def _screened(documents: DataFrame, pids: int) -> DataFrame:
                 docs = np.zeros(batch.num_rows, _DOC)
                 docs["doc_id"] = batch.column(0).fill_null(0).to_numpy()
                 docs["null"] = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+                docs["mark"] = batch.column(2).to_numpy()
                 docs["n"], docs["digest"], docs["check"] = np.diff(starts), digest, check
                 docs["need"] = 1 << 60
                 order = np.argsort(index, kind="stable")
@@ -206,7 +207,7 @@ def _screened(documents: DataFrame, pids: int) -> DataFrame:
         both = lambda shared_rows, doc_rows: pa.concat_arrays([shared_rows.cast(pa.int64()), pa.array(doc_rows, pa.int64())])
         columns = {"kind": pa.array(np.repeat([0, 1], [k, d]), pa.int32())}
         columns["doc_id"] = both(nothing, pa.array(docs["doc_id"], mask=docs["null"] > 0))
-        for name, mine in (("n", "n"), ("digest", "digest"), ("check", "check")):
+        for name, mine in (("mark", "mark"), ("n", "n"), ("digest", "digest"), ("check", "check")):
             columns[name] = both(nothing, docs[mine])
         columns["key"] = both(pa.array(keys[some]), docs["key"][:, 0])
         columns["need"] = both(nothing, docs["need"][:, 0])
@@ -218,7 +219,7 @@ def _screened(documents: DataFrame, pids: int) -> DataFrame:
 
 
 def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The set of each wanted (doc_id, digest), as the bytes of its sorted hashes."""
+    """The set of each wanted (class_id, mark, digest), read from a row with that mark, as the bytes of its sorted hashes."""
 
     def gather(batches):
         for whole in batches:
@@ -228,11 +229,11 @@ def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                 right = _digests(values, starts)[0] == batch.column(2).to_numpy()
                 sets = [values[starts[i] : starts[i + 1]].tobytes() if ok else None for i, ok in enumerate(right)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.diff(starts)), pa.array(sets, pa.binary())], ["doc_id", "n", "features"]
+                    [batch.column(0), pa.array(np.diff(starts)), pa.array(sets, pa.binary())], ["class_id", "n", "features"]
                 )
 
-    rows = documents.hint("shuffle_merge").join(wanted, "doc_id").select("doc_id", "text", "digest")
-    return rows.mapInArrow(gather, "doc_id long, n long, features binary").where("features is not null").dropDuplicates(["doc_id"])
+    rows = documents.hint("shuffle_merge").join(wanted, "mark").select("class_id", "text", "digest")
+    return rows.mapInArrow(gather, "class_id long, n long, features binary").where("features is not null").dropDuplicates(["class_id"])
 
 
 def _read_sets(column) -> tuple[np.ndarray, np.ndarray]:
@@ -261,7 +262,7 @@ def _cluster_edges(sets: DataFrame, pids: int) -> DataFrame:
     def describe(batches):
         def emit(batch, index, keys, filled, most, entry, signature):
             ids = batch.column(0).take(pa.array(index))
-            return pa.RecordBatch.from_arrays([ids, pa.array(keys), pa.array(filled.astype(np.int64)), pa.array(most)], ["doc_id", "key", "filled", "most"])
+            return pa.RecordBatch.from_arrays([ids, pa.array(keys), pa.array(filled.astype(np.int64)), pa.array(most)], ["class_id", "key", "filled", "most"])
 
         return entries(batches, emit)
 
@@ -298,11 +299,11 @@ def _cluster_edges(sets: DataFrame, pids: int) -> DataFrame:
         a, b = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
         return pa.table({"a": pa.array(keys[a], pa.int64()), "b": pa.array(keys[b], pa.int64())})
 
-    features = sets.select("doc_id", "features")
+    features = sets.select("class_id", "features")
     counted = features.mapInArrow(sign, PACKED).groupBy("pid").applyInArrow(count, "key long, found binary")
-    described = features.mapInArrow(describe, "doc_id long, key long, filled long, most long")
+    described = features.mapInArrow(describe, "class_id long, key long, filled long, most long")
     listed = counted.groupBy("key").agg(F.collect_list("found").alias("found")).hint("shuffle_merge")
-    chosen = listed.join(described, "key").select("doc_id", "filled", "most", "found")
+    chosen = listed.join(described, "key").select("class_id", "filled", "most", "found")
     return chosen.mapInArrow(choose, PACKED).groupBy("pid").applyInArrow(stars, "a long, b long").distinct()
 
 
@@ -339,8 +340,8 @@ def intersections(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _verified(table: pa.Table) -> pa.Table:
     """The links of a block's sets, as edges from the least member of each connected part to its others."""
-    table = table.sort_by("doc_id")
-    ids = table["doc_id"].to_numpy()
+    table = table.sort_by("class_id")
+    ids = table["class_id"].to_numpy()
     values, starts = _read_sets(table["features"])
     n = np.diff(starts)
     common = intersections(values, starts)
@@ -361,7 +362,7 @@ def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
     """Verified links within clusters. A cluster above a block's size is cut by size of set, and each cut by hash; only
     blocks whose sizes allow a similarity of 0.8 meet, and each meeting is a group of its own."""
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    rows = sets.select("doc_id", "n").join(clusters.withColumnRenamed("node", "doc_id"), "doc_id").join(sizes, "component")
+    rows = sets.select("class_id", "n").join(clusters.withColumnRenamed("node", "class_id"), "class_id").join(sizes, "component")
     rows = rows.withColumn(
         "cut", F.when(F.col("members") <= 2 * BLOCK, F.lit(0)).otherwise(F.floor(F.log("n") / math.log(1.25)))
     )
@@ -369,7 +370,7 @@ def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
     cuts = cuts.withColumn("blocks", F.when(F.col("m") <= 2 * BLOCK, F.lit(1)).otherwise(F.ceil(F.col("in_cut") / BLOCK)))
     cuts = cuts.select("component", "cut", "blocks")
     rows = rows.join(cuts, ["component", "cut"])
-    rows = rows.select("doc_id", "component", "cut", F.pmod(F.xxhash64("doc_id"), "blocks").alias("block"))
+    rows = rows.select("class_id", "component", "cut", F.pmod(F.xxhash64("class_id"), "blocks").alias("block"))
     blocks = cuts.select("component", "cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"))
     right = blocks.select(F.col("component").alias("c"), F.col("cut").alias("cut2"), F.col("block").alias("block2"))
     near = (
@@ -387,8 +388,48 @@ def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
             F.array_distinct(F.array(F.struct("cut", "block"), F.struct(F.col("cut2").alias("cut"), F.col("block2").alias("block"))))
         ).alias("side"),
     ).select("meeting", "component", "side.cut", "side.block")
-    dealt = rows.join(meetings, ["component", "cut", "block"]).select("meeting", "doc_id")
-    return dealt.join(sets.hint("shuffle_merge"), "doc_id").select("meeting", "doc_id", "features").groupBy("meeting").applyInArrow(_verified, "a long, b long")
+    dealt = rows.join(meetings, ["component", "cut", "block"]).select("meeting", "class_id")
+    return dealt.join(sets.hint("shuffle_merge"), "class_id").select("meeting", "class_id", "features").groupBy("meeting").applyInArrow(_verified, "a long, b long")
+
+
+def _mark() -> Column:
+    """A hash of id and text, by which rows are told apart whose id is null or not theirs alone."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
+def _grouped(documents: DataFrame, scratch: Scratch) -> DataFrame:
+    """A row for each document: doc_id, mark, n (size of its set), group (a number that linked documents share; of no use
+    where n is 0) and component_id (the least doc_id of the group)."""
+    spark = documents.sparkSession
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _mark().alias("mark"))
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    pids = max(math.ceil(size / SCREEN_BYTES), spark.sparkContext.defaultParallelism)
+    screened = scratch.table(_screened(documents, pids))
+    members = screened.where("kind = 1")
+    shared = screened.where("kind = 0").groupBy("key").agg(F.sum("shared").alias("have"))
+    classes = members.groupBy("digest", "check", "n").agg(
+        F.min("doc_id").alias("doc_id"),
+        F.min("mark").alias("mark"),
+        *[F.first(c).alias(c) for c in ("key", "need", "also", "also_need")],
+    )
+    # Stored, for the numbers are given anew whenever they are computed.
+    classes = scratch.table(classes.withColumn("class_id", F.monotonically_increasing_id()))
+    entries = F.inline(F.array(F.struct("key", "need"), F.struct(F.col("also").alias("key"), F.col("also_need").alias("need"))))
+    signed = classes.select("class_id", "mark", "digest", entries).where(f"need < {1 << 60}")
+    wanted = signed.join(shared, "key", "left").where("coalesce(have, 0) >= need").select("class_id", "mark", "digest").distinct()
+    sets = scratch.table(_sets(documents, scratch.table(wanted)))
+    features = sets.agg(F.sum("n")).first()[0] or 0
+    pids = max(math.ceil(features / CLUSTER_FEATURES), spark.sparkContext.defaultParallelism)
+    clusters = scratch.table(components(_cluster_edges(sets, pids), scratch))
+    linked = components(_links(sets, clusters), scratch).withColumnRenamed("node", "class_id")
+    named = classes.select("digest", "check", "n", "class_id", "doc_id").join(linked, "class_id", "left")
+    named = named.withColumn("group", F.coalesce("component", "class_id"))
+    named = scratch.table(named.select("digest", "check", "n", "group", F.col("doc_id").alias("least")))
+    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = named.drop("least").join(least, "group")
+    out = members.select("doc_id", "mark", "digest", "check", "n").join(named, ["digest", "check", "n"], "left")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "mark", "n", "group", component.alias("component_id"))
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
@@ -396,36 +437,21 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
 
     Documents are linked when the Jaccard similarity of their sets of five-word shingles is at least 0.8; a text of fewer
     words is one shingle, and a text without words (or a null) has none and no link. Repeated rows are returned as often
-    as given. A null doc_id keeps its row, takes part as a copy of equal sets only, and has a null component unless a
-    document with an id has the same set. Other columns are not read. An empty table gives an empty result.
+    as given, and different texts under one id are documents of their own. A null doc_id keeps its row and is linked like
+    others; its component is null if no document in it has an id. Other columns are not read. An empty table gives an
+    empty result.
     """
-    spark = documents.sparkSession
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    pids = max(math.ceil(size / SCREEN_BYTES), spark.sparkContext.defaultParallelism)
-    with Scratch(spark, "jaccard") as scratch:
-        screened = scratch.table(_screened(documents, pids))
-        members = screened.where("kind = 1")
-        shared = screened.where("kind = 0").groupBy("key").agg(F.sum("shared").alias("have"))
-        classes = members.groupBy("digest", "check", "n").agg(
-            F.min("doc_id").alias("doc_id"),
-            *[F.first(c).alias(c) for c in ("key", "need", "also", "also_need")],
-        )
-        signed = classes.select("doc_id", "digest", F.inline(F.array(F.struct("key", "need"), F.struct(F.col("also").alias("key"), F.col("also_need").alias("need")))))
-        signed = signed.where(f"need < {1 << 60} and doc_id is not null")
-        wanted = signed.join(shared, "key", "left").where("coalesce(have, 0) >= need").select("doc_id", "digest").distinct()
-        sets = scratch.table(_sets(documents, scratch.table(wanted)))
-        features = sets.agg(F.sum("n")).first()[0] or 0
-        pids = max(math.ceil(features / CLUSTER_FEATURES), spark.sparkContext.defaultParallelism)
-        clusters = scratch.table(components(_cluster_edges(sets, pids), scratch))
-        linked = components(_links(sets, clusters), scratch).withColumnRenamed("node", "class_id")
-        class_ids = classes.select("digest", "check", "n", F.col("doc_id").alias("class_id"))
-        named = class_ids.join(linked, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
-        out = members.join(named.select("digest", "check", "n", "component"), ["digest", "check", "n"], "left")
-        return scratch.result(
-            out.select(
-                "doc_id",
-                F.col("n").alias("n_shingles"),
-                F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-            )
-        )
+    with Scratch(documents.sparkSession, "jaccard") as scratch:
+        return scratch.result(_grouped(documents, scratch).select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
+
+
+def one_of_each_component(documents: DataFrame) -> DataFrame:
+    """Of documents that are linked by similarity, the one with the least id (one without an id only if none has any); of rows
+    with the same id and text, one. A text without words is linked to none and stays. All columns are returned."""
+    with Scratch(documents.sparkSession, "components") as scratch:
+        rows = _grouped(documents, scratch)
+        first = rows.where("n > 0").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
+        kept = scratch.result(first.select(F.col("first.mark").alias("__kept")).union(rows.where("n = 0").select("mark")).distinct())
+    marked = documents.withColumn("__mark", _mark())
+    found = marked.join(kept.hint("shuffle_merge"), F.col("__mark") == F.col("__kept"), "left_semi")
+    return found.dropDuplicates(["__mark", "doc_id"]).drop("__mark")

@@ -10,7 +10,7 @@ from conftest import odd_rows
 from pactlake.llm import jaccard_join
 from pactlake.llm.components import components
 from pactlake.llm.hashing import shingle_sets
-from pactlake.llm.jaccard_join import intersections, jaccard_components, signatures
+from pactlake.llm.jaccard_join import intersections, jaccard_components, one_of_each_component, signatures
 from pactlake.llm.scratch import Scratch
 
 
@@ -116,3 +116,22 @@ def test_components(spark):
     with Scratch(spark, "test") as scratch:
         found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), scratch).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), 199: 199, 200: 199}
+
+
+def test_rows_without_an_id_of_their_own(documents):
+    """Null ids and different texts under one id are documents of their own."""
+    text = lambda name, changed=(): " ".join(f"{name}{'x' if i in changed else ''}{i}" for i in range(80))
+    rows = [
+        (None, text("a")), (None, text("b")), (None, text("b", (79,))), (None, text("c")), (None, text("c")), (7, text("c", (0,))),
+        (1, text("d")), (1, text("e")), (1, text("e")), (2, text("e", (79,))), (3, text("f")), (3, text("f", (0,))), (4, ""), (4, " "), (None, ""),
+    ]
+    table = documents([(*r, "en", "a") for r in rows])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    found = sorted(((r["doc_id"], r["component_id"]) for r in jaccard_components(table).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or 0))
+    assert found == [(1, 1)] * 3 + [(2, 1), (3, 3), (3, 3), (4, 4), (4, 4), (7, 7)] + [(None, None)] * 4 + [(None, 7)] * 2
+    kept = one_of_each_component(table.repartition(3))
+    assert kept.columns == table.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=key)
+    b, f = ([k for k in kept if k[1] in (text(name), text(name, (at,)))] for name, at in (("b", 79), ("f", 0)))
+    assert len(b) == 1 and b[0][0] is None and len(f) == 1 and f[0][0] == 3
+    assert [k for k in kept if k not in b + f] == sorted([(None, text("a")), (7, text("c", (0,))), (1, text("d")), (1, text("e")), (4, ""), (4, " "), (None, "")], key=key)
