@@ -31,8 +31,8 @@ def tombstones(latest_rows: DataFrame, at: Column) -> DataFrame:
 
 
 def latest(log: DataFrame) -> DataFrame:
-    """H1, H4: the current deployment of each product that has not been deleted."""
-    return latest_per_key(log, ["product"], ["deployed_at", "sequence"]).where(~F.col("deleted"))
+    """H1, H4: the current deployment of each product that has not been deleted; a row that does not say so has not."""
+    return latest_per_key(log, ["product"], ["deployed_at", "sequence"]).where(~F.coalesce("deleted", F.lit(False)))
 
 
 def get(log: DataFrame, product: str) -> DataFrame:
@@ -75,4 +75,4 @@ def redeploy_gate(requests: DataFrame, latest_rows: DataFrame) -> DataFrame:
     """
     current = latest_rows.select("product", F.col("version").alias("deployed_version"))
     same = F.coalesce(F.col("version") == F.col("deployed_version"), F.lit(False))
-    return skew_join(requests, current, ["product"], "left").withColumn("deploy", ~same | F.col("force"))
+    return skew_join(requests, current, ["product"], "left").withColumn("deploy", ~same | F.coalesce("force", F.lit(False)))

@@ -99,21 +99,22 @@ def availability(
     Every group of `df` is reported, and every one that `groups` lists, a silent one with no fresh hour. What arrived
     before `start` counts as long as it is fresh.
 
-    Rows are first reduced to the newest one per group and hour, all earlier ones to the first hour. Between one
-    such arrival and the next the data only ages, so the hours it keeps fresh can be counted without laying out
-    every hour: an arrival at t looked at from the hour h is fresh at the ends of the first
-    floor((t + bound - h) / 1 h) hours, until the hour of the next arrival. The window sees at most `hours` rows per group.
+    Hours are counted from `start`, whatever minute that is. Rows are first reduced to the newest one per group and hour,
+    all earlier ones to the first hour. Between one such arrival and the next the data only ages, so the hours it keeps
+    fresh can be counted without laying out every hour: what arrived s after `start` is fresh, from hour h on, at the
+    ends of the first floor((s + bound) / 1 h) - h hours, until the hour of the next arrival. The window sees at most
+    `hours` rows per group.
     """
     first = timestamp_literal(start)
     end = first + F.make_dt_interval(hours=F.lit(hours))
-    hour = F.greatest(F.date_trunc("HOUR", at).cast("timestamp_ntz"), first)
+    since = lambda c: F.timestamp_diff("MICROSECOND", first, c)
+    hour = F.floor(F.greatest(since(F.col(at)), F.lit(0)) / F.lit(MICROS_PER_HOUR))
     arrivals = df.groupBy(group, F.when(F.col(at) < end, hour).alias("hour")).agg(F.max(at).alias("newest"))
     following = F.lead("hour").over(Window.partitionBy(group).orderBy(F.col("hour").asc_nulls_first()))
-    age = F.timestamp_diff("MICROSECOND", F.col("hour"), F.col("newest"))
-    reach = F.floor((age + F.lit(round(freshness_hours * MICROS_PER_HOUR))) / F.lit(MICROS_PER_HOUR))
-    until = F.timestamp_diff("HOUR", F.col("hour"), F.coalesce(following, end))
+    reach = F.floor((since(F.col("newest")) + F.lit(round(freshness_hours * MICROS_PER_HOUR))) / F.lit(MICROS_PER_HOUR))
+    until = F.coalesce(following, F.lit(hours))
     # A row without an hour only says that the group is there.
-    fresh = F.when(F.col("hour").isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(reach, until)))
+    fresh = F.when(F.col("hour").isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(reach, until) - F.col("hour")))
     counted = arrivals.select(group, fresh.alias("fresh"))
     if groups is not None:
         counted = counted.union(groups.select(group, F.lit(0).alias("fresh")))

@@ -94,19 +94,24 @@ def live_drift(spark: SparkSession, product: Product, tables: list[Table]) -> Da
 
 
 def validate(spark: SparkSession, product: Product, as_of: str) -> DataFrame:
-    """The verdict over the rules of all tables of a deployed product."""
-    suites = [
-        run_suite(spark.table(product.fqn(t.name)), t, product.name, as_of) for t in product.tables if t.rules
-    ]
-    if not suites:
+    """The verdict over a deployed product: the rules of all its tables, and what its service levels promise of them.
+    A promise counts as one more rule of its table."""
+    if not any(t.rules for t in product.tables):
         raise ValueError(f"{product.name} declares no rules")
-    return verdict(reduce(DataFrame.unionByName, suites))
+    tables = deployed(spark, product)
+    suites = [run_suite(tables[t.name], t, product.name, as_of) for t in product.tables if t.rules]
+    tiers = F.create_map(*[F.lit(x) for t in product.tables for x in (t.name, t.tier)])
+    promises = service_levels(tables, product, as_of).select(
+        "product", "table", tiers[F.col("table")].alias("tier"), F.col("promise").alias("rule_type"), F.lit("").alias("column"),
+        F.lit(1).cast("long").alias("evaluated"), F.when(F.col("met"), 0).otherwise(1).cast("long").alias("failed"), F.col("met").alias("passed"),
+    )
+    return verdict(reduce(DataFrame.unionByName, [*suites, promises]))
 
 
 def service_levels(tables: dict[str, DataFrame], product: Product, as_of: str, hours: int = 24) -> DataFrame:
     """what the contract promises of its tables, measured at `as_of`: one row per table and promise with
     `promise` (freshness, row_count, availability), `measured` (minutes of lag, rows, percent of the last `hours` hours) and
-    `met`. A product that is not enabled promises nothing.
+    `met`. What came after `as_of` makes nothing fresh. A product that is not enabled promises nothing.
 
     `tables` maps names to rows, of a deployed product `deployed(spark, product)`. A table's time is the column that it is
     partitioned by in time, or else its first timestamp; without one only its rows are counted.
@@ -118,7 +123,8 @@ def service_levels(tables: dict[str, DataFrame], product: Product, as_of: str, h
         )
     ]
     if timed:
-        lag = freshness_lag(timed, as_of, product.freshness_hours)
+        until = {name: (df.where(F.col(at) <= timestamp_literal(as_of)), at) for name, (df, at) in timed.items()}
+        lag = freshness_lag(until, as_of, product.freshness_hours)
         parts.append(lag.select("table", F.lit("freshness"), F.col("lag_minutes").cast("double"), ~F.col("breached")))
     start = str(datetime.fromisoformat(as_of) - timedelta(hours=hours))
     for name, (df, at) in timed.items():

@@ -79,7 +79,8 @@ def availability_sql(source: str, group: str, at: str, start: str, hours: str, b
 WITH spine AS (
   SELECT {group}, {start} + to_hours(CAST(i AS INTEGER)) AS h
   FROM (SELECT DISTINCT {group} FROM {source}), (SELECT unnest(range({hours})) AS i)),
-a AS (SELECT {group}, greatest(date_trunc('hour', {at}), {start}) AS h, max({at}) AS newest FROM {source} GROUP BY 1, 2),
+a AS (SELECT {group}, {start} + to_hours(CAST(greatest(floor((epoch({at}) - epoch({start})) / 3600), 0) AS INTEGER)) AS h,
+        max({at}) AS newest FROM {source} GROUP BY 1, 2),
 j AS (SELECT {group}, spine.h, last_value(newest IGNORE NULLS) OVER (PARTITION BY {group} ORDER BY spine.h
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen FROM spine LEFT JOIN a USING ({group}, h)),
 f AS (SELECT {group}, coalesce(epoch(h + INTERVAL 1 HOUR - seen) <= {bound} * 3600, false) AS fresh FROM j)
@@ -101,6 +102,12 @@ def sla_availability_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(availability_sql("events", "event_type", "ts", "TIMESTAMP '2024-01-02 12:30:20'", "500", 1, EVENTS_PCT))
+def sla_availability_half_past(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the same over hours that begin at half past and twenty seconds."""
+    return availability(load(spark, sf_dir, "events"), "event_type", "ts", "2024-01-02 12:30:20", 500, 1, EVENTS_PCT)
+
+
 @query(availability_sql(
     "orders", "o_orderstatus", "o_orderdate", "(SELECT date_trunc('day', min(o_orderdate)) FROM orders)",
     "(SELECT 24 * (date_diff('day', min(o_orderdate), max(o_orderdate)) + 1) FROM orders)", 4, 15.0))
@@ -143,22 +150,26 @@ def quality_trend_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trend(results)
 
 
+#: A moment inside the data, not on the hour.
+MOMENT = "2000-07-31 12:30:00"
+
+
 @query(f"""
 WITH o AS (SELECT * FROM orders), j AS (
   SELECT epoch(h + INTERVAL 1 HOUR - (SELECT max(o_orderdate) FROM o WHERE o_orderdate < h + INTERVAL 1 HOUR)) <= 24 * 3600 AS fresh
-  FROM (SELECT TIMESTAMP '2000-07-01' + to_hours(CAST(i AS INTEGER)) AS h FROM range(720) x(i)))
+  FROM (SELECT TIMESTAMP '{MOMENT}' - INTERVAL 720 HOUR + to_hours(CAST(i AS INTEGER)) AS h FROM range(720) x(i)))
 SELECT 'retail_customers' AS product, 'raw_customers' AS "table", 'row_count' AS promise, CAST(count(*) AS DOUBLE) AS measured,
        count(*) >= 100 AS met FROM customer
 UNION ALL SELECT 'retail_customers', 'raw_orders', 'row_count', CAST(count(*) AS DOUBLE), count(*) >= 100 FROM o
 UNION ALL SELECT 'retail_customers', 'raw_orders', 'freshness',
-       CAST(trunc((epoch_us(TIMESTAMP '2000-07-31') - epoch_us(max(o_orderdate))) / 60e6) AS DOUBLE),
-       max(o_orderdate) >= TIMESTAMP '2000-07-31' - INTERVAL 24 HOUR FROM o
+       CAST(trunc((epoch_us(TIMESTAMP '{MOMENT}') - epoch_us(max(o_orderdate))) / 60e6) AS DOUBLE),
+       max(o_orderdate) >= TIMESTAMP '{MOMENT}' - INTERVAL 24 HOUR FROM o WHERE o_orderdate <= TIMESTAMP '{MOMENT}'
 UNION ALL SELECT 'retail_customers', 'raw_orders', 'availability', round(100.0 * count(*) FILTER (fresh) / 720, 4),
        round(100.0 * count(*) FILTER (fresh) / 720, 4) >= 99.9 FROM j
 """)
 def sla_contract_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """the promises of a contract, with its own bounds, over the last thirty days before a moment."""
+    """the promises of a contract, with its own bounds, over the last thirty days before a moment in the past."""
     from pactlake.queries.medallion import raw_customers, raw_orders
 
     tables = {"raw_customers": raw_customers(spark, sf_dir), "raw_orders": raw_orders(spark, sf_dir)}
-    return service_levels(tables, contract("retail_customers"), "2000-07-31 00:00:00", hours=720)
+    return service_levels(tables, contract("retail_customers"), MOMENT, hours=720)

@@ -26,13 +26,18 @@ def with_column(document, **column):
     return document
 
 
-def test_minimal_contract_and_derived_names(product):
-    assert product.namespace == "weather_stations"
-    assert product.bucket() == "weather-stations"
-    assert product.fqn("readings") == "weather_stations.readings"
-    assert product.location("/lake/", "readings") == "/lake/weather_stations/silver/readings"
-    assert product.availability_pct == 99.9 and product.enabled
-    assert product.tables[0].required_columns == ["id"]
+def test_derived_names(product):
+    assert product.namespace == "site_events"
+    assert product.bucket() == "site-events"
+    assert product.fqn("days") == "site_events.days"
+    assert product.location("/lake/", "days") == "/lake/site_events/silver/days"
+    assert product.availability_pct == 99.0 and product.enabled
+    assert product.tables[0].required_columns == ["event_id", "ts", "user_id", "event_type"]
+
+
+def test_defaults(document):
+    del document["sla"]["availability_pct"]
+    assert parse_product(document).availability_pct == 99.9
 
 
 @pytest.mark.parametrize("name", ["Weather", "7days", "sky watch", "wetter.heute", "größe", "rain\n", "_rain", ""])
@@ -66,9 +71,9 @@ def test_not_a_mapping():
 
 def test_duplicate_tables_and_columns(document):
     document["tables"].append(dict(document["tables"][0]))
-    with_column(document, name="id", type="string")
+    with_column(document, name="ts", type="string")
     text = problems(document)
-    assert "duplicate table 'readings'" in text and "duplicate column 'id'" in text
+    assert "duplicate table 'raw_events'" in text and "duplicate column 'ts'" in text
 
 
 def test_no_tables_or_columns(document):
@@ -87,7 +92,7 @@ def test_decimal_scale_zero_is_kept(document):
     assert parse_product(column).tables[0].columns[-1].scale == 0
 
 
-@pytest.mark.parametrize("column", [{"name": "bad-name", "type": "string"}, {"name": "x", "type": "varchar"}])
+@pytest.mark.parametrize("column", [{"name": "3rd place", "type": "date"}, {"name": "size", "type": "int128"}, {"type": "long"}])
 def test_bad_columns(document, column):
     problems(with_column(document, **column))
 
@@ -99,12 +104,12 @@ def test_struct_needs_fields(document):
 @pytest.mark.parametrize(
     "rule, kind, columns, params",
     [
-        ({"not_null": ["id", "value"]}, "not_null", ("id", "value"), {}),
-        ({"unique": ["id"]}, "unique", ("id",), {}),
-        ({"unique": "id"}, "unique", ("id",), {}),
+        ({"not_null": ["ts", "value"]}, "not_null", ("ts", "value"), {}),
+        ({"unique": ["user_id"]}, "unique", ("user_id",), {}),
+        ({"unique": "user_id"}, "unique", ("user_id",), {}),
         ({"rule_type": "min_value", "columns": ["value"], "params": {"min": 0}}, "min_value", ("value",), {"min": 0}),
         ({"max_value": {"columns": ["value"], "params": {"max": 1}}}, "max_value", ("value",), {"max": 1}),
-        ({"accepted_values": {"columns": ["id"], "values": ["a"]}}, "accepted_values", ("id",), {"values": ["a"]}),
+        ({"accepted_values": {"columns": ["props"], "values": ["a"]}}, "accepted_values", ("props",), {"values": ["a"]}),
         ({"row_count_between": [1, 5]}, "row_count_between", (), {"min": 1, "max": 5}),
         ({"row_count_between": {"min": 1}}, "row_count_between", (), {"min": 1}),
     ],
@@ -115,17 +120,17 @@ def test_rule_forms(document, rule, kind, columns, params):
 
 
 def test_freshness_names_its_column(document):
-    rule = rule_of(document, {"freshness_hours": {"column": "at", "hours": 24}})
-    assert rule.columns == ("at",) and rule.params["hours"] == 24
+    rule = rule_of(document, {"freshness_hours": {"column": "ts", "hours": 24}})
+    assert rule.columns == ("ts",) and rule.params["hours"] == 24
 
 
 @pytest.mark.parametrize(
     "rule, text",
     [
-        ({"no_such_rule": ["id"]}, "unknown rule"),
+        ({"no_such_rule": ["ts"]}, "unknown rule"),
         ({"not_null": ["nope"]}, "unknown column"),
-        ({"regex": ["id"]}, "needs 'pattern'"),
-        ({"accepted_values": ["id"]}, "needs 'values'"),
+        ({"regex": ["props"]}, "needs 'pattern'"),
+        ({"accepted_values": ["props"]}, "needs 'values'"),
         ({"min_value": {"columns": ["value"]}}, "needs 'min'"),
         ({"row_count_between": {}}, "needs 'min' or 'max'"),
         ({"freshness_hours": 24}, "needs a column"),
@@ -139,11 +144,11 @@ def test_bad_rules(document, rule, text):
 @pytest.mark.parametrize(
     "spec, text",
     [
-        ({"column": "id", "transform": "bucket"}, "num_buckets"),
-        ({"column": "id", "transform": "bucket", "num_buckets": 0}, "num_buckets"),
-        ({"column": "id", "transform": "truncate"}, "width"),
+        ({"column": "user_id", "transform": "bucket"}, "num_buckets"),
+        ({"column": "user_id", "transform": "bucket", "num_buckets": 0}, "num_buckets"),
+        ({"column": "user_id", "transform": "truncate"}, "width"),
         ({"column": "nope"}, "unknown column"),
-        ({"column": "id", "transform": "week"}, "unknown transform"),
+        ({"column": "user_id", "transform": "week"}, "unknown transform"),
     ],
 )
 def test_bad_partitions(document, spec, text):
@@ -191,3 +196,7 @@ def test_tables_follow_their_inputs(document):
     assert [t.name for t in parse_product(document).in_tier_order()] == ["c", "b", "a"]
     document["tables"][2]["inputs"] = ["a"]
     assert "circle" in problems(document)
+
+
+def test_later_tiers_come_later(product):
+    assert [(t.name, t.tier, list(t.inputs)) for t in product.in_tier_order()] == [("raw_events", "bronze", []), ("days", "silver", ["raw_events"])]

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan
+from plans import plan
 from pyspark.sql import functions as F
 
 from pactlake.contract import load_product

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import plan
+from plans import plan
 from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Partition, Table

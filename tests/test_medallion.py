@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import plan
+from plans import plan
 from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Partition, Rule, Table, parse_product

@@ -4,7 +4,7 @@ import math
 import re
 
 import pytest
-from conftest import plan
+from plans import plan
 from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Rule, Table

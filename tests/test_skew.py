@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import plan
+from plans import plan
 from pyspark.sql import functions as F
 
 from pactlake.functions.skew import heaviest, latest_per_key, skew_join, spread

@@ -5,6 +5,8 @@ import math
 import os
 import random
 
+import pytest
+
 from pactlake.contract import parse_product
 from pactlake.operators.sla import (
     availability, expire_partitions, freshness_lag, quality_trend, row_count_bounds, unexpired,
@@ -43,11 +45,11 @@ def test_row_count_bounds(spark):
     assert {r.table: r.passed for r in row_count_bounds(tables, None, 4).collect()} == {"a": True, "b": False}
 
 
-def test_availability_equals_brute_force(spark):
+@pytest.mark.parametrize("start", [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 30), dt.datetime(2024, 1, 1, 5, 7, 11)])
+def test_availability_equals_brute_force(spark, start):
     rng = random.Random(3)
-    start = dt.datetime(2024, 1, 1)
     moments = [start + dt.timedelta(minutes=rng.randrange(0, 60 * 48)) for _ in range(14)]
-    df = stamps(spark, *[str(m) for m in moments], group="x").unionByName(stamps(spark, "2024-01-03 12:00:00", group="late"))
+    df = stamps(spark, *[str(m) for m in moments], group="x").unionByName(stamps(spark, "2024-01-04 12:00:00", group="late"))
     for bound in (1, 3):
         got = availability(df, "k", "at", str(start), 48, bound, 50.0).where("k = 'x'").first()
         fresh = 0
@@ -61,6 +63,11 @@ def test_availability_equals_brute_force(spark):
     assert (late.hours, late.fresh_hours, late.met) == (48, 0, True)
 
 
+def test_availability_from_half_past(spark):
+    got = availability(stamps(spark, "2024-01-01 13:05:00"), "k", "at", "2024-01-01 12:30:00", 2, 2, 50.0).first()
+    assert (got.fresh_hours, got.availability_pct, got.met) == (2, 100.0, True)
+
+
 def test_availability_counts_what_arrived_before_and_silent_groups(spark):
     df = stamps(spark, "2023-12-31 23:55:00").unionByName(stamps(spark, "2024-01-05", group="later"))
     known = spark.createDataFrame([("never",), ("g",)], "k string")
@@ -79,15 +86,15 @@ def test_trend(spark):
 def test_expired_partitions_are_dropped_by_name(spark, tmp_path, document):
     document["name"] = "expiring"
     document["sla"]["freshness_hours"] = 24
-    document["tables"][0].update(tier="bronze", partition_by=[{"column": "at", "transform": "day"}])
+    document["tables"][0].update(partition_by=[{"column": "ts", "transform": "day"}])
     product = parse_product(document)
     days = [f"2024-01-{d:02d} 12:00:00" for d in range(1, 11)]
-    df = stamps(spark, *days).selectExpr("CAST(at AS string) id", "1.0D value", "at")
-    write_table(df, product, "readings", str(tmp_path))
-    folder = f"{product.location(str(tmp_path), 'readings')}/__p_at_day=2024-01-01"
+    df = stamps(spark, *days).selectExpr("7 AS event_id", "7 AS user_id", "'view' AS event_type", "at AS ts")
+    write_table(df, product, "raw_events", str(tmp_path))
+    folder = f"{product.location(str(tmp_path), 'raw_events')}/__p_ts_day=2024-01-01"
     # Seven days before the 10th at noon: the 3rd still has rows inside the bound.
-    assert expire_partitions(spark, product, "readings", "2024-01-10 12:00:00") == 2
-    assert spark.table("expiring.readings").count() == 8 and os.path.isdir(folder)
-    assert expire_partitions(spark, product, "readings", "2024-01-12 12:00:00", delete_files=True) == 2
+    assert expire_partitions(spark, product, "raw_events", "2024-01-10 12:00:00") == 2
+    assert spark.table("expiring.raw_events").count() == 8 and os.path.isdir(folder)
+    assert expire_partitions(spark, product, "raw_events", "2024-01-12 12:00:00", delete_files=True) == 2
     assert not os.path.exists(folder.replace("01-01", "01-03"))
     assert os.path.isdir(folder.replace("01-01", "01-05"))

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan
+from plans import plan
 from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Rule, Table, parse_product
@@ -38,35 +38,34 @@ def test_filter_and_columns_reach_the_scan(spark, tmp_path):
 
 def partitioned(document, name):
     document["name"] = name
-    document["tables"][0]["partition_by"] = [{"column": "at", "transform": "month"}]
-    document["tables"][0]["schema"][2]["pii"] = True
+    document["tables"][0]["partition_by"] = [{"column": "ts", "transform": "month"}]
     return parse_product(document)
 
 
 def some_rows(spark, n):
     return spark.range(n).selectExpr(
-        "CAST(id AS string) id", "1.0D value", "TIMESTAMP_NTZ '2024-01-31 12:00:00' + make_dt_interval(id) at"
+        "id AS event_id", "7 AS user_id", "'view' AS event_type", "1.0D AS value", "TIMESTAMP_NTZ '2024-01-31 12:00:00' + make_dt_interval(id) AS ts"
     )
 
 
 def test_table_lifecycle(spark, tmp_path, document):
     product = partitioned(document, "lifecycle")
     root = str(tmp_path)
-    assert write_table(some_rows(spark, 3), product, "readings", root) == 3
+    assert write_table(some_rows(spark, 3), product, "raw_events", root) == 3
     ensure_namespace(spark, product)
-    create_table(spark, product, product.table("readings"), root)  # both leave what is there
-    assert write_table(some_rows(spark, 1), product, "readings", root) == 1
-    assert read_table(spark, product, "readings").count() == 4
+    create_table(spark, product, product.table("raw_events"), root)  # both leave what is there
+    assert write_table(some_rows(spark, 1), product, "raw_events", root) == 1
+    assert read_table(spark, product, "raw_events").count() == 4
 
-    properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES lifecycle.readings").collect()}
-    assert properties["tier"] == "silver" and properties["product_owner"] == "meteorology" and properties["pii_columns"] == "id"
+    properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES lifecycle.raw_events").collect()}
+    assert properties["tier"] == "bronze" and properties["product_owner"] == "web" and properties["pii_columns"] == "user_id"
     shown = {r.info_name: r.info_value for r in spark.sql("DESCRIBE NAMESPACE EXTENDED lifecycle").collect()}
-    assert "sky@weather.example" in shown["Properties"]
+    assert "web@example.com" in shown["Properties"]
 
     assert drop_product(spark, product) == 1
     assert drop_product(spark, product) == 0
-    create_table(spark, product, product.table("readings"), root)
-    assert read_table(spark, product, "readings").count() == 4
+    create_table(spark, product, product.table("raw_events"), root)
+    assert read_table(spark, product, "raw_events").count() == 4
     drop_product(spark, product)
 
 
@@ -76,28 +75,28 @@ def test_overwrite_is_by_partition_and_leaves_the_session_alone(spark, tmp_path,
     before = spark.conf.get(mode)
     spark.conf.set(mode, "static")
     try:
-        write_table(some_rows(spark, 4), product, "readings", str(tmp_path))  # 1 in January, 3 in February
-        write_table(some_rows(spark, 1), product, "readings", str(tmp_path), mode="overwrite")
-        write_table(some_rows(spark, 1), product, "readings", str(tmp_path), mode="overwrite")
+        write_table(some_rows(spark, 4), product, "raw_events", str(tmp_path))  # 1 in January, 3 in February
+        write_table(some_rows(spark, 1), product, "raw_events", str(tmp_path), mode="overwrite")
+        write_table(some_rows(spark, 1), product, "raw_events", str(tmp_path), mode="overwrite")
         assert spark.conf.get(mode) == "static"
     finally:
         spark.conf.set(mode, before)
-    assert read_table(spark, product, "readings").count() == 4
+    assert read_table(spark, product, "raw_events").count() == 4
 
 
 def test_bad_values_become_null_and_are_stored(spark, tmp_path, document):
     product = partitioned(document, "bad_values")
-    raw = spark.createDataFrame([("1", "x", "2024-01-01")], "id string, value string, at string")
-    write_table(raw, product, "readings", str(tmp_path))
-    assert read_table(spark, product, "readings").first().value is None
+    raw = spark.createDataFrame([("1", "2", "view", "x", "2024-01-01")], "event_id string, user_id string, event_type string, value string, ts string")
+    write_table(raw, product, "raw_events", str(tmp_path))
+    assert read_table(spark, product, "raw_events").first().value is None
 
 
 def test_comments_with_quotes(spark, tmp_path, document):
     document["name"] = "quoted"
     document["tables"][0]["description"] = "it's a \\ table"
     product = parse_product(document)
-    create_table(spark, product, product.table("readings"), str(tmp_path))
-    assert spark.catalog.getTable("quoted.readings").description == "it's a \\ table"
+    create_table(spark, product, product.table("raw_events"), str(tmp_path))
+    assert spark.catalog.getTable("quoted.raw_events").description == "it's a \\ table"
 
 
 def test_stored_quarantine_reads_one_side_only(spark, tmp_path):
@@ -112,20 +111,20 @@ def test_stored_quarantine_reads_one_side_only(spark, tmp_path):
 
 def test_columns_go_by_name_whatever_their_order(spark, tmp_path, document):
     product = partitioned(document, "reordered")
-    write_table(some_rows(spark, 1), product, "readings", str(tmp_path))
+    write_table(some_rows(spark, 1), product, "raw_events", str(tmp_path))
     document["tables"][0]["schema"].reverse()
     later = parse_product(document)
-    write_table(some_rows(spark, 1).withColumn("id", F.lit("7")), later, "readings", str(tmp_path))
-    assert {(r.id, r.value) for r in read_table(spark, later, "readings").collect()} == {("0", 1.0), ("7", 1.0)}
+    write_table(some_rows(spark, 1).withColumn("event_id", F.lit("7")), later, "raw_events", str(tmp_path))
+    assert {(r.event_id, r.value) for r in read_table(spark, later, "raw_events").collect()} == {(0, 1.0), (7, 1.0)}
     drop_product(spark, product)
 
 
 def test_rebuild_leaves_no_old_row(spark, tmp_path, document):
     product = partitioned(document, "rebuilt")
-    write_table(some_rows(spark, 4), product, "readings", str(tmp_path))
-    write_table(some_rows(spark, 1), product, "readings", str(tmp_path), mode="rebuild")
-    assert read_table(spark, product, "readings").count() == 1
-    assert spark.sql("SHOW PARTITIONS rebuilt.readings").count() == 1
+    write_table(some_rows(spark, 4), product, "raw_events", str(tmp_path))
+    write_table(some_rows(spark, 1), product, "raw_events", str(tmp_path), mode="rebuild")
+    assert read_table(spark, product, "raw_events").count() == 1
+    assert spark.sql("SHOW PARTITIONS rebuilt.raw_events").count() == 1
     drop_product(spark, product)
 
 
@@ -139,7 +138,7 @@ def test_clean_second_run_leaves_no_rejects(spark, tmp_path):
 
 def test_foreign_tables_keep_the_namespace(spark, tmp_path, document):
     product = partitioned(document, "shared_space")
-    write_table(some_rows(spark, 1), product, "readings", str(tmp_path))
+    write_table(some_rows(spark, 1), product, "raw_events", str(tmp_path))
     spark.sql("CREATE TABLE shared_space.other (a int) USING parquet")
     assert drop_product(spark, product) == 1 and spark.catalog.tableExists("shared_space.other")
     spark.sql("DROP TABLE shared_space.other")
@@ -162,8 +161,8 @@ def test_json_under_other_names(spark, tmp_path):
 
 def test_blank_partition_values_are_refused(spark, tmp_path, document):
     document["name"] = "blanks"
-    document["tables"][0]["partition_by"] = [{"column": "id"}]
+    document["tables"][0]["partition_by"] = [{"column": "event_type"}]
     product = parse_product(document)
     with pytest.raises(Exception, match="empty text"):
-        write_table(some_rows(spark, 1).withColumn("id", F.lit("")), product, "readings", str(tmp_path))
+        write_table(some_rows(spark, 1).withColumn("event_type", F.lit("")), product, "raw_events", str(tmp_path))
     drop_product(spark, product)
