@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import odd_rows  # noqa: F401
+from odd import odd_rows  # noqa: F401
 
 from pactlake.llm.chat import BEGIN, END, TOKEN_BYTES, format_windows, read_windows
 

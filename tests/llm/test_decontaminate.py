@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import PROSE, odd_rows
+from odd import PROSE, odd_rows
 
 from pactlake.llm.decontaminate import contamination, without_contaminated
 

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from conftest import odd_rows
+from odd import odd_rows
 
 from pactlake.llm.importance import corpus_counts, features, log_ratio, log_weights, resample
 from pactlake.llm.selection import mark_largest

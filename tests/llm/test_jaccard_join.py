@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import odd_rows
+from odd import odd_rows
 
 from pactlake.llm import jaccard_join
 from pactlake.llm.components import components

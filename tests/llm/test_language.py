@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import odd_rows
+from odd import odd_rows
 
 from pactlake.llm.language import FOLD, ORDER, PpmModel, fit, identify
 from pactlake.llm.lookup import Lookup

@@ -5,7 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from conftest import odd_rows
+from odd import odd_rows
 
 from pactlake.llm.lines import SIMILAR, key_count, keys_of, least_common, line_figures, repeated_lines, without_lines
 

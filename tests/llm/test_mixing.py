@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import odd_rows
+from odd import odd_rows
 
 from pactlake.llm.mixing import mix, plan_mix
 

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import odd_rows
+from odd import odd_rows
 from pyspark.sql import functions as F
 
 from pactlake.llm import rules

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
-from conftest import odd_rows
+from odd import odd_rows
 
 from pactlake.llm import recurrent
 from pactlake.llm.toxicity import STRIDE, WINDOW, Batch, fit, score, train
