@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACES = (9, 10, 11, 12, 13, 32)
 U64 = np.uint64
-#: An odd multiplier and its inverse modulo 2**64.
-_MULTIPLIER = 0x9E3779B97F4A7C15
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
-_STEP = 1 << 22
+#: Bytes up to which a span is hashed in numpy, eight at a time; longer ones are few and go through BLAKE2.
+_SHORT = 64
+#: Bytes of text that a step of an operator takes at a time.
+PART_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,16 +28,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.ones(size, U64)
-    if size > 1:
-        out[1:] = U64(base)
-        np.multiply.accumulate(out, out=out)
-    return out
-
-
-_UP, _DOWN = _powers(_MULTIPLIER, _STEP), _powers(_INVERSE, _STEP)
-_LETTERS = mix(np.arange(1, 257, dtype=U64))
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -51,6 +45,19 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def parts(batch: pa.RecordBatch, column: int, rows: int, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most `rows` rows and, where there is more than one row, `size` bytes of that text column.
+    What a step holds is a multiple of the bytes, so long texts come in slices of few."""
+    upto = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < batch.num_rows:
+        before = upto[begin - 1] if begin else 0
+        end = int(np.searchsorted(upto, before + size, side="right"))
+        end = min(max(end, begin + 1), begin + rows, batch.num_rows)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case; no byte of a longer UTF-8 character is one of them."""
     return _LOWER[data]
@@ -77,30 +84,26 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begins, ends, np.searchsorted(begins, offsets)
 
 
-def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; equal spans, equal hash. Spans are in order, without overlap."""
-    out = np.zeros(len(begins), U64)
-    at = 0
-    while at < len(begins):
-        low = begins[at]
-        to = int(np.searchsorted(ends, low + _STEP, side="right"))
-        if to <= at:
-            piece = data[low : ends[at]]
-            value = 0
-            for i in range(0, len(piece), _STEP):
-                part = piece[i : i + _STEP]
-                value = (value * 31 + int(np.add.reduce(_LETTERS[part] * _UP[: len(part)]))) & ((1 << 64) - 1)
-            out[at] = value
-            at += 1
-            continue
-        high = ends[to - 1]
-        part = data[low:high]
-        total = np.zeros(len(part) + 1, U64)
-        np.cumsum(_LETTERS[part] * _UP[: len(part)], out=total[1:])
-        b, e = begins[at:to] - low, ends[at:to] - low
-        out[at:to] = (total[e] - total[b]) * _DOWN[b]
-        at = to
-    return mix(out ^ (ends - begins).astype(U64))
+def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; equal spans, equal hash. Eight bytes at a time go through `mix`, one step
+    after the other, so spans of one length up to eight never share a hash and others by chance alone."""
+    sizes = ends - begins
+    out = mix(sizes.astype(U64) + U64(0x9E3779B97F4A7C15 * (seed + 1) & 0xFFFFFFFFFFFFFFFF))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    rest = np.flatnonzero((sizes > 0) & (sizes <= _SHORT))
+    at, left = begins[rest], sizes[rest]
+    while len(rest):
+        block = eight[at]
+        ragged = left < 8
+        block[ragged] &= (U64(1) << (U64(8) * left[ragged].astype(U64))) - U64(1)
+        out[rest] = mix(out[rest] ^ block)
+        more = left > 8
+        rest, at, left = rest[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(sizes > _SHORT).tolist():
+        long = hashlib.blake2b(data[begins[i] : ends[i]], digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(long, "little")
+    return out
 
 
 def shingles(hashes: np.ndarray, firsts: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactlake.llm.hashing import U64, lower, mix, span_hashes, utf8, words
+from pactlake.llm.hashing import U64, lower, mix, parts, span_hashes, utf8, words
 from pactlake.llm.sampling import labelled_sample
 from pactlake.llm.scratch import Scratch
 from pactlake.llm.selection import mark_largest
@@ -47,8 +47,8 @@ def corpus_counts(documents: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for whole in batches:
-            for begin in range(0, whole.num_rows, 2000):
-                total += np.bincount(features(whole.column(0).slice(begin, 2000), buckets)[0], minlength=buckets)
+            for batch in parts(whole, 0, 2000):
+                total += np.bincount(features(batch.column(0), buckets)[0], minlength=buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": some, "n": total[some]})
 
@@ -71,8 +71,7 @@ def log_weights(documents: DataFrame, ratio: np.ndarray) -> DataFrame:
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for begin in range(0, whole.num_rows, 2000):
-                batch = whole.slice(begin, 2000)
+            for batch in parts(whole, 1, 2000):
                 found, owner = features(batch.column(1), buckets)
                 n = np.bincount(owner, minlength=batch.num_rows)
                 weight = np.bincount(owner, weights=ratio[found], minlength=batch.num_rows)
@@ -100,9 +99,8 @@ def resample(
     texts = [r["text"] for r in good.select("text").collect()]
     raw = corpus_counts(documents, buckets)
     target = np.zeros(buckets, np.int64) if texts else raw
-    for begin in range(0, len(texts), 200):
-        part = pa.array(texts[begin : begin + 200], pa.string())
-        target += np.bincount(features(part, buckets)[0], minlength=buckets)
+    for part in parts(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), 0, 2000):
+        target += np.bincount(features(part.column(0), buckets)[0], minlength=buckets)
     if share is None:
         known = labels.groupBy("doc_id").agg(F.max(label).alias("label")).agg(F.avg("label")).first()[0]
         share = 1.0 if known is None else float(known)

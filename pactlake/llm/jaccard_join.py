@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlake.llm.components import components
-from pactlake.llm.hashing import U64, mix, shingle_sets
+from pactlake.llm.hashing import U64, mix, parts, shingle_sets
 from pactlake.llm.scratch import Scratch
 
 #: Text bytes whose screening signatures one task gathers, and features of sets whose subset signatures one does.
@@ -175,8 +175,7 @@ def _digests(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 def _screened(documents: DataFrame, pids: int) -> DataFrame:
     def sign(batches):
         for whole in batches:
-            for begin in range(0, whole.num_rows, 2000):
-                batch = whole.slice(begin, 2000)
+            for batch in parts(whole, 1, 2000):
                 values, starts = shingle_sets(batch.column(1))
                 digest, check = _digests(values, starts)
                 index, level, filled, most, entry, signature = signatures(values, starts, SCREEN_FILL)
@@ -223,8 +222,7 @@ def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def gather(batches):
         for whole in batches:
-            for begin in range(0, whole.num_rows, 2000):
-                batch = whole.slice(begin, 2000)
+            for batch in parts(whole, 1, 2000):
                 values, starts = shingle_sets(batch.column(1))
                 right = _digests(values, starts)[0] == batch.column(2).to_numpy()
                 sets = [values[starts[i] : starts[i + 1]].tobytes() if ok else None for i, ok in enumerate(right)]
@@ -249,8 +247,7 @@ _KEPT = np.dtype([("size", "<u4"), ("signature", "<u8")])
 def _cluster_edges(sets: DataFrame, pids: int) -> DataFrame:
     def entries(batches, emit):
         for whole in batches:
-            for begin in range(0, whole.num_rows, 500):
-                batch = whole.slice(begin, 500)
+            for batch in parts(whole, 1, 500, 8 << 20):
                 values, starts = _read_sets(batch.column(1))
                 index, level, filled, most, entry, signature = signatures(values, starts, CLUSTER_FILL)
                 keys = (_digests(values, starts)[0][index].view(U64) ^ mix(level.astype(U64) + U64(6))).view(np.int64)

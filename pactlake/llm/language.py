@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from pactlake.llm.hashing import utf8
+from pactlake.llm.hashing import parts, utf8
 from pactlake.llm.lookup import Lookup
 from pactlake.llm.sampling import bounded_sample, held_out
 from pactlake.llm.shipping import ship
@@ -149,8 +149,7 @@ def identify(documents: DataFrame, model: PpmModel) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for whole in batches:
-            for begin in range(0, whole.num_rows, 1000):
-                batch = whole.slice(begin, 1000)
+            for batch in parts(whole, len(names), 1000):
                 letters = batch.column(len(names) + 1).fill_null(False).to_numpy(zero_copy_only=False)
                 predicted: list[str] = ["und"] * batch.num_rows
                 score, rate = np.zeros(batch.num_rows), np.zeros(batch.num_rows)

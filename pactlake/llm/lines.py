@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactlake.llm.hashing import U64, mix, span_hashes, utf8, words
+from pactlake.llm.hashing import U64, mix, parts, span_hashes, utf8, words
 from pactlake.llm.scratch import Scratch
 
 SIMILAR = 80
@@ -117,8 +117,8 @@ def rarity(documents: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(BUCKETS, np.int64)
         for whole in batches:
-            for begin in range(0, whole.num_rows, _ROWS):
-                hashes = _split(whole.column(0).slice(begin, _ROWS))[2]
+            for batch in parts(whole, 0, _ROWS):
+                hashes = _split(batch.column(0))[2]
                 total += np.bincount((hashes % U64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": some, "n": total[some]})
@@ -141,8 +141,7 @@ def _sets(documents: DataFrame, places: np.ndarray) -> DataFrame:
 
     def digest(batches):
         for whole in batches:
-            for begin in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(begin, _ROWS)
+            for batch in parts(whole, 1, _ROWS):
                 text, number, hashes, starts = _split(batch.column(1))
                 values, starts = _in_order(hashes, starts, places)
                 sums = []
@@ -163,8 +162,7 @@ def _met(documents: DataFrame, places: np.ndarray, pids: int) -> DataFrame:
 
     def sign(batches):
         for whole in batches:
-            for begin in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(begin, _ROWS)
+            for batch in parts(whole, 1, _ROWS):
                 text, number, hashes, starts = _split(batch.column(1))
                 line, key = keys_of(*_in_order(hashes, starts, places))
                 ids = batch.column(0).fill_null(_NULL).to_numpy()

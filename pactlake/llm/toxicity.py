@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactlake.llm import recurrent
-from pactlake.llm.hashing import U64, mix, span_hashes, utf8, words
+from pactlake.llm.hashing import U64, mix, parts, span_hashes, utf8, words
 from pactlake.llm.lookup import Lookup
 from pactlake.llm.sampling import held_out, labelled_sample
 from pactlake.llm.shipping import ship
@@ -241,8 +241,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for whole in batches:
-            for begin in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(begin, _ROWS)
+            for batch in parts(whole, 2, _ROWS):
                 scores = model.scores(batch.column(2)).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
