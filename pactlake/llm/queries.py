@@ -267,3 +267,39 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = table(spark, sf_dir, "documents")
     return line_figures(documents, repeated_lines(documents))
+
+
+#: A vector without nulls and non-finite components.
+SQL_SOUND = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+#: floor(s / n) of integers, n above 0.
+SQL_FLOOR = "((s - ((s % n) + n) % n) // n)::BIGINT"
+
+
+def _sql_clusters(clusters: int = 8, rounds: int = 10, width: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Every distance of every round anew, one component a row."""
+    steps = [f"""kept AS MATERIALIZED (SELECT vec_id, embedding FROM embeddings WHERE {SQL_SOUND} AND len(embedding) = {width}
+    ), x AS MATERIALIZED (
+        SELECT vec_id, j, floor({scale} * embedding[j + 1]::DOUBLE)::BIGINT AS x FROM kept, range({width}) t(j)
+    ), first AS MATERIALIZED (
+        SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM kept QUALIFY c < {clusters}
+    ), c0 AS MATERIALIZED (SELECT c, j, x AS v FROM first JOIN x USING (vec_id))"""]
+    assign = """a{r} AS MATERIALIZED (
+        SELECT vec_id, arg_min(c, d * {k} + c) AS c, min(d)::BIGINT AS d
+        FROM (SELECT vec_id, c, sum((x - v) * (x - v)) AS d FROM x JOIN c{r} USING (j) GROUP BY ALL) GROUP BY vec_id)"""
+    for r in range(rounds):
+        steps.append(assign.format(r=r, k=clusters))
+        steps.append(f"""c{r + 1} AS MATERIALIZED (
+        SELECT c, j, coalesce({SQL_FLOOR}, v) AS v FROM c{r} LEFT JOIN (
+            SELECT c, j, sum(x) AS s, count(*) AS n FROM x JOIN a{r} USING (vec_id) GROUP BY ALL) USING (c, j))""")
+    steps.append(assign.format(r=rounds, k=clusters))
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+        sum(d) OVER ()::BIGINT AS inertia, h AS centroid_sha256
+    FROM a{rounds} a JOIN (SELECT c, sha256(string_agg(v::VARCHAR, ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY c) USING (c)"""
+
+
+@query(_sql_clusters())
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pactlake.llm.clustering import cluster, described
+
+    return described(*cluster(table(spark, sf_dir, "embeddings")))
