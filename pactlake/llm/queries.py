@@ -303,3 +303,36 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pactlake.llm.clustering import cluster, described
 
     return described(*cluster(table(spark, sf_dir, "embeddings")))
+
+
+def _sql_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Every distance of every round anew, one component a row."""
+    steps = [f"""kept AS MATERIALIZED (
+        SELECT vec_id, label, embedding, len(embedding) // {parts} AS width FROM embeddings WHERE {SQL_SOUND}
+    ), x AS MATERIALIZED (
+        SELECT vec_id, p, j, floor({scale} * embedding[p * width + j + 1]::DOUBLE)::BIGINT AS x
+        FROM (SELECT *, unnest(range(width)) AS j FROM kept), range({parts}) t(p)
+    ), first AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {entries}
+    ), c0 AS MATERIALIZED (SELECT p, e, j, x AS v FROM first JOIN x USING (vec_id))"""]
+    assign = """a{r} AS MATERIALIZED (
+        SELECT vec_id, p, arg_min(e, d * {k} + e) AS e, min(d)::BIGINT AS d
+        FROM (SELECT vec_id, p, e, sum((x - v) * (x - v)) AS d FROM x JOIN c{r} USING (p, j) GROUP BY ALL) GROUP BY vec_id, p)"""
+    for r in range(rounds):
+        steps.append(assign.format(r=r, k=entries))
+        steps.append(f"""c{r + 1} AS MATERIALIZED (
+        SELECT p, e, j, coalesce({SQL_FLOOR}, v) AS v FROM c{r} LEFT JOIN (
+            SELECT p, e, j, sum(x) AS s, count(*) AS n FROM x JOIN a{r} USING (vec_id, p) GROUP BY ALL) USING (p, e, j))""")
+    steps.append(assign.format(r=rounds, k=entries))
+    return f"""WITH {", ".join(steps)}, coded AS (
+        SELECT vec_id, string_agg(printf('%02x', e::INTEGER), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id
+    )
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+        (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, e, j)) FROM c{rounds}) AS codebooks_sha256
+    FROM coded JOIN kept USING (vec_id)"""
+
+
+@query(_sql_codes())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pactlake.llm.vector_codes import compress, described
+
+    return described(*compress(table(spark, sf_dir, "embeddings")))
