@@ -336,3 +336,16 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pactlake.llm.vector_codes import compress, described
 
     return described(*compress(table(spark, sf_dir, "embeddings")))
+
+
+#: The vocabulary that token counts are in.
+COUNTED = "piece_bpe_32k.model"
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pactlake.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNTED))

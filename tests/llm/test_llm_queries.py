@@ -25,5 +25,5 @@ def test_query_equals_sql(spark, duck, name):
     assert found == bag(columns, result.fetchall()) and found
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
