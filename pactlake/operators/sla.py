@@ -5,8 +5,8 @@ Each takes the moment of measurement as ``as_of``; nothing reads a clock.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pactlake.contract import Product
 from pactlake.functions.expressions import hours as hours_interval
 from pactlake.functions.expressions import minutes_between, timestamp_literal
+from pactlake.session import materialize
+from pactlake.sources.versions import LAYER, NULL, without_partitions
+from pactlake.sources.writers import sync_partitions, versions_of
 
 PERIOD_PATTERNS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
-DROP_BATCH = 500
 MICROS_PER_HOUR = 3_600_000_000
 
 
@@ -46,37 +48,31 @@ def unexpired(df: DataFrame, at: str, as_of: str, days: int) -> DataFrame:
 
 def expire_partitions(
     spark: SparkSession, product: Product, table: str, as_of: str, delete_files: bool = False
-) -> int:
-    """drop the day, hour, month or year partitions that lie wholly before the retention bound.
+) -> DataFrame:
+    """take out the day, hour, month or year partitions that lie wholly before the retention bound.
 
-    Works on partition names alone, no data file is read; returns the number dropped. A partition with
-    rows on both sides of the bound stays until all of them are too old. The tables are external, so the
-    files remain for the store's own expiry unless `delete_files` is set.
+    One row per outcome: `dropped`, the periods that are gone, and `straddling`, those with rows on both sides of the
+    bound, which stay until all of them are too old; each with `periods` and the `oldest` and `newest` of them. Works on
+    partition names alone, no data file is read. The next version of the table is without them, in one step. Earlier versions have
+    their files until they expire, unless `delete_files` is set.
     """
     spec = next(p for p in product.table(table).partitions if p.transform in PERIOD_PATTERNS)
-    bound = timestamp_literal(as_of) - F.make_dt_interval(days=F.lit(product.bronze_retention_days))
+    bound = F.date_format(timestamp_literal(as_of) - F.make_dt_interval(days=F.lit(product.bronze_retention_days)), PERIOD_PATTERNS[spec.transform])
     value = F.regexp_extract("partition", f"{spec.field_name}=([^/]*)", 1)
-    expired = (
-        spark.sql(f"SHOW PARTITIONS {product.fqn(table)}")
-        .where(value != "__HIVE_DEFAULT_PARTITION__")
-        .where(value < F.date_format(bound, PERIOD_PATTERNS[spec.transform]))
-        .select(value.alias("value"))
-        .distinct()
-    )
-    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {product.fqn(table)}").where("col_name = 'Location'")
-    location = detail.first().data_type
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    # Catalog metadata, not data: one short string per period, a batch of them at a time.
-    names, dropped = (row.value for row in expired.toLocalIterator()), 0
-    while batch := list(islice(names, DROP_BATCH)):
-        parts = ", ".join(f"PARTITION (`{spec.field_name}` = '{v}')" for v in batch)
-        spark.sql(f"ALTER TABLE {product.fqn(table)} DROP IF EXISTS {parts}")
-        dropped += len(batch)
-        if delete_files:
-            for value in batch:
-                files.delete(hadoop(f"{location}/{spec.field_name}={value}"), True)
-    return dropped
+    names = spark.sql(f"SHOW PARTITIONS {product.fqn(table)}").where((value != NULL) & (value <= bound))
+    names = names.select("partition", value.alias("period"), F.when(value < bound, "dropped").otherwise("straddling").alias("outcome"))
+    counted = names.groupBy("outcome").agg(F.count_distinct("period").alias("periods"), F.min("period").alias("oldest"), F.max("period").alias("newest"))
+    outcome = materialize(counted, "expired")
+    # Catalog metadata, not data: one short string per period and layer.
+    gone = [row.partition.partition("/")[2] for row in names.where("outcome = 'dropped'").select("partition").toLocalIterator()]
+    folder = versions_of(spark, product, table)
+    before = folder.commit("expire", lambda now: replace(now, layers=without_partitions(now, gone)) if gone else None)
+    if delete_files:
+        for layer in before.layers:
+            for path in gone:
+                folder.delete(f"{LAYER}={layer.name}/{path}")
+    sync_partitions(spark, product, table)
+    return outcome
 
 
 def row_count_bounds(tables: dict[str, DataFrame], low: int | None, high: int | None) -> DataFrame:

@@ -20,6 +20,7 @@ from pactlake.operators.layout import TIME_TRANSFORMS, partition_fields
 from pactlake.operators.quality import run_suite, verdict
 from pactlake.operators.schema import contract_inventory, inventory, schema_drift
 from pactlake.operators.sla import availability, freshness_lag, row_count_bounds
+from pactlake.sources.readers import read_table
 from pactlake.sources.writers import create_table, drop_product, ensure_namespace
 
 
@@ -86,7 +87,7 @@ def live_drift(spark: SparkSession, product: Product, tables: list[Table]) -> Da
     found = []
     for table in tables:
         derived = set(partition_fields(table)) - set(table.column_names)
-        live = inventory(spark, product.name, table.name, spark.table(product.fqn(table.name)).schema)
+        live = inventory(spark, product.name, table.name, read_table(spark, product, table.name).schema)
         found.append(live.where(~F.col("column").isin(list(derived))))
     none = spark.createDataFrame([], declared.schema)
     actual = reduce(DataFrame.unionByName, found, none).withColumn("nullable", F.lit(None).cast("boolean"))
@@ -137,7 +138,7 @@ def service_levels(tables: dict[str, DataFrame], product: Product, as_of: str, h
 
 
 def deployed(spark: SparkSession, product: Product) -> dict[str, DataFrame]:
-    return {t.name: spark.table(product.fqn(t.name)) for t in product.tables}
+    return {t.name: read_table(spark, product, t.name) for t in product.tables}
 
 
 def _time_column(table: Table) -> str | None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pactlake.contract import Product, Table
 from pactlake.operators.quality import BROKEN, gate, run_suite
 from pactlake.session import materialize
+from pactlake.sources.readers import read_table
 from pactlake.sources.writers import store_marked, write_results, write_table
 
 Build = Callable[[dict[str, DataFrame]], DataFrame]
@@ -71,7 +72,7 @@ def _build(
         outcome.rejected = sides.where("rejected").count()
         rows = sides.where("not rejected").drop("rejected", BROKEN)
     outcome.rows = write_table(rows, product, table.name, root, mode="rebuild")
-    tables[table.name] = spark.table(product.fqn(table.name)).select(table.column_names)
+    tables[table.name] = read_table(spark, product, table.name).select(table.column_names)
     if table.rules:
         results = materialize(run_suite(tables[table.name], table, product.name, as_of), "results")
         write_results(results, as_of[:10], f"{root}/{product.name}/_results")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,7 +114,7 @@ WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2
 """)
 def tier_rebuild_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table is rebuilt by a later version of its contract: rows have moved to other partitions or gone, and
-    the columns are declared in another order."""
+    the columns are declared in another order. A second rebuild fails in a task; it leaves the rows of the first."""
     product, root = private_copy(contract("retail_orders")), fresh_folder(spark, "lake")
     orders = load(spark, sf_dir, "orders")
     write_table(orders, product, "raw_orders", root)
@@ -121,6 +122,39 @@ def tier_rebuild_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = replace(product, tables=(replace(table, columns=table.columns[::-1]),))
     moved = orders.where("o_orderkey % 3 <> 0").withColumn("o_orderdate", F.expr("o_orderdate + INTERVAL 40 DAY"))
     write_table(moved, later, "raw_orders", root, mode="rebuild")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    broken = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("a broken row"))).otherwise(F.col("o_custkey")))
+    try:
+        write_table(broken, later, "raw_orders", root, mode="rebuild")
+    except Exception as e:
+        if "a broken row" not in str(e):
+            raise
+    else:
+        raise AssertionError("the broken rebuild went through")
     return read_table(spark, later, "raw_orders").groupBy(
         F.col("__p_o_orderdate_month").alias("month"), "o_orderstatus"
     ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT v.version, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2)) * CASE WHEN v.version = 3 AND year(o_orderdate) = 1999 THEN 2 ELSE 1 END) AS DOUBLE) AS total
+FROM orders, (VALUES (1), (2), (3), (4)) v(version)
+WHERE (v.version > 1 OR o_orderkey % 2 = 0) AND NOT (v.version = 4 AND o_orderstatus = 'F') GROUP BY 1, 2
+""")
+def versions_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four versions of a table, each read back after all were written: half of the rows, the other half appended, the
+    months of a year replaced, and the table rebuilt without a status."""
+    product, root = private_copy(contract("retail_orders")), fresh_folder(spark, "lake")
+    orders = load(spark, sf_dir, "orders")
+    write_table(orders.where("o_orderkey % 2 = 0"), product, "raw_orders", root)
+    write_table(orders.where("o_orderkey % 2 <> 0"), product, "raw_orders", root)
+    doubled = orders.where(F.year("o_orderdate") == 1999).withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)") * 2)
+    write_table(doubled, product, "raw_orders", root, mode="overwrite")
+    write_table(orders.where("o_orderstatus <> 'F'"), product, "raw_orders", root, mode="rebuild")
+    parts = [
+        read_table(spark, product, "raw_orders", version).groupBy(F.col("__p_o_orderdate_month").alias("month"))
+        .agg(F.lit(version).alias("version"), F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").cast("double").alias("total"))
+        for version in (1, 2, 3, 4)
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pactlake.contract import Product, Table
+from pactlake.operators.layout import partition_fields
 from pactlake.operators.schema import conform, contract_schema
+from pactlake.sources.versions import LAYER
 
 TEXT_FORMATS = ("csv", "json")
 
@@ -86,6 +88,12 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: T.Struct
     )
 
 
-def read_table(spark: SparkSession, product: Product, table: str) -> DataFrame:
-    """A product table by name: its declared columns, and the derived partition columns after them."""
-    return spark.table(product.fqn(table))
+def read_table(spark: SparkSession, product: Product, table: str, version: int | None = None) -> DataFrame:
+    """A product table by name: its declared columns, and the derived partition columns after them. What is read
+    is the version that is newest now, or the one asked for, whatever is written meanwhile."""
+    from pactlake.sources.writers import versions_of
+
+    stored = spark.table(product.fqn(table)).schema
+    schema = T.StructType([f for f in stored if f.name != LAYER])
+    folder = versions_of(spark, product, table)
+    return folder.read(schema, partition_fields(product.table(table)), None if version is None else folder.version(version))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import math
 import os
 import random
@@ -11,6 +12,7 @@ from pactlake.contract import parse_product
 from pactlake.operators.sla import (
     availability, expire_partitions, freshness_lag, quality_trend, row_count_bounds, unexpired,
 )
+from pactlake.sources.readers import read_table
 from pactlake.sources.writers import write_table
 
 
@@ -91,10 +93,13 @@ def test_expired_partitions_are_dropped_by_name(spark, tmp_path, document):
     days = [f"2024-01-{d:02d} 12:00:00" for d in range(1, 11)]
     df = stamps(spark, *days).selectExpr("7 AS event_id", "7 AS user_id", "'view' AS event_type", "at AS ts")
     write_table(df, product, "raw_events", str(tmp_path))
-    folder = f"{product.location(str(tmp_path), 'raw_events')}/__p_ts_day=2024-01-01"
+    folder = glob.glob(f"{product.location(str(tmp_path), 'raw_events')}/*/__p_ts_day=2024-01-01")[0]
+    expire = lambda *args: {r.outcome: (r.periods, r.oldest, r.newest) for r in expire_partitions(spark, product, "raw_events", *args).collect()}
     # Seven days before the 10th at noon: the 3rd still has rows inside the bound.
-    assert expire_partitions(spark, product, "raw_events", "2024-01-10 12:00:00") == 2
+    assert expire("2024-01-10 12:00:00") == {"dropped": (2, "2024-01-01", "2024-01-02"), "straddling": (1, "2024-01-03", "2024-01-03")}
     assert spark.table("expiring.raw_events").count() == 8 and os.path.isdir(folder)
-    assert expire_partitions(spark, product, "raw_events", "2024-01-12 12:00:00", delete_files=True) == 2
+    assert read_table(spark, product, "raw_events").count() == 8 and read_table(spark, product, "raw_events", version=1).count() == 10
+    assert expire("2024-01-12 12:00:00", True)["dropped"] == (2, "2024-01-03", "2024-01-04")
+    assert read_table(spark, product, "raw_events").count() == 6
     assert not os.path.exists(folder.replace("01-01", "01-03"))
     assert os.path.isdir(folder.replace("01-01", "01-05"))
