@@ -1,10 +1,13 @@
-"""Streams over the events file, worked off once into the shared folder and read back."""
+"""Streams over the events, delivered in four files and worked off a file a batch into the shared folder, and read back."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pactlake.contract import Rule
 from pactlake.operators.layout import read_partitioned
 from pactlake.operators.quality import BROKEN
 from pactlake.queries.quality import EVENTS_CHECKS, check_sql
@@ -13,13 +16,26 @@ from pactlake.session import fresh_folder
 from pactlake.sources.readers import file_stream
 from pactlake.streaming.ingest import deduplicate_stream, ingest_stream
 from pactlake.streaming.latest import read_latest, stream_latest
-from pactlake.streaming.quality import run_suite_stream
+from pactlake.streaming.quality import read_suite, run_suite_stream
 from pactlake.streaming.runs import start
-from pactlake.streaming.windows import arrivals, count_late
+from pactlake.streaming.windows import arrivals, count_late, read_arrivals, upsert_arrivals
+
+
+#: Days of the month that a delivery covers.
+DAYS = 8
 
 
-def _events(spark: SparkSession, sf_dir: str, offset: str | None = None) -> DataFrame:
-    return file_stream(spark, f"{sf_dir}/events*.parquet", load(spark, sf_dir, "events").schema, offset=offset)
+def _events(spark: SparkSession, sf_dir: str, offset: str | None = None, again: int = 0) -> DataFrame:
+    """The events of each eight days delivered one after the other, and the whole of it `again` times some months later."""
+    folder, events = fresh_folder(spark, "delivered"), load(spark, sf_dir, "events")
+    part = F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / DAYS))
+    for time in range(again + 1):
+        late = events.withColumn("ts", F.col("ts") + F.make_ym_interval(months=F.lit(2 * time)))
+        for number in range(4):
+            late.where(part == number).write.parquet(f"{folder}/events-{time}-{number}")
+    files = spark.read.parquet(f"{folder}/*").inputFiles()
+    batch = max(1, len(files) // (4 * (again + 1)))
+    return file_stream(spark, f"{folder}/*", events.schema, offset=offset, maxFilesPerTrigger=batch)
 
 
 def _finish(stream: DataFrame, folder: str) -> DataFrame:
@@ -30,8 +46,9 @@ def _finish(stream: DataFrame, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, ts, user_id, event_type, value, props, event_id AS source_offset, 'events.parquet' AS source_offset_file,
-       strftime(ts, '%Y-%m-%d-%H') AS hour FROM events
+SELECT event_id, ts, user_id, event_type, value, props, row_number() OVER (PARTITION BY part ORDER BY event_id) - 1 AS source_offset,
+       'events-0-' || part AS source_offset_file, strftime(ts, '%Y-%m-%d-%H') AS hour
+FROM (SELECT *, least(3, (day(ts) - 1) // 8) AS part FROM events)
 """)
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze by hour with the source offset kept."""
@@ -39,7 +56,7 @@ def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "ingest")
     ingest_stream(_events(spark, sf_dir, "source_offset"), table, f"{folder}/out", f"{folder}/checkpoint", once=True)
     rows = read_partitioned(spark, table, f"{folder}/out").withColumnRenamed("__p_ts_hour", "hour")
-    return rows.withColumn("source_offset_file", F.substring_index("source_offset_file", "/", -1))
+    return rows.withColumn("source_offset_file", F.element_at(F.split("source_offset_file", "/"), -2))
 
 
 @query("""
@@ -56,12 +73,25 @@ def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids, min(ts) AS first_ts, max(ts) AS last_ts
+FROM events GROUP BY 1
+""")
+def stream_dedup_forever(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events delivered again two and four months later, kept once."""
+    once = deduplicate_stream(_events(spark, sf_dir, again=2), ["event_id"], "ts", "1 hour", salts=1, forever=True)
+    return _finish(once, fresh_folder(spark, "dedup")).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+    )
+
+
 @query("""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
 """)
 def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's newest event, kept as a change log."""
+    """Each user's newest event, kept as merged runs."""
     folder = fresh_folder(spark, "latest")
     stream_latest(
         _events(spark, sf_dir), ["user_id"], "ts", "event_id", f"{folder}/out", f"{folder}/checkpoint", once=True
@@ -77,22 +107,34 @@ WITH w AS (
            time_bucket(INTERVAL {slide}, ts, TIMESTAMP '{first}'), INTERVAL {slide})) AS window_start, ts FROM events),
 g AS (SELECT window_start, window_start + INTERVAL {size} AS window_end, count(*) AS arrivals, max(ts) AS last_arrival
       FROM w GROUP BY 1)
-SELECT window_start, window_end, arrivals, last_arrival, epoch(window_end - last_arrival) > 3600 AS breached
-FROM g WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+SELECT window_start, window_end, arrivals, last_arrival, epoch(window_end - last_arrival) > 3600 AS breached,
+       window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS closed
+FROM g
 """
 
 
+def _windows(spark: SparkSession, sf_dir: str, size: str, slide: str | None = None) -> DataFrame:
+    folder = fresh_folder(spark, "windows")
+    upsert_arrivals(arrivals(_events(spark, sf_dir), "ts", "1 hour", size, 1, slide), f"{folder}/out", f"{folder}/checkpoint", once=True)
+    return read_arrivals(spark, f"{folder}/out", 1)
+
+
 @query(windows_sql("1 DAY", "1 DAY", "2024-01-01"))
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I4: daily arrivals; days still open at the watermark are withheld."""
+    """I4: daily arrivals, and which days are still open."""
+    return _windows(spark, sf_dir, "1 day")
+
+
+@query(f"SELECT * EXCLUDE (closed) FROM ({windows_sql('1 DAY', '1 DAY', '2024-01-01')}) WHERE closed")
+def stream_windows_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: daily arrivals given out once, when the day is closed."""
     return _finish(arrivals(_events(spark, sf_dir), "ts", "1 hour", "1 day", 1), fresh_folder(spark, "windows"))
 
 
 @query(windows_sql("6 HOUR", "2 HOUR", "2024-01-01"))
 def stream_windows_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I4: six hours, every two hours."""
-    stream = arrivals(_events(spark, sf_dir), "ts", "1 hour", "6 hours", 1, slide="2 hours")
-    return _finish(stream, fresh_folder(spark, "windows"))
+    return _windows(spark, sf_dir, "6 hours", "2 hours")
 
 
 @query("""
@@ -121,11 +163,32 @@ def _checked(spark: SparkSession, sf_dir: str) -> str:
 
 @query(check_sql("events", "site_events", "raw_events", "bronze", EVENTS_CHECKS))
 def stream_quality_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suite results of every micro-batch, added up."""
-    results = spark.read.parquet(f"{_checked(spark, sf_dir)}/results")
-    return results.groupBy("product", "table", "tier", "rule_type", "column").agg(
-        F.sum("evaluated").alias("evaluated"), F.sum("failed").alias("failed"), F.bool_and("passed").alias("passed")
+    """The suite over all micro-batches, from the states that they added to."""
+    table = contract("site_events").table("raw_events")
+    return read_suite(spark, table, EVENTS_AS_OF, _checked(spark, sf_dir), "site_events")
+
+
+#: A moment after the second delivery.
+LATER = "2024-04-15 00:00:00"
+
+
+@query("""
+WITH twice AS (SELECT * FROM events UNION ALL SELECT * REPLACE (ts + INTERVAL 2 MONTH AS ts) FROM events)
+""" + check_sql("twice", "site_events", "raw_events", "bronze", [
+    ("unique", "event_id", "count(event_id)", "count(event_id)"),
+    ("row_count_between", "", "count(*)", "CASE WHEN count(*) > 1000 THEN 1 ELSE 0 END"),
+    ("freshness_hours", "ts", "count(ts)", f"CASE WHEN max(ts) >= TIMESTAMP '{LATER}' - INTERVAL 20 DAY THEN 0 ELSE 1 END"),
+]))
+def stream_quality_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on the whole of the rows, over a stream that delivers every event twice: every id is a repeat, though no
+    batch has one; the rows are too many and the newest is fresh."""
+    table, folder = contract("site_events").table("raw_events"), fresh_folder(spark, "checked")
+    rules = (Rule("unique", ("event_id",)), Rule("row_count_between", params={"max": 1000}), Rule("freshness_hours", ("ts",), {"hours": 24 * 20}))
+    table = replace(table, rules=rules)
+    run_suite_stream(
+        _events(spark, sf_dir, again=1), table, LATER, f"{folder}/out", f"{folder}/checkpoint", "site_events", once=True
     )
+    return read_suite(spark, table, LATER, f"{folder}/out", "site_events")
 
 
 @query("""

@@ -65,13 +65,15 @@ def ingest(
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", offset: str | None = None, **options
 ) -> DataFrame:
-    """B2: a growing folder as a stream. `offset` adds where each row comes from: under that name its position in its file
-    (Parquet knows it; in other formats it is NULL), and under the name and ``_file`` the file."""
+    """B2: a growing folder as a stream. `offset` adds where each row comes from: under that name its position in its file,
+    and under the name and ``_file`` the file. Only Parquet knows positions; other formats are refused with a ValueError
+    rather than given rows that cannot be found again."""
+    if offset and format != "parquet":
+        raise ValueError(f"rows of {format} files have no position")
     stream = spark.readStream.format(format).schema(schema).options(**options).load(path)
     if not offset:
         return stream
-    position = F.col("_metadata.row_index") if format == "parquet" else F.lit(None).cast("long")
-    return stream.withColumns({offset: position, f"{offset}_file": F.col("_metadata.file_path")})
+    return stream.withColumns({offset: F.col("_metadata.row_index"), f"{offset}_file": F.col("_metadata.file_path")})
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: T.StructType, offset: str) -> DataFrame:

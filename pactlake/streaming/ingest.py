@@ -31,15 +31,21 @@ def ingest_stream(
     return start(writer.partitionBy(*fields) if fields else writer, checkpoint, once)
 
 
-def deduplicate_stream(stream: DataFrame, keys: list[str], at: str, delay: str, salts: int = 16) -> DataFrame:
-    """The first row of each key; state is kept only as long as a repeat may arrive (`delay`).
+def deduplicate_stream(
+    stream: DataFrame, keys: list[str], at: str, delay: str, salts: int = 16, forever: bool = False
+) -> DataFrame:
+    """The first row of each key. Rows later than the watermark's `delay` are dropped.
 
-    Repeats further apart than the watermark delay both pass, which is the price of bounded state. A key
-    repeated very often is first thinned out in `salts` groups, so that the task that owns it sees at
+    State is kept only as long as a repeat may arrive (`delay`): repeats further apart both pass, which is the price of
+    bounded state. With `forever` every key ever seen is kept, a key's bytes each, in the state store of the task that owns
+    it: no repeat passes however late it comes, and a batch looks up its own keys only, whatever the store has grown to.
+    The number of shuffle partitions that the stream starts with is how many tasks the keys are dealt out to.
+
+    A key repeated very often is first thinned out in `salts` groups, so that the task that owns it sees at
     most one row per group; `salts=1` saves that shuffle where repeats are rare.
     """
     rows = with_event_time(stream, at, delay)
     if salts > 1:
         thinned = rows.withColumn("__salt", spread(F.struct(*keys), salts)).dropDuplicatesWithinWatermark([*keys, "__salt"])
         rows = thinned.drop("__salt")
-    return without_zone(rows.dropDuplicatesWithinWatermark(keys), at)
+    return without_zone(rows.dropDuplicates(keys) if forever else rows.dropDuplicatesWithinWatermark(keys), at)

@@ -1,46 +1,31 @@
-"""Latest state per entity, kept as a change log.
+"""Latest state per entity, kept as merged runs.
 
-Each micro-batch is reduced to the newest row per entity and appended under its batch id; readers take
-the newest row over the log. A batch costs what its own rows cost, never a rewrite of all entities, and
-running a batch again replaces its own directory only. `compact` folds the log when reading it gets slow.
+Each micro-batch is reduced to the newest row per entity and appended as a run; readers take the newest row over all runs. A
+batch costs what its own rows cost, never a rewrite of all entities. Runs are merged while the stream goes on, so a
+reader never folds more than a small multiple of the entities (see `sources.merged`).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactlake.operators.medallion import latest_state
-from pactlake.streaming.runs import start
+from pactlake.sources.merged import MergedRuns
+from pactlake.streaming.runs import start_merged
 
-BATCH = "batch_id"
+
+def latest_runs(spark: SparkSession, location: str, keys: list[str], at: str, sequence: str) -> MergedRuns:
+    return MergedRuns(spark, location, keys, lambda rows: latest_state(rows, keys, at, sequence))
 
 
 def stream_latest(
     stream: DataFrame, keys: list[str], at: str, sequence: str, location: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        changes = latest_state(batch, keys, at, sequence).withColumn(BATCH, F.lit(batch_id))
-        writer = changes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(BATCH).parquet(location)
-
-    return start(stream.writeStream.foreachBatch(write), checkpoint, once)
+    """A batch that runs again after a failure is recognised and not added twice."""
+    runs = latest_runs(stream.sparkSession, location, keys, at, sequence)
+    return start_merged(stream.writeStream.foreachBatch(lambda batch, number: runs.append(batch, number)), checkpoint, once, [runs])
 
 
 def read_latest(spark: SparkSession, location: str, keys: list[str], at: str, sequence: str) -> DataFrame:
-    return latest_state(spark.read.parquet(location).drop(BATCH), keys, at, sequence)
-
-
-def compact(
-    spark: SparkSession, location: str, target: str, keys: list[str], at: str, sequence: str, through: int
-) -> None:
-    """Fold the batches up to `through` into `target` as one, and copy the later ones after it.
-
-    Run it while the stream is stopped, then point readers and the stream at `target`.
-    """
-    log = spark.read.parquet(location)
-    folded = latest_state(log.where(F.col(BATCH) <= through).drop(BATCH), keys, at, sequence)
-    later = log.where(F.col(BATCH) > through)
-    merged = folded.withColumn(BATCH, F.lit(through)).unionByName(later)
-    merged.write.partitionBy(BATCH).parquet(target)
+    return latest_runs(spark, location, keys, at, sequence).read()

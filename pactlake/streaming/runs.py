@@ -6,10 +6,14 @@ and back on the way out, which is lossless in a session whose zone is UTC.
 
 from __future__ import annotations
 
+from threading import Thread
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from pactlake.sources.merged import MergedRuns, Merger
+
 
 def with_event_time(stream: DataFrame, at: str, delay: str) -> DataFrame:
     """The stream with `at` as event time, tolerating rows up to `delay` late."""
@@ -27,3 +31,22 @@ def start(writer: DataStreamWriter, checkpoint: str, once: bool) -> StreamingQue
     if once:
         query.awaitTermination()
     return query
+
+
+def start_merged(writer: DataStreamWriter, checkpoint: str, once: bool, runs: list[MergedRuns], seconds: float = 30.0) -> StreamingQuery:
+    """`start`, with the runs merged in the background for as long as the query runs."""
+    if once:
+        query = start(writer, checkpoint, once)
+        for each in runs:
+            each.merge()
+        return query
+    query, merger = start(writer, checkpoint, once), Merger(runs, seconds)
+
+    def wait() -> None:
+        try:
+            query.awaitTermination()
+        finally:
+            merger.stop()
+
+    Thread(target=wait, name="merger-end", daemon=True).start()
+    return query
