@@ -177,9 +177,17 @@ def load_product(path: str | Path) -> Product:
 
 
 def parse_product(document: Any) -> Product:
-    if not isinstance(document, dict):
-        raise ContractError(["a contract must be a mapping"])
+    product, problems = examine(document)
+    if problems:
+        raise ContractError(problems)
+    return product
+
+
+def examine(document: Any) -> tuple[Product, list[str]]:
+    """What can be read of a document, and everything that is wrong with it."""
     problems: list[str] = []
+    if not isinstance(document, dict):
+        problems, document = ["a contract must be a mapping"], {}
 
     def check(ok: bool, message: str) -> None:
         if not ok:
@@ -193,7 +201,7 @@ def parse_product(document: Any) -> Product:
     check(bool(re.fullmatch(EMAIL_PATTERN, str(owner.get("email", "")))), "owner.email is not an email address")
     hours, share = sla.get("freshness_hours"), sla.get("availability_pct", 99.9)
     check(_is_int(hours) and 0 < hours <= MAX_FRESHNESS_HOURS, "sla.freshness_hours must be in 1..8760")
-    check(isinstance(share, (int, float)) and 0 <= share <= 100, "sla.availability_pct must be in 0..100")
+    check(_is_number(share) and 0 <= share <= 100, "sla.availability_pct must be in 0..100")
 
     tables = [_parse_table(t, check) for t in _mappings(document.get("tables"), "tables", check)]
     check(bool(tables), "a product needs at least one table")
@@ -201,15 +209,14 @@ def parse_product(document: Any) -> Product:
         problems.append(f"duplicate table {double!r}")
     if not problems:
         check(len(_by_inputs(tables)) == len(tables), "tables read each other in a circle")
-    if problems:
-        raise ContractError(problems)
-    return Product(
-        name=name, version=version, team=owner["team"], email=owner["email"],
-        slack_channel=owner.get("slack_channel"), freshness_hours=hours, availability_pct=float(share),
+    product = Product(
+        name=name, version=version, team=owner.get("team"), email=owner.get("email"),
+        slack_channel=owner.get("slack_channel"), freshness_hours=hours, availability_pct=float(share) if _is_number(share) else share,
         min_row_count=sla.get("min_row_count"), max_row_count=sla.get("max_row_count"),
         tables=tuple(tables), description=document.get("description"),
         tags=tuple(document.get("tags") or ()), enabled=document.get("enabled", True),
     )
+    return product, problems
 
 
 def _mapping(value: Any, what: str, check) -> dict:
@@ -317,6 +324,10 @@ def _is_int(value: Any) -> bool:
     return isinstance(value, int) and not isinstance(value, bool)
 
 
+def _is_number(value: Any) -> bool:
+    return isinstance(value, float) or _is_int(value)
+
+
 def _repeated(names) -> list[str]:
     seen: set[str] = set()
     return [n for n in names if n in seen or seen.add(n)]

@@ -7,13 +7,16 @@ lineage (G9) relate products to each other; those joins tolerate hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.contract import (
     COLUMN_TYPES, IDENTIFIER_PATTERN, MAX_FRESHNESS_HOURS, PRODUCT_NAME_PATTERN, RULE_KINDS,
     TIERS, TRANSFORMS, VERSION_PATTERN, Product,
 )
+from pactlake.contract import Column as ContractColumn
 from pactlake.functions.expressions import display_name, is_email
 from pactlake.functions.skew import skew_join
 from pactlake.session import materialize, materialize_counted
@@ -24,9 +27,12 @@ COLUMN_STRUCT = (
 )
 RULE_STRUCT = "struct<kind: string, columns: array<string>, params: array<string>>"
 PARTITION_STRUCT = "struct<column: string, transform: string, num_buckets: int, width: int>"
+#: A field of a struct, or the element of an array or map, at any depth: `parent` is the path of what it is in.
+NESTED_STRUCT = "struct<parent: string, name: string, type: string, precision: int, scale: int>"
 TABLE_STRUCT = (
     "struct<name: string, tier: string, description: string, tags: array<string>, inputs: array<string>,"
-    f" partitions: array<{PARTITION_STRUCT}>, columns: array<{COLUMN_STRUCT}>, rules: array<{RULE_STRUCT}>>"
+    f" partitions: array<{PARTITION_STRUCT}>, columns: array<{COLUMN_STRUCT}>, rules: array<{RULE_STRUCT}>,"
+    f" nested: array<{NESTED_STRUCT}>>"
 )
 CONTRACTS_SCHEMA = (
     "product string, version string, team string, email string, freshness_hours int, availability_pct double,"
@@ -45,21 +51,39 @@ def contracts_frame(spark: SparkSession, products: list[Product]) -> DataFrame:
         tables = [
             (
                 t.name, t.tier, t.description, list(t.tags), list(t.inputs),
-                [(s.column, s.transform, s.num_buckets, s.width) for s in t.partitions],
+                [(s.column, s.transform, _int(s.num_buckets), _int(s.width)) for s in t.partitions],
                 [
-                    (c.name, c.type, c.nullable, c.pii, c.description, list(c.tags), c.precision, c.scale)
+                    (c.name, c.type, c.nullable, c.pii, c.description, list(c.tags), _int(c.precision), _int(c.scale))
                     for c in t.columns
                 ],
-                [(r.kind, list(r.columns), sorted(r.params)) for r in t.rules],
+                [(str(r.kind), list(r.columns), sorted(k for k, v in r.params.items() if v is not None)) for r in t.rules],
+                [x for c in t.columns for x in _nested(c, c.name)],
             )
             for t in p.tables
         ]
-        rows.append(
-            (p.name, p.version, p.team, p.email, p.freshness_hours, p.availability_pct, list(p.tags), tables)
-        )
+        share = float(p.availability_pct) if isinstance(p.availability_pct, (int, float)) else None
+        rows.append((p.name, p.version, p.team, p.email, _int(p.freshness_hours), share, list(p.tags), tables))
     return spark.createDataFrame(rows, CONTRACTS_SCHEMA)
 
 
+def _int(value: object) -> int | None:
+    return value if isinstance(value, int) and not isinstance(value, bool) else None
+
+
+def _nested(column: ContractColumn, path: str) -> list[tuple]:
+    """What is inside a column, outermost first."""
+    inside = list(column.fields) if column.type == "struct" else []
+    if column.type in ("array", "map"):
+        element = column.element
+        inside = [replace(element, name="element") if isinstance(element, ContractColumn) else ContractColumn("element", element, element=None)]
+    out = []
+    for c in inside:
+        if c.name is not None and c.type is not None or column.element is not None:
+            out.append((path, c.name, c.type, _int(c.precision), _int(c.scale)))
+            out += _nested(c, f"{path}.{c.name}") if c.element is not None else []
+    return out
+
+
 def contract_tables(contracts: DataFrame, *product_columns: str) -> DataFrame:
     """One row per table, its fields in the struct ``t``."""
     return contracts.select("product", *product_columns, F.explode("tables").alias("t"))
@@ -154,8 +178,8 @@ def product_summary(contracts: DataFrame) -> DataFrame:
 
 def rule_coverage(contracts: DataFrame) -> DataFrame:
     """The rule kinds guarding each column, and whether a required column has none."""
-    columns = contract_tables(_complete(contracts)).select("product", "t", F.explode("t.columns").alias("c"))
-    guards = _kinds(F.filter("t.rules", lambda r: F.array_contains(r["columns"], F.col("c.name"))))
+    columns = contract_tables(contracts).select("product", "t", F.explode("t.columns").alias("c"))
+    guards = _kinds(F.filter(_listed("t.rules"), lambda r: _holds(F.array_contains(r["columns"], F.col("c.name")))))
     return columns.select(
         "product",
         F.col("t.name").alias("table"),
@@ -169,9 +193,9 @@ def lint(contracts: DataFrame) -> DataFrame:
     """One row per violated validity rule, (product, table, object, violation).
 
     All checks sit in one projection over one scan; nothing is shuffled. A corpus read from storage did not pass the
-    loader, so any field may be NULL: a missing array counts as empty and a missing value breaks its rule.
+    loader, so any field may be NULL: a missing array counts as empty and a missing value breaks its rule. What the loader
+    rejects has a violation, and what it takes has none.
     """
-    contracts = _complete(contracts)
     product_level = _found(
         "",
         [
@@ -181,20 +205,36 @@ def lint(contracts: DataFrame) -> DataFrame:
             (~_holds(F.col("freshness_hours").between(1, MAX_FRESHNESS_HOURS)), "sla", "freshness_hours out of range"),
             (~_holds(F.col("availability_pct").between(0.0, 100.0)), "sla", "availability_pct out of range"),
             (~_holds(F.trim("team") != ""), "owner", "no team"),
-            (F.size("tables") == 0, "product", "no tables"),
+            (F.size(_listed("tables")) == 0, "product", "no tables"),
         ],
     )
-    duplicate_tables = F.transform(
-        _repeated(_names(F.col("tables"))), lambda n: _violation(n, n, "duplicate table name")
-    )
+    tables = _listed("tables")
+    duplicate_tables = F.transform(_repeated(_names(tables)), lambda n: _violation(n, n, "duplicate table name"))
+    circular = F.transform(_circular(tables), lambda n: _violation(n, n, "reads itself in a circle"))
     # The column names of a table are looked up for every rule, so they are put beside it once.
-    named = F.transform("tables", lambda t: F.struct(t.alias("t"), _names(t["columns"]).alias("names")))
+    named = F.transform(tables, lambda t: F.struct(t.alias("t"), _names(_listed(t["columns"])).alias("names")))
     per_table = F.flatten(F.transform(named, lambda x: _table_violations(x["t"], x["names"])))
-    return contracts.select("product", F.inline(F.concat(product_level, duplicate_tables, per_table)))
+    return contracts.select("product", F.inline(F.concat(product_level, duplicate_tables, circular, per_table)))
+
+
+def _circular(tables: Column) -> Column:
+    """The tables of a contract that come before and after one another: what is left when tables without open inputs, and
+    then tables that none of those left reads, are taken away until nothing changes."""
+    pairs = F.flatten(
+        F.transform(tables, lambda t: F.transform(_listed(t["inputs"]), lambda i: F.struct(t["name"].alias("name"), i.alias("input"))))
+    )
+    names = F.array_distinct(_names(tables))
+    inner = F.filter(pairs, lambda x: _holds(F.array_contains(names, x["input"])))
+
+    def peeled(left: Column, mine: str, other: str) -> Column:
+        open_ = lambda now: F.transform(F.filter(inner, lambda x: F.array_contains(now, x[other])), lambda x: x[mine])
+        return F.aggregate(names, left, lambda now, _: F.array_intersect(now, open_(now)))
+
+    return F.when(F.size(inner) > 0, peeled(peeled(names, "name", "input"), "input", "name")).otherwise(F.array().cast("array<string>"))
 
 
 def _table_violations(t: Column, names: Column) -> Column:
-    columns = t["columns"]
+    columns, nested, rules, partitions = (_listed(t[f]) for f in ("columns", "nested", "rules", "partitions"))
     unknown = lambda c: ~_holds(F.array_contains(names, c))
     flag = lambda items, broken, name, text: F.transform(
         F.filter(items, broken), lambda i: _violation(t["name"], name(i), text)
@@ -204,13 +244,23 @@ def _table_violations(t: Column, names: Column) -> Column:
     by_column = lambda i: i["column"]
     needs = {"regex": "pattern", "accepted_values": "values", "min_value": "min", "max_value": "max",
              "freshness_hours": "hours"}
-    has = lambda r, param: F.array_contains(r["params"], param)
+    has = lambda r, param: _holds(F.array_contains(r["params"], param))
+    path = lambda x: F.concat_ws(".", x["parent"], x["name"])
+    # What must have something inside, with its path.
+    outer = F.concat(
+        F.transform(columns, lambda c: F.struct(c["name"].alias("path"), c["type"].alias("type"))),
+        F.transform(nested, lambda x: F.struct(path(x).alias("path"), x["type"].alias("type"))),
+    )
+    hollow = F.filter(
+        F.filter(outer, lambda x: x["type"].isin("struct", "array", "map")), lambda x: ~F.exists(nested, lambda y: _holds(y["parent"] == x["path"]))
+    )
+    by_path = lambda x: x["path"]
     missing_param = lambda r: _any(
         [(r["kind"] == kind) & ~has(r, param) for kind, param in needs.items()]
         + [(r["kind"] == "row_count_between") & ~has(r, "min") & ~has(r, "max")]
     )
     rule_targets = F.flatten(
-        F.transform(t["rules"], lambda r: F.transform(F.filter(r["columns"], unknown), lambda c: F.struct(
+        F.transform(rules, lambda r: F.transform(F.filter(_listed(r["columns"]), unknown), lambda c: F.struct(
             r["kind"].alias("kind"), c.alias("column"))))
     )
     return F.concat(
@@ -227,23 +277,32 @@ def _table_violations(t: Column, names: Column) -> Column:
             lambda c: (c["type"] == "decimal") & (c["precision"].isNull() | c["scale"].isNull()),
             by_name, "decimal without precision and scale",
         ),
-        flag(t["partitions"], lambda p: ~_holds(p["transform"].isin(*TRANSFORMS)), by_column, "unknown transform"),
+        flag(hollow, lambda x: x["type"] == "struct", by_path, "struct without fields"),
+        flag(hollow, lambda x: x["type"] != "struct", by_path, "no element type"),
+        flag(nested, lambda x: ~_holds(x["name"].rlike(_whole(IDENTIFIER_PATTERN))), path, "bad column name"),
+        flag(nested, lambda x: ~_holds(x["type"].isin(*COLUMN_TYPES)), path, "unknown type"),
         flag(
-            t["partitions"],
+            nested,
+            lambda x: (x["type"] == "decimal") & (x["precision"].isNull() | x["scale"].isNull()),
+            path, "decimal without precision and scale",
+        ),
+        flag(partitions, lambda p: ~_holds(p["transform"].isin(*TRANSFORMS)), by_column, "unknown transform"),
+        flag(
+            partitions,
             lambda p: (p["transform"] == "bucket") & ~F.coalesce(p["num_buckets"] > 0, F.lit(False)),
             by_column, "bucket without num_buckets",
         ),
         flag(
-            t["partitions"],
+            partitions,
             lambda p: (p["transform"] == "truncate") & ~F.coalesce(p["width"] > 0, F.lit(False)),
             by_column, "truncate without width",
         ),
-        flag(t["partitions"], lambda p: unknown(p["column"]), by_column, "partition on unknown column"),
-        flag(t["rules"], lambda r: ~_holds(r["kind"].isin(*RULE_KINDS)), by_kind, "unknown rule"),
-        flag(t["rules"], missing_param, by_kind, "rule without its parameter"),
+        flag(partitions, lambda p: unknown(p["column"]), by_column, "partition on unknown column"),
+        flag(rules, lambda r: ~_holds(r["kind"].isin(*RULE_KINDS)), by_kind, "unknown rule"),
+        flag(rules, missing_param, by_kind, "rule without its parameter"),
         flag(
-            t["rules"],
-            lambda r: r["kind"].isin(*RULE_KINDS) & (r["kind"] != "row_count_between") & (F.size(r["columns"]) == 0),
+            rules,
+            lambda r: r["kind"].isin(*RULE_KINDS) & (r["kind"] != "row_count_between") & (F.size(_listed(r["columns"])) == 0),
             by_kind, "rule without columns",
         ),
         F.transform(rule_targets, lambda x: _violation(t["name"], x["column"], "rule on unknown column")),
@@ -254,18 +313,9 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _complete(contracts: DataFrame) -> DataFrame:
-    """A corpus whose arrays are all there, empty where they were NULL."""
-
-    def whole(value: Column, kind: str) -> Column:
-        return F.coalesce(value, F.array().cast(f"array<{kind}>"))
-
-    rules = lambda t: F.transform(whole(t["rules"], RULE_STRUCT), lambda r: r.withField("columns", whole(r["columns"], "string")).withField("params", whole(r["params"], "string")))
-    table = lambda t: (
-        t.withField("columns", whole(t["columns"], COLUMN_STRUCT)).withField("partitions", whole(t["partitions"], PARTITION_STRUCT))
-        .withField("rules", rules(t)).withField("inputs", whole(t["inputs"], "string")).withField("tags", whole(t["tags"], "string"))
-    )
-    return contracts.withColumn("tables", F.transform(whole(F.col("tables"), TABLE_STRUCT), table)).withColumn("tags", whole(F.col("tags"), "string"))
+def _listed(value: Column | str) -> Column:
+    """An array, empty where there is none."""
+    return F.coalesce(value, F.array())
 
 
 def _violation(table: Column, item: Column, text: str) -> Column:
@@ -332,20 +382,56 @@ def dangling(edges: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 def all_upstream(edges: DataFrame) -> DataFrame:
-    """Every (table, upstream, distance), distance the shortest way; stops when nothing new is found.
+    """Every (table, upstream, distance), distance the shortest way.
 
-    One join per level of the lineage, which three tiers keep few; cycles end because pairs already
-    found are not followed again. Each level is written out, so a lost executor costs one level.
+    Found ways double in length each round: once all ways of up to n steps are known, those of n + 1 to 2n steps are a
+    way of exactly n steps and a known one. So a chain of a thousand tables takes ten rounds, every way is made of two
+    that are shortest, and a circle ends because its ways get no shorter. Each round is written out, which is what a lost executor costs.
     """
+    found = materialize(edges.select("table", "upstream").distinct().withColumn("distance", F.lit(1)), "lineage")
+    reach = 1
+    while True:
+        longest = found.where(F.col("distance") == reach).withColumnRenamed("upstream", "via")
+        onward = found.select(F.col("table").alias("via"), "upstream", F.col("distance").alias("more"))
+        ways = skew_join(longest, onward, ["via"], "inner").select("table", "upstream", (F.col("distance") + F.col("more")).alias("distance"))
+        both = found.unionByName(ways).groupBy("table", "upstream").agg(F.min("distance").alias("distance"))
+        reach *= 2
+        observed = Observation()
+        found = materialize(both.observe(observed, F.max("distance").alias("longest")), "lineage")
+        if (observed.get["longest"] or 0) < reach:
+            return found
+
+
+def upstream_of(edges: DataFrame, tables: DataFrame) -> DataFrame:
+    """(table, upstream, distance) for the given tables only. Walks up from them a level a round and follows no
+    edge that they do not need, so a few tables of a large corpus cost a few joins with what they read."""
     edges = materialize(edges.select("table", "upstream").distinct(), "edges")
-    next_hop = edges.select(F.col("table").alias("via"), F.col("upstream").alias("next"))
-    found = frontier = materialize(edges.withColumn("distance", F.lit(1)), "lineage")
+    onward = edges.select(F.col("table").alias("via"), F.col("upstream").alias("next"))
+    found = frontier = materialize(
+        edges.join(tables.select("table").distinct(), "table", "left_semi").withColumn("distance", F.lit(1)), "walk"
+    )
     while True:
-        step = skew_join(frontier.withColumnRenamed("upstream", "via"), next_hop, ["via"], "inner").select(
-            "table", F.col("next").alias("upstream"), (F.col("distance") + 1).alias("distance")
-        )
-        fresh = step.distinct().join(found.select("table", "upstream"), ["table", "upstream"], "left_anti")
-        frontier, pairs = materialize_counted(fresh, "lineage")
+        step = skew_join(frontier.withColumnRenamed("upstream", "via"), onward, ["via"], "inner")
+        step = step.select("table", F.col("next").alias("upstream"), (F.col("distance") + 1).alias("distance")).distinct()
+        frontier, pairs = materialize_counted(step.join(found.select("table", "upstream"), ["table", "upstream"], "left_anti"), "walk")
         if pairs == 0:
             return found
         found = found.unionByName(frontier)
+
+
+def circles(edges: DataFrame) -> DataFrame:
+    """The tables of all products that depend on themselves.
+
+    Edges into tables without inputs, and edges out of tables that nobody reads, are taken away round by round until none is
+    left to take; what remains, usually nothing, are circles and the ways between them, and a table is in a circle if
+    it reaches itself there.
+    """
+    left, count = materialize_counted(edges.select("table", "upstream").distinct(), "peeled")
+    while count:
+        into = left.join(left.select(F.col("table").alias("upstream")).distinct(), "upstream", "left_semi")
+        both = into.join(into.select(F.col("upstream").alias("table")).distinct(), "table", "left_semi")
+        left, after = materialize_counted(both.select("table", "upstream"), "peeled")
+        if after == count:
+            break
+        count = after
+    return all_upstream(left).where(F.col("table") == F.col("upstream")).select("table", F.col("distance").alias("steps"))

@@ -1,7 +1,7 @@
 """A corpus of contracts derived from the customers, one product each, some of them deliberately broken.
 
-`MESH_SQL` gives the same corpus flat: p = products, t = tables, c = columns, r = rules (one row per rule
-column), s = partitions.
+`MESH_SQL` gives the same corpus flat: p = products, t = tables, c = columns, f = what is inside columns,
+r = rules (one row per rule column), s = partitions.
 """
 
 from __future__ import annotations
@@ -36,6 +36,13 @@ c AS (
          {_TYPES_SQL}[CAST((k + i + j) % 13 + 1 AS INTEGER)] AS ctype, (k + i + j) % 3 <> 0 AS nullable,
          (k + j) % 7 = 0 AS pii, CASE WHEN j = 1 THEN 'key' END AS cdesc, n <> 3 AS sized
   FROM t, range(1, 6) x(j) WHERE j <= m),
+f AS (
+  SELECT product, n, i, tname, cname AS parent, CASE WHEN n = 6 THEN 'x-y' ELSE 'x' END AS fname,
+         CASE WHEN n = 12 THEN 'varchar' ELSE 'decimal' END AS ftype, n <> 14 AS sized FROM c WHERE ctype = 'struct' AND n <> 4
+  UNION ALL SELECT product, n, i, tname, cname, 'element', CASE WHEN n = 16 THEN 'number' ELSE 'array' END, true FROM c
+            WHERE ctype IN ('array', 'map') AND n <> 20
+  UNION ALL SELECT product, n, i, tname, cname || '.element', 'element', 'string', true FROM c
+            WHERE ctype IN ('array', 'map') AND n NOT IN (20, 21)),
 r AS (
   SELECT product, n, i, tname, 'not_null' AS kind, 'c1' AS col, true AS complete, 1 AS pos FROM t
   UNION ALL SELECT product, n, i, tname, 'not_null', 'c2', true, 1 FROM t
@@ -99,13 +106,24 @@ def _table(i: int) -> str:
         "'column', if(c_nationkey = 8, 'c9', 'c1'), 'transform', if(c_nationkey = 9, 'week', 'month'),"
         " 'num_buckets', CAST(NULL AS int)",
     ][i]
+    field = lambda parent, name, kind, digits: (
+        f"named_struct('parent', {parent}, 'name', {name}, 'type', {kind}, 'precision', {digits}, 'scale', {digits})"
+    )
+    nested = f"""flatten(transform({columns}, c -> CASE
+        WHEN c.type = 'struct' AND c_nationkey <> 4 THEN array({field("c.name", "if(c_nationkey = 6, 'x-y', 'x')",
+            "if(c_nationkey = 12, 'varchar', 'decimal')", "if(c_nationkey <> 14, 18, NULL)")})
+        WHEN c.type IN ('array', 'map') AND c_nationkey <> 20 THEN concat(
+            array({field("c.name", "'element'", "if(c_nationkey = 16, 'number', 'array')", "0")}),
+            if(c_nationkey <> 21, array({field("concat(c.name, '.element')", "'element'", "'string'", "0")}), array()))
+        ELSE array() END))"""
     return f"""named_struct(
         'name', {name}, 'tier', '{TIERS[i]}', 'description', {description}, 'tags', array('tier:{TIERS[i]}'),
         'inputs', array({source}),
         'partitions', array(named_struct({partition}, 'width', CAST(NULL AS int))),
         'columns', {columns},
         'rules', array(named_struct('kind', 'not_null', 'columns', array('c1', 'c2'), {plain}),
-                       named_struct('kind', 'unique', 'columns', array('c1'), {plain}), {last}))"""
+                       named_struct('kind', 'unique', 'columns', array('c1'), {plain}), {last}),
+        'nested', {nested})"""
 
 
 def nation_contracts(nation: DataFrame) -> DataFrame:
@@ -120,6 +138,6 @@ def nation_contracts(nation: DataFrame) -> DataFrame:
         "CAST(array() AS array<string>) AS tags",
         f"""CAST(array(named_struct(
             'name', if(n_nationkey < 20, 'feed', 'other'), 'tier', 'bronze', 'description', CAST(NULL AS string),
-            'tags', array(), 'inputs', array(), 'partitions', array(), 'columns', array(), 'rules', array()
+            'tags', array(), 'inputs', array(), 'partitions', array(), 'columns', array(), 'rules', array(), 'nested', array()
         )) AS array<{TABLE_STRUCT}>) AS tables""",
     )

@@ -4,7 +4,7 @@ import pytest
 from plans import plan
 from pyspark.sql import functions as F
 
-from pactlake.contract import load_product
+from pactlake.contract import examine, load_product
 from pactlake.functions.expressions import display_name
 from pactlake.operators import governance as g
 from pactlake.queries.registry import CONTRACTS
@@ -95,8 +95,8 @@ def test_lint_finds_everything(spark):
     tables = [
         ("t", "gold", None, [], [], [("x", "week", None, None), ("a", "truncate", None, None)],
          [column("a"), column("a"), column("b-d"), column("n", "number"), column("d", "decimal", precision=1)],
-         [("odd", ["a"], []), ("min_value", ["a"], []), ("unique", [], []), ("not_null", ["zz"], [])]),
-        ("t", "gold", None, [], [], [("a", "bucket", None, None)], [], []),
+         [("odd", ["a"], []), ("min_value", ["a"], []), ("unique", [], []), ("not_null", ["zz"], [])], None),
+        ("t", "gold", None, [], [], [("a", "bucket", None, None)], [], [], []),
     ]
     contract = bad_contract(
         spark, tables, product="Bad-name", version="1.0", email="x", freshness_hours=0, availability_pct=101.0
@@ -115,6 +115,85 @@ def test_lint_finds_everything(spark):
     ])
 
 
+def test_lint_looks_inside_columns(spark):
+    columns = [column(n, k) for n, k in (("s", "struct"), ("a", "array"), ("m", "map"), ("e", "struct"), ("f", "array"))]
+    nested = [
+        ("s", "x", "decimal", 9, None), ("s", "y-z", "string", None, None), ("s", "in", "struct", None, None),
+        ("a", "element", "struct", None, None), ("a.element", "deep", "number", None, None), ("m", "element", "array", None, None),
+    ]
+    found = g.lint(bad_contract(spark, [("t", "gold", None, [], [], [], columns, [], nested)])).collect()
+    assert sorted((r.object, r.violation) for r in found) == [
+        ("a.element.deep", "unknown type"), ("e", "struct without fields"), ("f", "no element type"),
+        ("m.element", "no element type"), ("s.in", "struct without fields"), ("s.x", "decimal without precision and scale"),
+        ("s.y-z", "bad column name"),
+    ]
+
+
+def test_lint_finds_circles(spark):
+    def table(name, *inputs):
+        return (name, "gold", None, [], list(inputs), [], [column("a")], [], [])
+
+    tables = [table("a", "b"), table("b", "c", "p.b"), table("c", "a"), table("d", "a"), table("e"), table("f", "e", "elsewhere"), table("g", "g"), table("a0", None)]
+    found = g.lint(bad_contract(spark, tables)).collect()
+    assert sorted((r.table, r.violation) for r in found) == [(n, "reads itself in a circle") for n in "abcg"]
+
+
+SOUND = {"name": "id", "type": "long"}
+
+
+def broken(*changes):
+    """Paths in the contract document and what to put there; None takes the entry out."""
+    return changes
+
+
+@pytest.mark.parametrize("changes", [
+    broken(("name", "1a")), broken(("name", None)), broken(("version", "1")), broken(("owner", None)), broken(("owner", ["x"])), broken(("owner.team", "")),
+    broken(("owner.email", "me")), broken(("sla", None)), broken(("sla.freshness_hours", "24")), broken(("sla.freshness_hours", True)),
+    broken(("sla.availability_pct", "99")), broken(("sla.availability_pct", 101)), broken(("tables", [])), broken(("tables", {})), broken(("tables", ["t"])),
+    broken(("tables.0.tier", "iron")), broken(("tables.0.name", "a-b")), broken(("tables.1.name", "raw_events")), broken(("tables.0.schema", [])),
+    broken(("tables.0.schema.1.name", "event_id")), broken(("tables.0.schema.1.name", "a b")), broken(("tables.0.schema.1.type", "text")),
+    broken(("tables.0.schema.1.type", None)), broken(("tables.0.schema.1.type", "decimal")), broken(("tables.0.schema.1.type", "struct")),
+    broken(("tables.0.schema.1", {"name": "s", "type": "struct", "fields": [{"name": "x y", "type": "long"}]})),
+    broken(("tables.0.schema.1", {"name": "s", "type": "struct", "fields": [{"name": "x", "type": "struct"}]})),
+    broken(("tables.0.schema.1", {"name": "s", "type": "array", "element_type": "number"})),
+    broken(("tables.0.schema.1", {"name": "s", "type": "map", "element_type": "decimal"})),
+    broken(("tables.0.schema.1", {"name": "s", "type": "array", "element_type": "array"})),
+    broken(("tables.0.schema.1", {"name": "s", "type": "array", "element_type": {"type": "struct", "fields": []}})),
+    broken(("tables.0.schema.1", {"name": "s", "type": "array", "element_type": {"type": "array", "element_type": {"type": "decimal"}}})),
+    broken(("tables.0.partition_by.0.column", "zz")), broken(("tables.0.partition_by.0.transform", "week")), broken(("tables.0.partition_by.0.transform", "bucket")),
+    broken(("tables.0.partition_by.0", {"column": "ts", "transform": "truncate", "width": "4"})), broken(("tables.0.quality_rules", ["unique"])),
+    broken(("tables.0.quality_rules", [{"no_rule": ["ts"]}])), broken(("tables.0.quality_rules", [{"unique": ["zz"]}])), broken(("tables.0.quality_rules", [{"regex": ["props"]}])),
+    broken(("tables.0.quality_rules", [{"min_value": {"columns": ["value"], "min": None}}])), broken(("tables.0.quality_rules", [{"row_count_between": {}}])),
+    broken(("tables.0.quality_rules", [{"freshness_hours": 4}])), broken(("tables.0.inputs", ["days"])), broken(("tables.1.inputs", ["days"])),
+])
+def test_lint_agrees_with_the_loader(spark, document, changes):
+    assert examine(document)[1] == [] and g.lint(g.contracts_frame(spark, [examine(document)[0]])).isEmpty()
+    for path, value in changes:
+        *way, last = [int(x) if x.isdigit() else x for x in path.split(".")]
+        inner = document
+        for step in way:
+            inner = inner[step]
+        if value is None:
+            del inner[last]
+        else:
+            inner[last] = value
+    product, problems = examine(document)
+    assert problems and not g.lint(g.contracts_frame(spark, [product])).isEmpty()
+
+
+def test_sound_nested_columns_have_no_violations(spark, document):
+    document["tables"][0]["schema"] += [
+        {"name": "s", "type": "struct", "fields": [{"name": "x", "type": "decimal", "decimal_precision": 9, "decimal_scale": 2}, {"name": "y", "type": "struct", "fields": [SOUND]}]},
+        {"name": "a", "type": "array"}, {"name": "m", "type": "map", "element_type": "long"},
+        {"name": "b", "type": "array", "element_type": {"type": "array", "element_type": {"type": "struct", "fields": [SOUND]}}},
+    ]
+    product, problems = examine(document)
+    frame = g.contracts_frame(spark, [product])
+    assert problems == [] and g.lint(frame).collect() == []
+    paths = {f"{r.x.parent}.{r.x.name}" for r in frame.select(F.explode("tables").alias("t")).select(F.explode("t.nested").alias("x")).collect()}
+    assert paths == {"s.x", "s.y", "s.y.id", "a.element", "m.element", "b.element", "b.element.element", "b.element.element.id"}
+
+
 def test_lint_no_tables(spark):
     assert [r.violation for r in g.lint(bad_contract(spark, [])).collect()] == ["no tables"]
 
@@ -137,3 +216,40 @@ def test_upstream_with_cycle_and_shortest_distance(spark):
         ("d", "c"): 1, ("d", "b"): 1, ("d", "a"): 2, ("c", "b"): 1, ("c", "a"): 2, ("c", "c"): 3,
         ("b", "a"): 1, ("b", "c"): 2, ("b", "b"): 3, ("a", "c"): 1, ("a", "b"): 2, ("a", "a"): 3,
     }
+
+
+def test_a_chain_of_a_thousand_tables_takes_ten_rounds(spark, monkeypatch):
+    rounds = []
+    real = g.materialize
+    monkeypatch.setattr(g, "materialize", lambda df, purpose: rounds.append(purpose) or real(df, purpose))
+    edges = spark.range(1, 1000).selectExpr("concat('t', id) AS table", "concat('t', id - 1) AS upstream")
+    found = g.all_upstream(edges)
+    assert found.count() == 999 * 1000 // 2 and found.agg(F.max("distance")).first()[0] == 999
+    assert found.where("table = 't700' AND upstream = 't3'").first().distance == 697
+    assert len(rounds) <= 12
+
+
+def test_upstream_equals_a_plain_search(spark):
+    import random
+
+    rng = random.Random(5)
+    pairs = {(f"t{rng.randrange(40)}", f"t{rng.randrange(40)}") for _ in range(70)}
+    edges = spark.createDataFrame(sorted(pairs), "table string, upstream string")
+    expected = {}
+    for start in {a for a, _ in pairs}:
+        level, distance, seen = {start}, 0, {}
+        while level:
+            distance += 1
+            level = {b for a, b in pairs if a in level} - set(seen)
+            seen |= {b: distance for b in level}
+        expected |= {(start, b): d for b, d in seen.items()}
+    assert {(r.table, r.upstream): r.distance for r in g.all_upstream(edges).collect()} == expected
+    wanted = spark.createDataFrame([("t1",), ("t7",), ("t7",), ("nowhere",)], "table string")
+    found = {(r.table, r.upstream): r.distance for r in g.upstream_of(edges, wanted).collect()}
+    assert found == {k: d for k, d in expected.items() if k[0] in ("t1", "t7")}
+    assert {r.table: r.steps for r in g.circles(edges).collect()} == {a: d for (a, b), d in expected.items() if a == b}
+
+
+def test_circles_of_a_corpus_without_any(spark, corpus):
+    assert g.circles(g.lineage_edges(corpus)).isEmpty()
+    assert g.circles(spark.createDataFrame([], "table string, upstream string")).isEmpty()
