@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -113,6 +114,65 @@ def between(df: DataFrame, table: Table, column: str, low: Any, high: Any) -> Da
     return df.where(condition)
 
 
+#: What a predicate may say of a column.
+OPERATIONS = ("=", "<", "<=", ">", ">=", "in", "is null", "is not null")
+
+
+def matching(df: DataFrame, table: Table, predicates: Iterable[tuple]) -> DataFrame:
+    """Rows for which all predicates hold, each (column, operation[, value]), with what they imply for the partitions.
+
+    Of a column that the table is partitioned by, an equal value, a list of values and NULL carry over to every
+    transform; half-open ranges to those that keep order, which all but buckets do. So folders that cannot hold a matching row are
+    never listed, though the predicates say nothing of partitions. The predicates themselves still hold for every row.
+    """
+    for column, operation, *value in predicates:
+        df = df.where(_predicate(table, column, operation, *value))
+    return df
+
+
+def _predicate(table: Table, column: str, operation: str, value: Any = None) -> Column:
+    if operation not in OPERATIONS:
+        raise ValueError(f"unknown operation {operation!r}")
+    data_type = contract_schema(table)[column].dataType
+    literal = lambda v: timestamp_literal(v) if isinstance(data_type, T.TimestampNTZType) else F.lit(v).cast(data_type)
+    compared = {
+        "=": lambda c, v: c == v, "<": lambda c, v: c < v, "<=": lambda c, v: c <= v, ">": lambda c, v: c > v, ">=": lambda c, v: c >= v,
+    }
+    holds = lambda c, turned, within: (
+        c.isNull() if operation == "is null" else c.isNotNull() if operation == "is not null"
+        else c.isin(*[turned(v) for v in value]) if operation == "in" else compared[within](c, turned(value))
+    )
+    condition = holds(F.col(column), literal, operation)
+    for spec in table.partitions:
+        if spec.column != column or spec.transform == "identity":
+            continue
+        turned = lambda v, spec=spec: transform(spec, literal(v), data_type)
+        field = F.col(spec.field_name)
+        if operation == "is null":
+            # Every transform keeps NULL, but a bucket is the hash's.
+            condition &= field == transform(spec, F.lit(None).cast(data_type), data_type) if spec.transform == "bucket" else field.isNull()
+        elif operation in ("=", "in") or (spec.transform != "bucket" and operation != "is not null"):
+            # The bound's own period or prefix may hold rows on both sides of it.
+            condition &= holds(field, turned, {"<": "<=", ">": ">="}.get(operation, operation))
+    return condition
+
+
+def join_pruned(facts: DataFrame, table: Table, dimension: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """`facts` of a partitioned table joined to `dimension` on a column that partitions are made from.
+
+    The dimension's key is given the partitions' transforms and these are joined too. They change no result, but being partition
+    columns they let Spark skip the folders for which the filtered dimension has no row, at run time.
+    """
+    if how not in ("inner", "left_semi"):
+        raise ValueError(f"a {how} join needs all rows")
+    data_type, keys = contract_schema(table)[on].dataType, [on]
+    for spec in table.partitions:
+        if spec.column == on and spec.transform != "identity":
+            dimension = dimension.withColumn(spec.field_name, transform(spec, F.col(on), data_type))
+            keys.append(spec.field_name)
+    return facts.join(dimension, keys, how)
+
+
 def read_partitioned(spark, table: Table, location: str) -> DataFrame:
     return spark.read.schema(stored_schema(table)).parquet(location)
 

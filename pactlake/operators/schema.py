@@ -153,3 +153,71 @@ def schema_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
         )
     )
     return both.select(*keys, F.inline(changes))
+
+
+PATHS_SCHEMA = "product string, table string, path string, parent string, name string, type string, nullable boolean"
+
+
+def path_inventory(spark: SparkSession, product: str, table: str, schema: T.StructType) -> DataFrame:
+    """Every field of a schema at any depth by its path, the form `path_drift` compares. Elements of arrays are named
+    ``element``, keys and values of maps ``key`` and ``value``; a nested type is only called struct, array or map."""
+    rows: list[tuple] = []
+
+    def add(parent: str, name: str, kind: T.DataType, nullable: bool) -> None:
+        path = f"{parent}.{name}" if parent else name
+        inside = {"struct": T.StructType, "array": T.ArrayType, "map": T.MapType}
+        said = next((n for n, k in inside.items() if isinstance(kind, k)), kind.simpleString())
+        rows.append((product, table, path, parent, name, said, nullable))
+        if isinstance(kind, T.StructType):
+            for f in kind:
+                add(path, f.name, f.dataType, f.nullable)
+        elif isinstance(kind, T.ArrayType):
+            add(path, "element", kind.elementType, kind.containsNull)
+        elif isinstance(kind, T.MapType):
+            add(path, "key", kind.keyType, False)
+            add(path, "value", kind.valueType, kind.valueContainsNull)
+
+    for f in schema:
+        add("", f.name, f.dataType, f.nullable)
+    return spark.createDataFrame(rows, PATHS_SCHEMA)
+
+
+def path_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """A5 inside nested columns: (product, table, path, change, expected, actual) between two inventories of paths.
+
+    A change is told once, where it is: fields that came, went or lost their meaning with the struct, array or map
+    that they are in are not told again. A field that went from one place and came, of the same name and type, to one other of
+    its table has moved, `expected` and `actual` being its paths. Unknown nullability (NULL) is no change.
+    """
+    keys = ["product", "table", "path"]
+    facts = ["parent", "name", "type", "nullable"]
+    side = lambda df, s: df.select(*keys, F.struct(*facts).alias(s))
+    both = side(expected, "e").join(side(actual, "a"), keys, "full_outer")
+    e, a = F.col("e"), F.col("a")
+    word = lambda c: F.when(c, "nullable").otherwise("required")
+    none = F.lit(None).cast("string")
+    change = lambda name, old, new: F.struct(F.lit(name).alias("change"), old.alias("expected"), new.alias("actual"))
+    changes = F.array_compact(
+        F.array(
+            F.when(e.isNull(), change("added", none, a["type"])),
+            F.when(a.isNull(), change("removed", e["type"], none)),
+            F.when(e["type"] != a["type"], change("type", e["type"], a["type"])),
+            F.when(e["nullable"] != a["nullable"], change("nullability", word(e["nullable"]), word(a["nullable"]))),
+        )
+    )
+    named = [F.coalesce(e[f], a[f]).alias(f) for f in ("parent", "name")]
+    rows = both.where(F.size(changes) > 0).select(*keys, *named, F.inline(changes))
+    outer = rows.where(F.col("change") != "nullability").select("product", "table", F.col("path").alias("parent")).distinct()
+    told = rows.join(outer, ["product", "table", "parent"], "left_anti")
+    # A name and type that went once and came once.
+    like = ["product", "table", "name", "kind"]
+    moving = told.where(F.col("change").isin("added", "removed")).withColumn("kind", F.coalesce("expected", "actual"))
+    gone, came = F.col("change") == "removed", F.col("change") == "added"
+    moved = moving.groupBy(*like).agg(
+        F.count_if(gone).alias("gone"), F.count_if(came).alias("came"),
+        F.max(F.when(gone, F.col("path"))).alias("expected"), F.max(F.when(came, F.col("path"))).alias("actual"),
+    ).where("gone = 1 AND came = 1")
+    ends = moved.select("product", "table", F.explode(F.array("expected", "actual")).alias("path"))
+    out = [*keys, "change", "expected", "actual"]
+    still = told.where(~(gone | came)).select(*out).union(told.where(gone | came).join(ends, keys, "left_anti").select(*out))
+    return still.union(moved.select("product", "table", F.col("expected").alias("path"), F.lit("moved").alias("change"), "expected", "actual"))

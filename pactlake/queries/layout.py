@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Partition, Table
-from pactlake.operators.layout import add_partition_columns, between, read_partitioned, write_bucketed, write_partitioned
+from pactlake.operators.layout import (
+    add_partition_columns, between, join_pruned, matching, read_partitioned, write_bucketed, write_partitioned,
+)
 from pactlake.queries.registry import load, query
 from pactlake.session import fresh_folder
 
@@ -151,3 +154,51 @@ def bucketed_join_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("price"),
     )
+
+
+BY_DAY = Table("events", "bronze", EVENTS, partitions=(Partition("ts", "day"), Partition("user_id", "bucket", num_buckets=4)))
+
+
+def _events_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "by_day")
+    write_partitioned(load(spark, sf_dir, "events"), BY_DAY, folder)
+    return read_partitioned(spark, BY_DAY, folder)
+
+
+#: Predicates on the events, and the same as SQL.
+PREDICATES = (
+    ([("ts", "=", "2024-01-05 00:00:00")], "ts = TIMESTAMP '2024-01-05'"),
+    ([("ts", ">=", "2024-01-28 12:00:00")], "ts >= TIMESTAMP '2024-01-28 12:00:00'"),
+    ([("ts", "<", "2024-01-03 06:00:00"), ("user_id", "in", [1, 2, 3, 50])], "ts < TIMESTAMP '2024-01-03 06:00:00' AND user_id IN (1, 2, 3, 50)"),
+    ([("ts", ">", "2024-01-10 00:00:00"), ("ts", "<=", "2024-01-11 00:00:00")], "ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-11'"),
+    ([("user_id", "=", 7), ("ts", "is not null")], "user_id = 7"),
+    ([("user_id", "is null")], "user_id IS NULL"),
+)
+
+
+@query("\nUNION ALL\n".join(
+    f"SELECT {i} AS predicate, count(*) AS n, coalesce(sum(event_id), 0)::BIGINT AS ids FROM events WHERE {sql}" for i, (_, sql) in enumerate(PREDICATES)))
+def partition_predicates_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equality, lists, half-open ranges and NULL over days and buckets."""
+    events = _events_by_day(spark, sf_dir)
+    parts = [
+        matching(events, BY_DAY, predicates).agg(
+            F.lit(i).alias("predicate"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("event_id"), F.lit(0)).alias("ids")
+        )
+        for i, (predicates, _) in enumerate(PREDICATES)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("""
+SELECT o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS orders FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3 AND c_acctbal > 0) GROUP BY 1
+""")
+def partition_join_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders kept by customer bucket, read for the customers of a nation; only their buckets are."""
+    table = Table("orders", "bronze", ORDERS, partitions=(Partition("o_custkey", "bucket", num_buckets=64),))
+    folder = fresh_folder(spark, "by_customer")
+    write_partitioned(load(spark, sf_dir, "orders"), table, folder)
+    wanted = load(spark, sf_dir, "customer").where("c_nationkey = 3 AND c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
+    joined = join_pruned(read_partitioned(spark, table, folder), table, wanted, "o_custkey")
+    return joined.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("orders"))

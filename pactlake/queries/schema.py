@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Table
-from pactlake.operators.schema import cast_failures, conform, contract_schema, enforce_required, schema_drift
+from pactlake.operators.schema import cast_failures, conform, contract_schema, enforce_required, path_drift, schema_drift
 from pactlake.queries.mesh import MESH_SQL, contract_corpus
 from pactlake.queries.registry import contract, load, query
 
@@ -126,3 +126,37 @@ def schema_drift_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(nation % 3 == F.col("i"), F.col("c.nullable")).otherwise(True).alias("nullable"),
     )
     return schema_drift(expected, actual)
+
+
+@query("""
+WITH k AS (SELECT c_custkey % 6 AS v, 'c' || c_custkey AS "table" FROM customer)
+SELECT 'p' AS product, "table", 'order.price' AS path, 'type' AS change, 'decimal(9,2)' AS expected, 'double' AS actual FROM k WHERE v = 1
+UNION ALL SELECT 'p', "table", 'order.items.element.sku', 'moved', 'order.items.element.sku', 'order.sku' FROM k WHERE v = 2
+UNION ALL SELECT 'p', "table", 'order', 'removed', 'struct', NULL FROM k WHERE v = 3
+UNION ALL SELECT 'p', "table", 'note', 'type', 'string', 'struct' FROM k WHERE v = 4
+UNION ALL SELECT 'p', "table", 'order.id', 'nullability', 'required', 'nullable' FROM k WHERE v = 5
+""")
+def schema_drift_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: a table per customer with nested columns, each changed in one place."""
+    fields = [
+        ("order", "struct", True), ("order.id", "bigint", False), ("order.price", "decimal(9,2)", True), ("order.items", "array", True),
+        ("order.items.element", "struct", True), ("order.items.element.sku", "string", True), ("note", "string", True),
+    ]
+    entry = lambda path, kind, nullable: F.struct(
+        F.lit(path).alias("path"), F.lit(path.rpartition(".")[0]).alias("parent"), F.lit(path.rpartition(".")[2]).alias("name"),
+        F.lit(kind).alias("type"), F.lit(nullable).alias("nullable"),
+    )
+    way = F.col("c_custkey") % 6
+    keys = load(spark, sf_dir, "customer").select("c_custkey", F.lit("p").alias("product"), F.concat(F.lit("c"), "c_custkey").alias("table"))
+    expected = keys.select("product", "table", F.inline(F.array(*[entry(*f) for f in fields])))
+    changed = keys.select("product", "table", way.alias("way"), F.explode(F.array(*[entry(*f) for f in fields])).alias("f"))
+    path, at = F.col("f.path"), lambda w, p: (F.col("way") == w) & (path == p)
+    actual = changed.where(~at(2, "order.items.element.sku") & ~((F.col("way") == 3) & path.startswith("order"))).select(
+        "product", "table", path.alias("path"), "f.parent", "f.name",
+        F.when(at(1, "order.price"), "double").when(at(4, "note"), "struct").otherwise(F.col("f.type")).alias("type"),
+        F.when(at(5, "order.id"), True).otherwise(F.col("f.nullable")).alias("nullable"),
+    )
+    more = keys.withColumn("way", way).select(
+        "product", "table", F.when(F.col("way") == 2, entry("order.sku", "string", True)).when(F.col("way") == 4, entry("note.text", "string", True)).alias("f")
+    )
+    return path_drift(expected, actual.union(more.where("f IS NOT NULL").select("product", "table", "f.*")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Partition, Table
 from pactlake.operators.layout import (
-    add_partition_columns, between, read_partitioned, stored_schema, write_bucketed, write_partitioned,
+    add_partition_columns, between, join_pruned, matching, read_partitioned, stored_schema, write_bucketed, write_partitioned,
 )
 
 COLUMNS = (Column("id", "long", False), Column("name", "string"), Column("at", "timestamp"))
@@ -103,3 +103,55 @@ def test_bucketed_tables_join_without_shuffle(spark, data, tmp_path):
         assert joined.count() == 2000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+DAILY = Table(
+    "t", "bronze", (Column("id", "long"), Column("at", "timestamp"), Column("name", "string"), Column("n", "integer")),
+    partitions=(Partition("at", "day"), Partition("id", "bucket", num_buckets=4), Partition("name", "truncate", width=1), Partition("n", "truncate", width=10)),
+)
+
+
+@pytest.fixture(scope="module")
+def daily(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("daily") / "t")
+    df = spark.range(60).selectExpr(
+        "IF(id % 20 = 7, NULL, id) AS id", "IF(id % 15 = 2, NULL, TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, id * 3)) AS at",
+        "IF(id % 12 = 5, NULL, concat(char(97 + id % 5), id)) AS name", "CAST(id - 25 AS int) AS n",
+    )
+    write_partitioned(df, DAILY, path)
+    return read_partitioned(spark, DAILY, path)
+
+
+@pytest.mark.parametrize("predicate, field", [
+    (("at", "=", "2024-01-02 03:00:00"), "__p_at_day"), (("at", "in", ["2024-01-02 03:00:00", "2024-01-04 00:00:00"]), "__p_at_day"),
+    (("at", "<", "2024-01-03 00:00:00"), "__p_at_day"), (("at", "<=", "2024-01-03 00:00:00"), "__p_at_day"), (("at", ">", "2024-01-03 21:00:00"), "__p_at_day"),
+    (("at", ">=", "2024-01-03 21:00:00"), "__p_at_day"), (("at", "is null"), "__p_at_day"), (("id", "=", 11), "__p_id_bucket"),
+    (("id", "in", [11, 12, 58]), "__p_id_bucket"), (("id", "is null"), "__p_id_bucket"), (("name", ">=", "d13"), "__p_name_truncate"),
+    (("name", "<", "b"), "__p_name_truncate"), (("name", "=", "a10"), "__p_name_truncate"), (("n", "<", -11), "__p_n_truncate"), (("n", ">", 18), "__p_n_truncate"),
+])
+def test_predicates_reach_the_partitions(daily, predicate, field):
+    column, operation, *value = predicate
+    typed = (f"TIMESTAMP_NTZ '{v}'" if column == "at" else repr(v) for v in (value[0] if operation == "in" else value))
+    sql = f"{column} {operation} ({', '.join(typed)})" if operation == "in" else " ".join([column, operation, *typed])
+    found = matching(daily, DAILY, [predicate])
+    key = lambda rows: sorted(map(str, rows))
+    assert key(found.collect()) == key(daily.where(sql).collect()) != []
+    assert field in plan(found).split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_predicates_that_say_nothing_of_partitions(daily):
+    assert matching(daily, DAILY, [("id", ">", 50), ("id", "is not null")]).count() == 9
+    assert "__p_id_bucket" not in plan(matching(daily, DAILY, [("id", ">", 50)])).split("PartitionFilters")[1].split("PushedFilters")[0]
+    with pytest.raises(ValueError, match="unknown operation"):
+        matching(daily, DAILY, [("id", "like", "a")])
+
+
+def test_a_dimension_prunes_the_facts(spark, daily, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(60).selectExpr("id", "id % 30 AS kind").write.parquet(path)
+    wanted = spark.read.parquet(path).where("kind = 4").select("id")
+    found = join_pruned(daily, DAILY, wanted, "id")
+    assert sorted(r.id for r in found.collect()) == [4, 34] and "dynamicpruning" in plan(found).lower()
+    assert "id" in found.columns and found.columns.count("__p_id_bucket") == 1
+    with pytest.raises(ValueError, match="all rows"):
+        join_pruned(daily, DAILY, wanted, "id", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from pactlake.contract import Column, Table
 from pactlake.operators.schema import (
-    cast_failures, conform, contract_schema, enforce_required, inventory, schema_drift,
+    cast_failures, conform, contract_schema, enforce_required, inventory, path_drift, path_inventory, schema_drift,
 )
 
 WIDE = Table(
@@ -86,3 +86,20 @@ def test_drift_ignores_unknown_nullability(spark):
     known = inventory(spark, "p", "t", schema)
     unknown = known.withColumn("nullable", F.lit(None).cast("boolean"))
     assert schema_drift(known, unknown).isEmpty()
+
+
+def test_drift_inside_columns(spark):
+    old = "id bigint, who struct<name: string, home: struct<city: string, zip: int>>, tags array<string>, marks map<string, struct<n: int>>, gone struct<a: int, b: int>"
+    new = "id bigint, who struct<name: string, home: struct<city: string, zip: string>>, tags array<int>, marks map<string, struct<n: int, m: int>>, city struct<x: int>, new struct<a: string>"
+    paths = lambda ddl: path_inventory(spark, "p", "t", T.StructType.fromDDL(ddl))
+    got = {(r.path, r.change, r.expected, r.actual) for r in path_drift(paths(old), paths(new)).collect()}
+    assert got == {
+        ("who.home.zip", "type", "int", "string"), ("tags.element", "type", "string", "int"), ("marks.value.m", "added", None, "int"),
+        ("gone", "removed", "struct", None), ("city", "added", None, "struct"), ("new", "added", None, "struct"),
+    }
+    assert path_drift(paths(old), paths(old)).isEmpty()
+    moved = "id bigint, who struct<name: string>, home struct<city: string, zip: int>, tags array<string>, marks map<string, struct<n: int>>, gone struct<a: int>"
+    got = {(r.path, r.change, r.expected, r.actual) for r in path_drift(paths(old), paths(moved)).collect()}
+    assert got == {("who.home", "moved", "who.home", "home"), ("gone.b", "removed", "int", None)}
+    retyped = old.replace("struct<name: string, home: struct<city: string, zip: int>>", "string")
+    assert [(r.path, r.change) for r in path_drift(paths(old), paths(retyped)).collect()] == [("who", "type")]
