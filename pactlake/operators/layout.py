@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pactlake.contract import Partition, Table
 from pactlake.functions.expressions import timestamp_literal
+from pactlake.functions.skew import ROWS_PER_TASK, heaviest, skew_join
 from pactlake.operators.schema import contract_schema
+from pactlake.session import materialize
 
 TIME_TRANSFORMS = ("year", "month", "day", "hour")
 
@@ -182,8 +185,57 @@ def write_bucketed(df: DataFrame, name: str, spec: Partition, location: str) ->
 
     Rebalancing on the key keeps the files per bucket few and still splits an oversized bucket over
     several tasks when writing. A bucketed join reads a bucket in one task, though: for a key with a
-    value owning much of the table use `functions.skew.skew_join` on unbucketed tables.
+    value owning much of the table use `write_hybrid`.
     """
     clustered = df.hint("rebalance", spec.num_buckets, spec.column)
     writer = clustered.write.mode("errorifexists").format("parquet").option("path", location)
     writer.bucketBy(spec.num_buckets, spec.column).sortBy(spec.column).saveAsTable(name)
+
+
+@dataclass(frozen=True)
+class Hybrid:
+    """Two catalog tables that are one: `rest`, bucketed and sorted by `key`, and `aside`, the rows of keys that are too
+    frequent for a bucket, and those without a key."""
+
+    rest: str
+    aside: str
+    key: str
+    buckets: int
+
+
+def write_hybrid(df: DataFrame, name: str, key: str, location: str, buckets: int | None = None, rows_per_task: int = ROWS_PER_TASK) -> Hybrid:
+    """A table bucketed for joins in place, whatever its keys are like.
+
+    The number of buckets comes from the rows, a power of two of about `rows_per_task` each, so that tables of different
+    size still divide evenly; `buckets` sets it, to that of a table to be joined with. Keys with more rows than a task should get are
+    counted first, of which there can be but few, and are kept aside unbucketed.
+    """
+    counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("count")), "keys")
+    heavy = F.broadcast(heaviest(counts.where(F.col(key).isNotNull()), rows_per_task=rows_per_task).select(key))
+    if buckets is None:
+        rows = counts.agg(F.sum("count")).first()[0] or 0
+        buckets = 1 << max(0, (-(-rows // rows_per_task) - 1).bit_length())
+    rest = df.where(F.col(key).isNotNull()).join(heavy, key, "left_anti").select(*df.columns)
+    aside = df.join(heavy, key, "left_semi").unionByName(df.where(F.col(key).isNull())).select(*df.columns)
+    write_bucketed(rest, name, Partition(key, "bucket", num_buckets=buckets), f"{location}/rest")
+    aside.write.mode("errorifexists").format("parquet").option("path", f"{location}/aside").saveAsTable(f"{name}_aside")
+    return Hybrid(name, f"{name}_aside", key, buckets)
+
+
+def join_hybrid(spark: SparkSession, left: Hybrid, right: Hybrid, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The inner join of two hybrid tables on their key, which must have one name; other columns must differ.
+
+    Bucket meets bucket in place, without a shuffle. A key that is aside in either table meets the other's rows of that
+    key in a salted join, which reads of the other's buckets no more than those rows.
+    """
+    if left.key != right.key:
+        raise ValueError(f"keys {left.key} and {right.key} differ")
+    key = left.key
+    l_rest, l_aside, r_rest, r_aside = (spark.table(t).where(F.col(key).isNotNull()) for t in (left.rest, left.aside, right.rest, right.aside))
+    columns = [key, *[c for c in l_rest.columns if c != key], *[c for c in r_rest.columns if c != key]]
+    in_place = l_rest.join(r_rest, key)
+    # At most rows / rows_per_task keys are aside.
+    only = lambda rows, aside: rows.join(F.broadcast(aside.select(key).distinct()), key, "left_semi")
+    left_hot = skew_join(l_aside, only(r_rest, l_aside).unionByName(r_aside), [key], "inner", rows_per_task)
+    right_hot = skew_join(r_aside, only(l_rest, r_aside), [key], "inner", rows_per_task)
+    return in_place.select(*columns).unionByName(left_hot.select(*columns)).unionByName(right_hot.select(*columns))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Partition, Table
 from pactlake.operators.layout import (
-    add_partition_columns, between, join_pruned, matching, read_partitioned, write_bucketed, write_partitioned,
+    add_partition_columns, between, join_hybrid, join_pruned, matching, read_partitioned, write_bucketed, write_hybrid,
+    write_partitioned,
 )
 from pactlake.queries.registry import load, query
 from pactlake.session import fresh_folder
@@ -202,3 +203,22 @@ def partition_join_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = load(spark, sf_dir, "customer").where("c_nationkey = 3 AND c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
     joined = join_pruned(read_partitioned(spark, table, folder), table, wanted, "o_custkey")
     return joined.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("orders"))
+
+
+@query("""
+WITH o AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN 0 WHEN o_custkey % 50 <> 1 THEN o_custkey END AS k, o_orderkey FROM orders),
+c AS (SELECT c_custkey AS k, c_nationkey FROM customer UNION ALL SELECT c_custkey % 7, c_nationkey FROM customer WHERE c_custkey < 40)
+SELECT c_nationkey, count(*) AS n, sum(o_orderkey)::BIGINT AS orders FROM o JOIN c USING (k) GROUP BY 1
+""")
+def bucketed_hybrid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the orders have one customer, some none, and some customers are delivered several times."""
+    folder, name, key = fresh_folder(spark, "hybrid"), f"hybrid_{uuid.uuid4().hex[:12]}", F.col("o_custkey")
+    orders, customers = load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer")
+    hot = F.when(key % 3 == 0, F.lit(0).cast("long")).when(key % 50 != 1, key)
+    again = customers.where("c_custkey < 40").select((F.col("c_custkey") % 7).alias("k"), "c_nationkey")
+    share = 1000
+    left = write_hybrid(orders.select(hot.alias("k"), "o_orderkey"), f"{name}_o", "k", f"{folder}/o", rows_per_task=share)
+    right = customers.select(F.col("c_custkey").alias("k"), "c_nationkey").unionAll(again)
+    right = write_hybrid(right, f"{name}_c", "k", f"{folder}/c", left.buckets, share)
+    joined = join_hybrid(spark, left, right, share)
+    return joined.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("orders"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from plans import plan
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pactlake.contract import Column, Partition, Table
 from pactlake.operators.layout import (
-    add_partition_columns, between, join_pruned, matching, read_partitioned, stored_schema, write_bucketed, write_partitioned,
+    add_partition_columns, between, join_hybrid, join_pruned, matching, read_partitioned, stored_schema, write_bucketed,
+    write_hybrid, write_partitioned,
 )
 
 COLUMNS = (Column("id", "long", False), Column("name", "string"), Column("at", "timestamp"))
@@ -155,3 +157,29 @@ def test_a_dimension_prunes_the_facts(spark, daily, tmp_path):
     assert "id" in found.columns and found.columns.count("__p_id_bucket") == 1
     with pytest.raises(ValueError, match="all rows"):
         join_pruned(daily, DAILY, wanted, "id", "left")
+
+
+@pytest.mark.parametrize("left_hot, right_hot", [(True, False), (False, True), (True, True), (False, False)])
+def test_hybrid_join(spark, tmp_path, left_hot, right_hot):
+    name = f"hybrid_{left_hot}_{right_hot}".lower()
+    hot = lambda n: f"IF(id % 3 = 0 AND {n}, 5, IF(id % 29 = 0, NULL, id % 40)) AS k"
+    left, right = spark.range(600).selectExpr(hot(left_hot), "id AS l"), spark.range(200).selectExpr(hot(right_hot), "id AS r")
+    one = write_hybrid(left, f"{name}_l", "k", str(tmp_path / "l"), rows_per_task=60)
+    two = write_hybrid(right, f"{name}_r", "k", str(tmp_path / "r"), one.buckets, rows_per_task=60)
+    assert one.buckets == two.buckets == 16
+    assert spark.table(one.rest).where("k IS NULL").isEmpty()
+    assert spark.table(one.rest).groupBy("k").count().agg(F.max("count")).first()[0] <= 60
+    assert {r.k for r in spark.table(one.aside).select("k").distinct().collect()} == ({5, None} if left_hot else {None})
+    joined = join_hybrid(spark, one, two, 60)
+    assert joined.columns == ["k", "l", "r"]
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        in_place = plan(spark.table(one.rest).join(spark.table(two.rest), "k"))
+        assert "Exchange" not in in_place and "SortMergeJoin" in in_place
+    finally:
+        spark.conf.set(threshold, before)
+    with pytest.raises(ValueError, match="differ"):
+        join_hybrid(spark, one, replace(two, key="r"))
