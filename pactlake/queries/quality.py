@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlake.contract import EMAIL_PATTERN, Column, Partition, Rule, Table
-from pactlake.operators.quality import BROKEN, mark_broken, quarantine, run_suite, verdict
+from pactlake.operators.quality import BROKEN, mark_broken, run_suite, verdict
 from pactlake.operators.schema import conform
 from pactlake.plans.validation import run_suite_incremental, unseen_layers
 from pactlake.queries.registry import AS_OF, EVENTS_AS_OF, contract, load, private_copy, query
@@ -241,10 +241,11 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_returnflag, big OR dup AS rejected, count(*) AS n FROM m GROUP BY 1, 2
 """)
 def dq_quarantine_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good and bad rows, with many repeated keys."""
-    good, bad = quarantine(_lines(spark, sf_dir), LINES)
-    both = good.withColumn("rejected", F.lit(False)).unionByName(bad.drop(BROKEN).withColumn("rejected", F.lit(True)))
-    return both.groupBy("l_returnflag", "rejected").agg(F.count(F.lit(1)).alias("n"))
+    """Good and bad rows, with many repeated keys; marked once and stored, both sides read back."""
+    folder = fresh_folder(spark, "quarantine")
+    write_quarantine(_lines(spark, sf_dir), LINES, folder)
+    sides = [read_quarantine(spark, folder, rejected).withColumn("rejected", F.lit(rejected)) for rejected in (False, True)]
+    return sides[0].unionByName(sides[1]).groupBy("l_returnflag", "rejected").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(LINES_SQL + """
