@@ -43,52 +43,83 @@ class Lookup:
 
 
 class Pieces:
-    """Arrays of numbers by 64-bit key, added to over time; looked up and put together for whole arrays of keys."""
+    """Arrays of numbers by a pair of 64-bit keys, looked up and put together for whole arrays of keys.
 
-    def __init__(self, bits: int = 16):
-        self._mask = (1 << bits) - 1
-        self._keys, self._rows = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
-        self.starts, self.counts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    Both keys must agree, so that a piece is told from others by 128 bits. What is kept is bounded by `limit` bytes: when they
+    are full no more is kept, until so many are missed that all is forgotten and begun anew.
+    """
+
+    def __init__(self, limit: int):
+        self._limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        self._mask, self._count, self._used, self._full = (1 << 12) - 1, 0, 0, False
+        self._rows = np.full(self._mask + 1, -1, np.int32)
+        self._keys, self._checks = np.zeros(1 << 10, np.uint64), np.zeros(1 << 10, np.uint64)
+        self._starts, self._flat = np.zeros((1 << 10) + 1, np.int64), np.zeros(1 << 12, np.uint32)
 
     def __len__(self) -> int:
-        return len(self.starts)
+        return self._count
+
+    @property
+    def full(self) -> bool:
+        """Whether something could not be kept."""
+        return self._full
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The row of each key, -1 where it is not known."""
+    @property
+    def bytes(self) -> int:
+        return sum(x.nbytes for x in (self._rows, self._keys, self._checks, self._starts, self._flat))
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The row of each pair of keys, -1 where it is not known."""
         out = np.full(len(keys), -1, np.int32)
         left, slot = np.arange(len(keys)), (keys & np.uint64(self._mask)).astype(np.int64)
         while len(left):
             rows = self._rows[slot]
-            hit = (self._keys[slot] == keys[left]) & (rows >= 0)
+            hit = (self._keys[rows] == keys[left]) & (self._checks[rows] == checks[left]) & (rows >= 0)
             out[left[hit]] = rows[hit]
             go_on = ~hit & (rows >= 0)
             left, slot = left[go_on], (slot[go_on] + 1) & self._mask
         return out
 
-    def add(self, keys: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
-        """Keys that are not known yet, without repeats, how many numbers each has, and the numbers end to end."""
-        if 2 * (len(self) + len(keys)) > self._mask:
-            known = self._keys[self._rows >= 0], self._rows[self._rows >= 0]
-            bits = int(np.ceil(np.log2(4 * (len(self) + len(keys)))))
-            self._mask = (1 << bits) - 1
-            self._keys, self._rows = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
-            self._insert(*known)
-        self._insert(keys, np.arange(len(self), len(self) + len(keys), dtype=np.int32))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def _insert(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        slot = (keys & np.uint64(self._mask)).astype(np.int64)
-        while len(keys):
+    def add(self, keys: np.ndarray, checks: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        """Pairs of keys that are not known yet, without repeats, how many numbers each has, and the numbers end to end."""
+        upto = np.cumsum(counts)
+        fit = min(self._limit // 96 - self._count, int(np.searchsorted(upto, self._limit // 8 - self._used, side="right")))
+        self._full |= fit < len(keys)
+        keys, checks, counts = keys[:fit], checks[:fit], counts[:fit]
+        flat = flat[: int(upto[fit - 1]) if fit else 0]
+        begin, end = self._count, self._count + len(keys)
+        self._keys, self._checks = _grown(self._keys, end), _grown(self._checks, end)
+        self._starts, self._flat = _grown(self._starts, end + 1), _grown(self._flat, self._used + len(flat))
+        self._keys[begin:end], self._checks[begin:end] = keys, checks
+        self._starts[begin + 1 : end + 1] = self._used + np.cumsum(counts)
+        self._flat[self._used : self._used + len(flat)] = flat
+        self._count, self._used = end, self._used + len(flat)
+        if 2 * end > self._mask:
+            self._mask = (1 << int(np.ceil(np.log2(4 * end)))) - 1
+            self._rows, begin = np.full(self._mask + 1, -1, np.int32), 0
+        self._insert(np.arange(begin, end, dtype=np.int32))
+
+    def _insert(self, rows: np.ndarray) -> None:
+        slot = (self._keys[rows] & np.uint64(self._mask)).astype(np.int64)
+        while len(rows):
             free = np.flatnonzero(self._rows[slot] < 0)
             chosen = free[np.unique(slot[free], return_index=True)[1]]
-            self._rows[slot[chosen]], self._keys[slot[chosen]] = rows[chosen], keys[chosen]
+            self._rows[slot[chosen]] = rows[chosen]
             missed = self._rows[slot] != rows
-            keys, rows, slot = keys[missed], rows[missed], (slot[missed] + 1) & self._mask
+            rows, slot = rows[missed], (slot[missed] + 1) & self._mask
 
-    def joined(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the given rows end to end, and where each row's end."""
-        counts = self.counts[rows]
-        upto = np.cumsum(counts)
-        return self.flat[np.repeat(self.starts[rows] - (upto - counts), counts) + np.arange(int(upto[-1]) if len(upto) else 0)], upto
+    def kept(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each row's numbers begin (one entry more than rows), and all numbers end to end."""
+        return self._starts[: self._count + 1], self._flat[: self._used]
+
+
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy of at least twice its size where it is too small."""
+    if size <= len(values):
+        return values
+    out = np.zeros(max(size, 2 * len(values)), values.dtype)
+    out[: len(values)] = values
+    return out

@@ -32,11 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactlake.llm.hashing import blanks, span_hashes, utf8
+from pactlake.llm.hashing import blanks, mix, parts, span_hashes, utf8
 from pactlake.llm.lookup import Pieces
 from pactlake.llm.scratch import Scratch
 from pactlake.llm.shipping import ship
-from pactlake.session import shared_folder
+from pactlake.session import fresh_folder
 
 SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _ENTRY, _FOOTER = struct.Struct("<III"), struct.Struct("<IBI")
@@ -58,16 +58,20 @@ _SUSPECT[[*range(9), *range(14, 32), 127, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-#: Pieces whose ids a worker keeps.
-_KEPT_PIECES = 2_000_000
+#: Bytes in which a worker keeps the ids of pieces.
+_KEPT_BYTES = 48 << 20
+#: The share of a batch's pieces that may be unknown, when no more can be kept, before those that are kept are thought to
+#: be of other texts.
+_MISSED = 0.5
 
 
 class Encoder:
-    """Texts to arrays of ids with the tokenizers library; strings of special tokens in a text are ordinary text.
+    """Texts to arrays of ids as the tokenizers library gives them, a special token's string in a text being that token.
 
     A byte-level tokenizer cuts a text into words before anything else, and always where white space follows
     something else and where a mark follows a letter. So the ids of a text are those of its pieces between such places,
-    and a worker tokenizes a piece once. Texts with unusual white space, and other tokenizers, are tokenized whole.
+    and a worker tokenizes a piece once and knows it again by 128 bits of hash. Texts with unusual white space or with the
+    string of a special token, and other tokenizers, are tokenized whole.
     """
 
     def __init__(self, tokenizer: str):
@@ -75,14 +79,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(tokenizer)
-        self._model.encode_special_tokens = True
         made = json.loads(self._model.to_str())
         cut = made.get("pre_tokenizer") or {}
         self.in_pieces = (
             cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
             and not made.get("normalizer") and not made.get("truncation") and not made.get("padding")
         )
-        self._known = Pieces()
+        self._added = [x["content"] for x in made.get("added_tokens", [])]
+        self._known = Pieces(_KEPT_BYTES)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u4") for x in self._model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,7 +95,8 @@ class Encoder:
         if not self.in_pieces:
             return self.whole(texts)
         data, offsets = utf8(pa.array(texts, pa.string()))
-        odd = np.unique(np.searchsorted(offsets, _odd_places(data), side="right") - 1)
+        special = [i for i, text in enumerate(texts) if any(x in text for x in self._added)]
+        odd = np.union1d(np.searchsorted(offsets, _odd_places(data), side="right") - 1, np.array(special, np.int64))
         out = self._pieced(data, offsets)
         for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
             out[i] = ids
@@ -106,21 +111,26 @@ class Encoder:
         first[offsets[:-1][np.diff(offsets) > 0]] = True
         begins = np.flatnonzero(first)
         ends = np.append(begins[1:], len(data))
-        keys = span_hashes(data, begins, ends)
-        if len(self._known) > _KEPT_PIECES:
-            self._known = Pieces()
-        rows = self._known.find(keys)
+        keys, checks = span_hashes(data, begins, ends), span_hashes(data, begins, ends, 1)
+        rows = self._known.find(keys, checks).astype(np.int64)
         unknown = np.flatnonzero(rows < 0)
+        starts, flat = self._known.kept()
         if len(unknown):
-            new, one = np.unique(keys[unknown], return_index=True)
+            _, one, which = np.unique(keys[unknown] ^ mix(checks[unknown]), return_index=True, return_inverse=True)
             at, raw = unknown[one], data.tobytes()
             # A text whose bytes make no text when cut is an odd one, and is tokenized whole.
             said = [raw[b:e].decode(errors="replace") for b, e in zip(begins[at].tolist(), ends[at].tolist(), strict=True)]
             found = [x.ids for x in self._model.encode_batch_fast(said, add_special_tokens=False)]
             counts = np.fromiter(map(len, found), np.int64, len(found))
-            self._known.add(new, counts, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())))
-            rows[unknown] = self._known.find(keys[unknown])
-        ids, upto = self._known.joined(rows)
+            new = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
+            rows[unknown] = len(starts) - 1 + which
+            starts, flat = np.concatenate([starts, starts[-1] + np.cumsum(counts)]), np.concatenate([flat, new])
+            if self._known.full and len(unknown) > _MISSED * len(rows):
+                self._known.forget()
+            self._known.add(keys[at], checks[at], counts, new)
+        counts = starts[rows + 1] - starts[rows]
+        upto = np.cumsum(counts)
+        ids = flat[np.repeat(starts[rows] - (upto - counts), counts) + np.arange(upto[-1])]
         cuts = np.concatenate([[0], upto])[np.searchsorted(begins, offsets)]
         return [ids[a:b].astype("<u4") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
@@ -151,8 +161,7 @@ def frames(documents: DataFrame, tokenizer: str, end_id: int, level: int = 3) ->
 
         ids_of, compressor, end = encoder(tokenizer), zstandard.ZstdCompressor(level=level), np.array([end_id], "<u4")
         for whole in batches:
-            for begin in range(0, whole.num_rows, 1000):
-                batch = whole.slice(begin, 1000)
+            for batch in parts(whole, 1, 1000, 1 << 20):
                 raw = [np.concatenate([ids, end]).tobytes() for ids in ids_of(batch.column(1).fill_null("").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -284,4 +293,4 @@ def _read(manifest: DataFrame, column: str, value, kind: pa.DataType) -> DataFra
 
 
 def fresh_token_folder(spark) -> str:
-    return f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    return fresh_folder(spark, "token-files")
