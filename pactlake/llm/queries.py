@@ -229,11 +229,73 @@ def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(manifest)
 
 
-@query()
+def _sql_distance(p: str, q: str) -> str:
+    """Jensen-Shannon distance of two lists."""
+    term = lambda x, y: f"CASE WHEN {x} > 0 THEN {x} * log2({x} / (({x} + {y}) / 2)) ELSE 0 END"
+    parts = f"list_transform(list_zip({p}, {q}), lambda z: ({term('z[1]', 'z[2]')} + {term('z[2]', 'z[1]')}) / 2)"
+    return f"sqrt(greatest(0, least(1, list_sum({parts}))))"
+
+
+def _sql_rules() -> str:
+    from pactlake.llm.rules import (
+        BASE_REPEAT_PERCENT, BASE_WORDS, CLASSES, COMMON, LEAST_SHARE, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MIN_WORDS, SYMBOLS,
+    )
+
+    counts = [f"len(regexp_extract_all(text, '{c}'))" for c in CLASSES]
+    limit = lambda pair: f"{pair[0]} + {pair[1]} / sqrt(n)"
+    return rf"""WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS language, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents
+    ), windows AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS often
+        FROM (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d), LATERAL (SELECT w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x)
+    ), repeats AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, range(3) t(k) WHERE often > 1 GROUP BY doc_id
+    ), lines AS (
+        SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+        WHERE regexp_matches(line, '{WORDS}') GROUP BY doc_id
+    ), classed AS (
+        SELECT *, list_append(c, length(text) - list_sum(c)) AS classes FROM (SELECT *, [{", ".join(counts)}] AS c FROM d)
+    ), reference AS (
+        SELECT language, list(s / whole ORDER BY k) AS r FROM (
+            SELECT language, k, sum(n) AS s, greatest(sum(sum(n)) OVER (PARTITION BY language), 1) AS whole
+            FROM (SELECT language, unnest(classes) AS n, generate_subscripts(classes, 1) AS k FROM classed) GROUP BY language, k
+        ) GROUP BY language
+    ), spoken AS (
+        SELECT language, word, count(*) AS n, sum(count(*)) OVER (PARTITION BY language) AS whole
+        FROM (SELECT language, unnest(regexp_extract_all(lower(text), '{WORDS}')) AS word FROM d) GROUP BY language, word
+    ), common AS (
+        SELECT language, word, n / whole AS share, row_number() OVER (PARTITION BY language ORDER BY n DESC, word) AS k
+        FROM spoken WHERE n >= whole * {LEAST_SHARE} QUALIFY k <= {COMMON}
+    ), known AS (
+        SELECT language, list_append(list(share ORDER BY k), greatest(0, 1 - sum(share))) AS shares, list(word ORDER BY k) AS words FROM common GROUP BY language
+    ), measured AS (
+        SELECT c.doc_id, len(w)::BIGINT AS n_words, list_sum(list_transform(w, lambda x: length(x))) AS word_chars,
+            len(regexp_extract_all(text, '{SYMBOLS}'))::BIGINT AS n_symbols, coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+            greatest(len(w), 1) AS n, list_transform(classes, lambda x: x / greatest(length(text), 1)) AS mine, reference.r AS theirs,
+            coalesce(shares, [1.0]) AS shares,
+            list_transform(coalesce(words, []), lambda x: len(list_filter(list_transform(w, lambda y: lower(y)), lambda y: y = x))) AS found
+        FROM classed c JOIN reference USING (language) LEFT JOIN known USING (language)
+            LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)
+    ), distances AS (
+        SELECT *, {_sql_distance("mine", "theirs")} AS class_distance,
+            {_sql_distance("list_append(list_transform(found, lambda x: x / n), (n_words - coalesce(list_sum(found), 0)) / n)", "shares")} AS word_distance,
+            n_words < {BASE_WORDS} OR 100 * n_repeat_words > {BASE_REPEAT_PERCENT} * n_words AS base_failed
+        FROM measured
+    )
+    SELECT doc_id, n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND (n_words < {MIN_WORDS} OR (class_distance <= {limit(MAX_CLASS_DISTANCE)} AND word_distance <= {limit(MAX_WORD_DISTANCE)})) AS kept,
+        round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance
+    FROM distances"""
+
+
+@query(_sql_rules())
 def op8_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
     from pactlake.llm.rules import judge
 
-    return judge(table(spark, sf_dir, "documents"))
+    rounded = {c: F.round(c, 6) for c in ("class_distance", "word_distance")}
+    return judge(table(spark, sf_dir, "documents")).withColumns(rounded)
 
 
 @query()

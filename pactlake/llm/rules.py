@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from pactlake.llm.scratch import Scratch
 
+BLANKS = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 #: Character classes in the order of the histogram; what is in none is the last bin.
 CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{N}", r"[\x20\x09-\x0D]", r"[.,;:!?]", SYMBOLS)
+BLANK, SYMBOL = 3, 5
 #: Common words of a language, the least share of its words that one must have, and buckets of the first count.
 COMMON, LEAST_SHARE, BUCKETS = 32, 0.002, 4096
 #: Words from which histograms are judged.
@@ -32,42 +34,38 @@ BASE_WORDS, BASE_REPEAT_PERCENT = 50, 50
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
-
-
-def windows_of_three(listed: Column) -> Column:
-    """Hashes of all windows of three words."""
-    return F.when(
-        F.size(listed) >= 3,
-        F.transform(F.sequence(F.lit(1), F.size(listed) - 2), lambda i: F.xxhash64(F.get(listed, i - 1), F.get(listed, i), F.get(listed, i + 1))),
-    ).otherwise(F.array().cast("array<bigint>"))
-
-
-def _covered(windows: Column, twice: Column) -> Column:
-    """Places of windows that occur twice."""
-    return F.filter(
-        F.transform(windows, lambda h, i: F.when(F.array_contains(twice, h), i)), lambda i: i.isNotNull()
-    )
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(trimmed != "", F.split(trimmed, SPACES)).otherwise(F.array().cast("array<string>"))
 
 
 def base_figures(documents: DataFrame) -> DataFrame:
-    """`documents` (doc_id, text, lang) with the list of words and the figures of the base rules."""
+    """`documents` (doc_id, text, lang) with the list of words, the counts of character classes and the figures of the base rules.
+
+    Windows are hashes of the hashes of their three words. Only where two windows of a text are equal are all of them put in
+    order with their places, so that equal ones are neighbours.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.withColumn("words", words(F.col("text")))
-    rows = rows.withColumn("windows", windows_of_three(F.col("words")))
-    rows = rows.withColumn("sorted", F.sort_array("windows"))
-    twice = F.array_distinct(F.filter("sorted", lambda h, i: (i > 0) & (h == F.get(F.col("sorted"), i - 1))))
-    rows = rows.withColumn("twice", twice)
-    rows = rows.withColumn("places", F.when(F.size("twice") > 0, _covered(F.col("windows"), F.col("twice"))).otherwise(F.array().cast("array<int>")))
+    rows = with_class_counts(documents.withColumn("words", words(F.col("text"))))
+    rows = rows.withColumn("hashed", F.transform("words", lambda w: F.xxhash64(w)))
+    following = lambda i, k: F.get(F.col("hashed"), i + k)
+    begun = F.slice("hashed", F.lit(1), F.greatest(F.size("hashed") - 2, F.lit(0)))
+    rows = rows.withColumn("windows", F.transform(begun, lambda h, i: F.xxhash64(h, following(i, 1), following(i, 2))))
+    placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
+    rows = rows.withColumn("placed", F.when(repeats, placed))
+    beside = lambda j: F.get(F.col("placed"), j)["h"]
+    equal = F.filter("placed", lambda x, j: x["h"].eqNullSafe(beside(j - 1)) | x["h"].eqNullSafe(beside(j + 1)))
+    rows = rows.withColumn("places", F.sort_array(F.transform(equal, lambda x: x["i"])))
     reach = F.transform("places", lambda p, i: F.least(F.lit(3), F.coalesce(F.get(F.col("places"), i + 1), p + 3) - p))
+    covered = F.coalesce(F.aggregate(reach, F.lit(0), lambda a, b: a + b), F.lit(0))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumn("lines", lines)
     return rows.select(
-        *documents.columns, "words", F.size("words").cast("long").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        *documents.columns, "words", "counts", F.size("words").cast("long").alias("n_words"),
+        (F.length(text) - F.get("counts", F.lit(BLANK))).cast("long").alias("word_chars"),
+        F.get("counts", F.lit(SYMBOL)).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.aggregate(reach, F.lit(0), lambda a, b: a + b).cast("long").alias("n_repeat_words"),
+        covered.cast("long").alias("n_repeat_words"),
     )
 
 
@@ -145,18 +143,15 @@ def judge(documents: DataFrame, min_words: int = MIN_WORDS, max_class: tuple[flo
     figures = base_figures(_language(documents.select("doc_id", "text", "lang")))
     joined = figures.join(reference, "language")
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = F.sort_array(F.filter(F.transform(F.col("words"), lambda w: F.array_position("common", F.lower(w))), lambda i: i > 0))
-    rows = with_class_counts(joined).withColumn("found", found).withColumn("kinds", F.array_distinct("found"))
-    ends = F.transform("kinds", lambda k: F.array_position("found", k))
-    rows = rows.withColumn("ends", ends)
+    # Which common word each word is, counted from 1, and 0 for the others; in order, so that equal ones are neighbours.
+    found = F.sort_array(F.transform("words", lambda w: F.array_position("common", F.lower(w))))
+    rows = joined.withColumn("found", found).withColumn("kinds", F.array_distinct("found"))
+    rows = rows.withColumn("ends", F.transform("kinds", lambda k: F.array_position("found", k)))
     runs = F.transform("ends", lambda e, i: F.coalesce(F.get(F.col("ends"), i + 1), F.size("found") + F.lit(1).cast("long")) - e)
-    by_kind = F.map_from_arrays("kinds", runs)
-    rows = rows.withColumn("by_kind", by_kind)
+    rows = rows.withColumn("by_kind", F.map_from_arrays("kinds", runs))
     n = F.greatest(F.col("n_words"), F.lit(1).cast("long")).cast("double")
-    shares = F.concat(
-        F.transform("common", lambda _, i: F.coalesce(F.try_element_at("by_kind", (i + 1).cast("long")), F.lit(0).cast("long")) / n),
-        F.array((F.col("n_words") - F.size("found")) / n),
-    )
+    share = lambda kind: F.coalesce(F.try_element_at("by_kind", kind), F.lit(0).cast("long")) / n
+    shares = F.concat(F.transform("common", lambda _, i: share((i + 1).cast("long"))), F.array(share(F.lit(0).cast("long"))))
     length = F.greatest(F.length(text), F.lit(1))
     class_distance = js_distance(F.transform("counts", lambda c: c / length), F.col("classes"))
     rows = rows.withColumn("class_distance", class_distance).withColumn("word_distance", js_distance(shares, F.col("shares")))
