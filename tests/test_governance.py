@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pactlake.contract import examine, load_product
 from pactlake.functions.expressions import display_name
 from pactlake.operators import governance as g
+from pactlake.queries.mesh import contract_corpus
 from pactlake.queries.registry import CONTRACTS
 
 
@@ -91,6 +92,31 @@ def column(name, kind="string", nullable=True, precision=None, scale=None):
     return (name, kind, nullable, False, None, [], precision, scale)
 
 
+def _customers(spark, count):
+    return spark.range(0, count, 1, 1).selectExpr(
+        "id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id % 25 AS int) AS c_nationkey", "1.0D AS c_acctbal", "'FURNITURE' AS c_mktsegment"
+    )
+
+
+def test_contracts_are_built_on_all_cores(spark):
+    parts = contract_corpus(_customers(spark, 400)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 100
+
+
+@pytest.mark.parametrize("question", [g.lint, g.propagated_tags, g.product_summary, g.rule_coverage, g.lineage_edges, g.declared_tables])
+def test_contracts_are_built_once(spark, question):
+    filters = [line for line in plan(question(contract_corpus(_customers(spark, 10)))).splitlines() if "Filter" in line.split("(")[0]]
+    assert not [line for line in filters if "named_struct" in line or "struct(" in line]
+
+
+def test_circles_beside_tables_without_any(spark):
+    table = lambda name, *inputs: (name, "silver", None, [], list(inputs), [], [], [], [])
+    tables = [table("a", "b", "x"), table("b", "c"), table("c", "a"), table("reads", "a"), table("read"), table("a2", "read"), table("own", "own")]
+    bad = spark.createDataFrame([("p", "1.0.0", "t", "a@b.co", 1, 1.0, [], tables)], g.CONTRACTS_SCHEMA)
+    rows = g.lint(bad).where("violation = 'reads itself in a circle'").collect()
+    assert sorted(r.object for r in rows) == ["a", "b", "c", "own"]
+
+
 def test_lint_finds_everything(spark):
     tables = [
         ("t", "gold", None, [], [], [("x", "week", None, None), ("a", "truncate", None, None)],
