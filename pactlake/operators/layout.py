@@ -17,6 +17,8 @@ from pactlake.operators.schema import contract_schema
 from pactlake.session import materialize
 
 TIME_TRANSFORMS = ("year", "month", "day", "hour")
+#: Buckets of a hybrid table. Each is a file and a task that reports to the driver, whatever its size.
+MAX_BUCKETS = 1024
 
 
 def transform(spec: Partition, value: Column, data_type: T.DataType) -> Column:
@@ -207,14 +209,15 @@ def write_hybrid(df: DataFrame, name: str, key: str, location: str, buckets: int
     """A table bucketed for joins in place, whatever its keys are like.
 
     The number of buckets comes from the rows, a power of two of about `rows_per_task` each, so that tables of different
-    size still divide evenly; `buckets` sets it, to that of a table to be joined with. Keys with more rows than a task should get are
-    counted first, of which there can be but few, and are kept aside unbucketed.
+    size still divide evenly; `buckets` sets it, to that of a table to be joined with. There are no more than `MAX_BUCKETS`, since
+    files and reports of tasks would grow with the table; buckets are sorted and so read in bounded memory, however large. Keys with
+    more rows than a task should get are counted first, of which there can be but few, and are kept aside unbucketed.
     """
     counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("count")), "keys")
     heavy = F.broadcast(heaviest(counts.where(F.col(key).isNotNull()), rows_per_task=rows_per_task).select(key))
     if buckets is None:
         rows = counts.agg(F.sum("count")).first()[0] or 0
-        buckets = 1 << max(0, (-(-rows // rows_per_task) - 1).bit_length())
+        buckets = min(MAX_BUCKETS, 1 << max(0, (-(-rows // rows_per_task) - 1).bit_length()))
     rest = df.where(F.col(key).isNotNull()).join(heavy, key, "left_anti").select(*df.columns)
     aside = df.join(heavy, key, "left_semi").unionByName(df.where(F.col(key).isNull())).select(*df.columns)
     write_bucketed(rest, name, Partition(key, "bucket", num_buckets=buckets), f"{location}/rest")

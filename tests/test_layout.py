@@ -183,3 +183,13 @@ def test_hybrid_join(spark, tmp_path, left_hot, right_hot):
         spark.conf.set(threshold, before)
     with pytest.raises(ValueError, match="differ"):
         join_hybrid(spark, one, replace(two, key="r"))
+
+
+def test_hybrid_buckets_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pactlake.operators.layout.MAX_BUCKETS", 4, raising=False)
+    left, right = spark.range(900).selectExpr("id % 300 AS k", "id AS l"), spark.range(300).selectExpr("id AS k", "id AS r")
+    one = write_hybrid(left, "hybrid_many_l", "k", str(tmp_path / "l"), rows_per_task=10)
+    two = write_hybrid(right, "hybrid_many_r", "k", str(tmp_path / "r"), one.buckets, rows_per_task=10)
+    assert one.buckets == two.buckets == 4
+    joined = join_hybrid(spark, one, two, 10)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
