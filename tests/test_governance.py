@@ -276,6 +276,36 @@ def test_upstream_equals_a_plain_search(spark):
     assert {r.table: r.steps for r in g.circles(edges).collect()} == {a: d for (a, b), d in expected.items() if a == b}
 
 
+def test_upstream_moves_rows_of_tables_not_of_pairs(spark, monkeypatch):
+    """Each round's table has a row a table, however many pairs there are."""
+    written = []
+    real = g.materialize
+    monkeypatch.setattr(g, "materialize", lambda df, purpose: written.append(real(df, purpose)) or written[-1])
+    edges = spark.range(1, 200).selectExpr("concat('t', id) AS table", "concat('t', id - 1) AS upstream")
+    found = g.all_upstream(edges)
+    assert found.dtypes == [("table", "string"), ("upstream", "string"), ("distance", "int")]
+    assert found.count() == 199 * 200 // 2
+    assert max(w.count() for w in written) <= 199
+
+
+@pytest.mark.parametrize("listed", [1, 6, 4096])
+def test_upstream_of_tables_with_more_than_a_row_takes(spark, monkeypatch, listed):
+    """Ways side by side, a null table and a null upstream, repeated edges, and lists of any length."""
+    monkeypatch.setattr(g, "LISTED", listed)
+    pairs = [(f"a{i}", f"b{j}") for i in range(4) for j in range(5)] + [(f"b{j}", f"c{k}") for j in range(5) for k in range(3)]
+    pairs += [(f"c{k}", "d") for k in range(3)] + [("d", "e"), ("e", "d"), ("a0", "d"), (None, "a0"), (None, "a1"), ("e", None)]
+    expected = {}
+    for start in {a for a, _ in pairs}:
+        level, distance, seen = {start}, 0, {}
+        while level:
+            distance += 1
+            level = {b for a, b in pairs if a in level and (a is not None or distance == 1)} - set(seen)
+            seen |= {b: distance for b in level}
+        expected |= {(start, b): d for b, d in seen.items()}
+    found = g.all_upstream(spark.createDataFrame(pairs + pairs[:7], "table string, upstream string")).collect()
+    assert len(found) == len(expected) and {(r.table, r.upstream): r.distance for r in found} == expected
+
+
 def test_circles_of_a_corpus_without_any(spark, corpus):
     assert g.circles(g.lineage_edges(corpus)).isEmpty()
     assert g.circles(spark.createDataFrame([], "table string, upstream string")).isEmpty()
