@@ -24,6 +24,8 @@ CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{N}", r"[\x20\x09-\x0D]", r"[.,;:!?]", SYMB
 BLANK, SYMBOL = 3, 5
 #: Common words of a language, the least share of its words that one must have, and buckets of the first count.
 COMMON, LEAST_SHARE, BUCKETS = 32, 0.002, 4096
+#: Places by hash that tell which words can be a common one.
+SLOTS = 1024
 #: Words from which histograms are judged.
 MIN_WORDS = 80
 #: The largest distances of a kept document of n words: the first plus the second over the root of n, by which the distance of a
@@ -71,14 +73,16 @@ def base_figures(documents: DataFrame) -> DataFrame:
 
 def with_class_counts(rows: DataFrame) -> DataFrame:
     """Adds `counts`, the characters of `text` by class. A class's count is by how much its removal shortens the text, and the
-    first class, most of any text, is taken away before the others are counted."""
+    first class and the blanks, most of any text, are taken away before the others are counted; no character is of two classes."""
     size = lambda c: F.length(c).cast("long")
-    text, rest = F.coalesce(F.col("text"), F.lit("")), F.col("__rest")
+    text, rest, few = F.coalesce(F.col("text"), F.lit("")), F.col("__rest"), F.col("__few")
     rows = rows.withColumn("__rest", F.regexp_replace(text, f"{CLASSES[0]}+", ""))
-    others = [size(rest) - size(F.regexp_replace(rest, f"{c}+", "")) for c in CLASSES[1:]]
-    rows = rows.withColumn("__classes", F.array(size(text) - size(rest), *others))
+    rows = rows.withColumn("__few", F.regexp_replace(rest, f"{CLASSES[BLANK]}+", ""))
+    by_class = [size(few) - size(F.regexp_replace(few, f"{c}+", "")) for c in CLASSES]
+    by_class[0], by_class[BLANK] = size(text) - size(rest), size(rest) - size(few)
+    rows = rows.withColumn("__classes", F.array(*by_class))
     unclassed = size(text) - F.aggregate("__classes", F.lit(0).cast("long"), lambda x, y: x + y)
-    return rows.withColumn("counts", F.concat("__classes", F.array(unclassed))).drop("__rest", "__classes")
+    return rows.withColumn("counts", F.concat("__classes", F.array(unclassed))).drop("__rest", "__few", "__classes")
 
 
 def _language(documents: DataFrame) -> DataFrame:
@@ -121,6 +125,22 @@ def references(documents: DataFrame, common: int = COMMON, least_share: float =
         return scratch.result(out)
 
 
+def _slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS))
+
+
+def with_slots(reference: DataFrame) -> DataFrame:
+    """Adds `slots`, whether a common word has that place by hash. Few others share one, so only few words are looked for in the list."""
+    taken = F.transform("common", _slot)
+    return reference.withColumn("slots", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.array_contains(taken, i.cast("long"))))
+
+
+def common_words(words: Column, common: Column, slots: Column) -> Column:
+    """Which common word each word is, counted from 1, in order, so that equal ones are neighbours; 0 for some others, the rest left out."""
+    lowered = F.filter(F.transform(words, lambda w: F.lower(w)), lambda w: F.get(slots, _slot(w).cast("int")))
+    return F.sort_array(F.transform(lowered, lambda w: F.coalesce(F.array_position(common, w), F.lit(0).cast("long"))))
+
+
 def _term(p: Column, m: Column) -> Column:
     return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
 
@@ -139,19 +159,19 @@ def judge(documents: DataFrame, min_words: int = MIN_WORDS, max_class: tuple[flo
     `min_words` words on, lies within both distances of its language's reference. A null language is a language of its own. A null
     text has no words. Repeated rows get a row each; other columns are not read. An empty table gives an empty result.
     """
-    reference = references(documents)
+    reference = with_slots(references(documents))
     figures = base_figures(_language(documents.select("doc_id", "text", "lang")))
     joined = figures.join(reference, "language")
     text = F.coalesce(F.col("text"), F.lit(""))
-    # Which common word each word is, counted from 1, and 0 for the others; in order, so that equal ones are neighbours.
-    found = F.sort_array(F.transform("words", lambda w: F.array_position("common", F.lower(w))))
-    rows = joined.withColumn("found", found).withColumn("kinds", F.array_distinct("found"))
+    rows = joined.withColumn("found", common_words(F.col("words"), F.col("common"), F.col("slots")))
+    rows = rows.withColumn("kinds", F.array_distinct("found"))
     rows = rows.withColumn("ends", F.transform("kinds", lambda k: F.array_position("found", k)))
     runs = F.transform("ends", lambda e, i: F.coalesce(F.get(F.col("ends"), i + 1), F.size("found") + F.lit(1).cast("long")) - e)
     rows = rows.withColumn("by_kind", F.map_from_arrays("kinds", runs))
     n = F.greatest(F.col("n_words"), F.lit(1).cast("long")).cast("double")
-    share = lambda kind: F.coalesce(F.try_element_at("by_kind", kind), F.lit(0).cast("long")) / n
-    shares = F.concat(F.transform("common", lambda _, i: share((i + 1).cast("long"))), F.array(share(F.lit(0).cast("long"))))
+    times = lambda kind: F.coalesce(F.try_element_at("by_kind", kind), F.lit(0).cast("long"))
+    others = F.col("n_words") - F.size("found") + times(F.lit(0).cast("long"))
+    shares = F.concat(F.transform("common", lambda _, i: times((i + 1).cast("long")) / n), F.array(others / n))
     length = F.greatest(F.length(text), F.lit(1))
     class_distance = js_distance(F.transform("counts", lambda c: c / length), F.col("classes"))
     rows = rows.withColumn("class_distance", class_distance).withColumn("word_distance", js_distance(shares, F.col("shares")))

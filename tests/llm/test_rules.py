@@ -79,6 +79,29 @@ def test_word_distances_equal_brute_force(documents):
         assert r["word_distance"] == pytest.approx(brute_js(mine, [*shares, max(0, 1 - sum(shares))]), abs=1e-6)
 
 
+def test_only_words_in_a_common_words_place_are_looked_up(documents, monkeypatch):
+    """All words are looked up if there is one place, few others than the common ones if there are many; the distances are the same."""
+    rows = made(6)
+    looked, distances = {}, {}
+    for slots in (1, 1024):
+        monkeypatch.setattr(rules, "SLOTS", slots)
+        table = documents(rows)
+        reference = rules.with_slots(references(table)).withColumnRenamed("language", "lang")
+        said = table.select("doc_id", "lang", rules.words(F.col("text")).alias("said")).join(reference, "lang")
+        found = said.select(F.explode(rules.common_words(F.col("said"), F.col("common"), F.col("slots"))).alias("kind"))
+        looked[slots] = {r["kind"]: r["count"] for r in found.groupBy("kind").count().collect()}
+        distances[slots] = {r["doc_id"]: r["word_distance"] for r in judge(table).collect()}
+    others = [counts.pop(0, 0) for counts in looked.values()]
+    assert looked[1] == looked[1024] and others[1] < others[0] / 4
+    assert distances[1] == distances[1024]
+
+
+def test_no_character_is_of_two_classes():
+    classes = [re.compile(p) for p in (r"[\x20\x09-\x0D]", r"[.,;:!?]", rules.SYMBOLS)]
+    assert tuple(rules.CLASSES[3:]) == tuple(c.pattern for c in classes)
+    assert all(sum(bool(c.match(chr(i))) for c in classes) + chr(i).isalnum() <= 1 for i in range(0x3000))
+
+
 def test_short_texts_are_guarded_and_strange_ones_go(documents):
     rng = random.Random(4)
     plain = lambda n: " ".join(rng.choice(["the", "of", "and", "to", "oak", "elm", "ash", "yew", "fir"]) + rng.choice(["", "", ",", "."]) for _ in range(n))
