@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from odd import odd_rows
 
-from pactlake.llm.lines import SIMILAR, key_count, keys_of, least_common, line_figures, repeated_lines, without_lines
+from pactlake.llm.lines import BUCKETS, SIMILAR, _met, key_count, keys_of, least_common, line_figures, repeated_lines, without_lines
+from pactlake.llm.shipping import ship
 
 
 def brute(rows):
@@ -110,3 +111,30 @@ def test_key_count_is_least_over_every_partner(run):
         sizes = range(-(-SIMILAR * n // 100), 100 * n // SIMILAR + 1)
         shared = min(least_common(n, m) - (run - 1) * (1 + n + m - 2 * least_common(n, m)) for m in sizes)
         assert key_count(np.array([n]), run)[0] == min(n - run + 2 - shared, n - run + 1)
+
+
+def test_copies_and_unlike_lines_do_not_meet(documents):
+    """What shuffles after the keys have met is near copies alone: neither copies nor lines with a rare run of words in common."""
+    rows = [(d, " ".join(f"w{i}" for i in range(30)), "en", "a") for d in range(40)]
+    rows += [(100 + d, "rare pair " + " ".join(f"v{d}x{i}" for i in range(30)), "en", "a") for d in range(20)]
+    table = documents(rows).select("doc_id", "text").coalesce(1)
+    ship(table.sparkSession)
+    places = np.roll(np.arange(BUCKETS), 5)
+    assert _met(table, places, 3).where("to_doc IS NOT NULL").count() == 0
+    near = [(1, rows[0][1], "en", "a"), (2, rows[0][1] + " more", "en", "a")]
+    met = _met(documents(near).select("doc_id", "text").coalesce(1), places, 3).collect()
+    assert [(r["doc_id"], r["to_doc"]) for r in met] == [(2, 1)]
+
+
+def test_copies_stand_for_the_first(documents):
+    """In each part the later copy comes first, so that the first line of its kind makes no keys of its own; ids are shared."""
+    words = [f"w{i}" for i in range(20)]
+    near = lambda i: " ".join([*words, f"x{i}"])
+    rows = [(9, near(1), "en", "a"), (3, near(1), "en", "a"), (1, near(2), "en", "a"), (9, near(3), "en", "a"), (3, "other line", "en", "a")]
+    assert {(r["doc_id"], r["line"]) for r in repeated_lines(documents(rows).coalesce(1)).collect()} == {(9, 0), (3, 0)}
+
+
+def test_the_session_is_left_as_it_was(documents):
+    table, key = documents([(1, "a b\na b", "en", "a")]), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = table.sparkSession.conf.get(key)
+    assert repeated_lines(table).count() == 1 and table.sparkSession.conf.get(key) == before
